@@ -27,12 +27,6 @@ def _log_day(log: DataFrame) -> Column:
     return F.to_date(F.col("access_time"))
 
 
-def _branch(log: DataFrame, cases: list[tuple[tuple[str, ...], str]]) -> tuple[DataFrame, Column]:
-    menus = [m for ms, _ in cases for m in ms]
-    rows = log.filter(F.col("menu_id").isin(menus))
-    return rows, _log_day(log)
-
-
 def access_events(mb_log: DataFrame, web_log: DataFrame, cfg: ScreenConfig,
                   span: DataFrame | None = None) -> DataFrame:
     """Lookups of interest from both logs, one row per log line:
@@ -41,31 +35,39 @@ def access_events(mb_log: DataFrame, web_log: DataFrame, cfg: ScreenConfig,
     The mobile log counts toward ``mb_check``/``mb_limit``, the web log
     toward ``eb_check``; other menus are dropped.  ``access_date`` is the
     day of ``access_time``.  With ``span`` given, only customers of the span
-    and days inside its overall ``[min_date, max_date]`` range are kept."""
+    and days inside its overall ``[min_date, max_date]`` range are kept; the
+    range test reads the log's own ``access_date`` when it has one (usually
+    its partition column, so whole days are pruned at listing time)."""
     parts = []
     for log, cases in (
         (mb_log, [(cfg.mb_check_menus, MB_CHECK), (cfg.mb_limit_menus, MB_LIMIT)]),
         (web_log, [(cfg.eb_check_menus, EB_CHECK)]),
     ):
-        rows, day = _branch(log, cases)
-        if span is not None:
-            # Both bounds come from one aggregate that runs once (Spark
-            # merges the two scalar subqueries).  Compared as days: a
-            # first transaction at 10:00 still opens its whole day.
-            lo = span.agg(F.min("min_date").cast("date")).scalar()
-            hi = span.agg(F.max("max_date").cast("date")).scalar()
-            rows = rows.filter(day.between(lo, hi))
-            ids = span.select(F.col("cust_id").alias("__uid"))
-            rows = rows.join(ids, F.col("company_uid") == F.col("__uid"), "left_semi")
+        menus = [m for ms, _ in cases for m in ms]
         parts.append(
-            rows.select(
+            log.filter(F.col("menu_id").isin(menus)).select(
                 "company_uid",
                 "login_log_key",
                 F.to_date(F.col("access_time")).alias("access_date"),
                 _category(F.col("menu_id"), cases).alias("category"),
+                _log_day(log).alias("__day"),
+            )
+        )
+    events = parts[0].unionByName(parts[1])
+    if span is not None:
+        # One aggregate gives both bounds and runs once.  Compared as days:
+        # a first transaction at 10:00 still opens its whole day.
+        b = span.agg(
+            F.struct(
+                F.min("min_date").cast("date").alias("lo"),
+                F.max("max_date").cast("date").alias("hi"),
             )
+        ).scalar()
+        ids = span.select(F.col("cust_id").alias("__uid"))
+        events = events.filter(F.col("__day").between(b["lo"], b["hi"])).join(
+            ids, F.col("company_uid") == F.col("__uid"), "left_semi"
         )
-    return parts[0].unionByName(parts[1])
+    return events.drop("__day")
 
 
 def _distinct_logins(events: DataFrame) -> DataFrame:

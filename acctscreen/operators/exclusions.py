@@ -85,15 +85,16 @@ def exclude(
 
     ``null_aware=False`` is a plain ``left_anti`` join (NOT EXISTS)."""
     ex_key = ex_key or key
-    right = ex.select(F.col(ex_key).alias("__ex_key"))
+    # Both the anti join and the statistics read this one de-duplicated
+    # list, so they share its shuffle (one scan of the list's inputs).
+    right = ex.select(F.col(ex_key).alias("__ex_key")).distinct()
     kept = df.join(right, F.col(key) == F.col("__ex_key"), "left_anti")
     if not null_aware:
         return kept
-    stats = ex.agg(
+    s = right.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col(ex_key).isNull()).alias("n_null"),
-        ).alias("s")
-    )
-    s = stats.scalar()
+            F.count_if(F.col("__ex_key").isNull()).alias("n_null"),
+        )
+    ).scalar()
     return kept.filter((s["n"] == 0) | (F.col(key).isNotNull() & (s["n_null"] == 0)))

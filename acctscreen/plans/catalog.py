@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from acctscreen.operators import access, activity, candidates, cleansing, enrich, exclusions
 from acctscreen.plans import pipeline
+from acctscreen.plans.materialize import run_root, write_and_read
 from acctscreen.sources import fixtures
 from acctscreen.sources.fixtures import SNAP_DATE, TEST_CONFIG as CFG
 from acctscreen.sources.inputs import ScreenInputs
@@ -77,18 +78,32 @@ def q_exclude_null_aware(t: ScreenInputs) -> DataFrame:
 
 # -- candidates and cleaning -------------------------------------------------
 
+def _writer(t: ScreenInputs, label: str) -> pipeline.TableWriter:
+    # Stage tables of one query go to a fresh folder in the shared
+    # checkpoint folder, as in ``run_pipeline``.
+    return pipeline.table_writer(run_root(t.sav_txn.sparkSession, label))
+
+
+def _candidates(t: ScreenInputs) -> DataFrame:
+    return pipeline.candidates_stage(t, CFG, SNAP_DATE, _writer(t, "candidates"))
+
+
+def _cleaned(t: ScreenInputs) -> DataFrame:
+    return pipeline.cleaning_stage(t, CFG, SNAP_DATE, _writer(t, "cleaned"))
+
+
 def q_candidate_transactions(t: ScreenInputs) -> DataFrame:
-    return pipeline.candidates_stage(t, CFG, SNAP_DATE)
+    return _candidates(t)
 
 
 def q_ordered_candidates(t: ScreenInputs) -> DataFrame:
-    return candidates.ordered(pipeline.candidates_stage(t, CFG, SNAP_DATE))
+    return candidates.ordered(_candidates(t))
 
 
 def q_candidate_preview(t: ScreenInputs) -> DataFrame:
     """The first two candidates in account/date/time order (the eyeball
     check of the original job), on a total order."""
-    return preview(candidates.ordered(pipeline.candidates_stage(t, CFG, SNAP_DATE)), 2)
+    return preview(candidates.ordered(_candidates(t)), 2)
 
 
 def q_normalized_transactions(t: ScreenInputs) -> DataFrame:
@@ -120,7 +135,7 @@ def q_twd_only(t: ScreenInputs) -> DataFrame:
 
 
 def q_clean_transactions(t: ScreenInputs) -> DataFrame:
-    return pipeline.cleaning_stage(t, CFG, SNAP_DATE)
+    return _cleaned(t)
 
 
 def q_payroll_excluded(t: ScreenInputs) -> DataFrame:
@@ -130,7 +145,14 @@ def q_payroll_excluded(t: ScreenInputs) -> DataFrame:
 # -- spans and access counts -------------------------------------------------
 
 def _span(t: ScreenInputs) -> DataFrame:
-    return activity.customer_activity_span(pipeline.cleaning_stage(t, CFG, SNAP_DATE))
+    return activity.customer_activity_span(_cleaned(t))
+
+
+def _span_table(t: ScreenInputs) -> DataFrame:
+    # The span feeds both the customer semi join and the date bounds:
+    # written once, read twice, instead of re-running the cleaning twice.
+    spark = t.sav_txn.sparkSession
+    return write_and_read(_span(t), run_root(spark, "span"))
 
 
 def q_activity_span(t: ScreenInputs) -> DataFrame:
@@ -138,11 +160,11 @@ def q_activity_span(t: ScreenInputs) -> DataFrame:
 
 
 def q_customer_ids(t: ScreenInputs) -> DataFrame:
-    return activity.customer_ids(pipeline.cleaning_stage(t, CFG, SNAP_DATE))
+    return activity.customer_ids(_cleaned(t))
 
 
 def q_txn_date_bounds(t: ScreenInputs) -> DataFrame:
-    return activity.txn_date_bounds(pipeline.cleaning_stage(t, CFG, SNAP_DATE))
+    return activity.txn_date_bounds(_cleaned(t))
 
 
 def q_access_events(t: ScreenInputs) -> DataFrame:
@@ -150,20 +172,27 @@ def q_access_events(t: ScreenInputs) -> DataFrame:
 
 
 def q_access_counts_long(t: ScreenInputs) -> DataFrame:
-    return access.access_counts_long(access.access_events(t.mb_log, t.b2c_log, CFG, _span(t)))
+    return access.access_counts_long(access.access_events(t.mb_log, t.b2c_log, CFG, _span_table(t)))
 
 
 def q_access_counts_wide(t: ScreenInputs) -> DataFrame:
-    return access.access_counts(t.mb_log, t.b2c_log, _span(t), CFG)
+    return access.access_counts(t.mb_log, t.b2c_log, _span_table(t), CFG)
 
 
 # -- features ----------------------------------------------------------------
 
 def q_account_enriched(t: ScreenInputs) -> DataFrame:
-    return enrich.enrich_accounts(pipeline.cleaning_stage(t, CFG, SNAP_DATE), t.invm, SNAP_DATE)
+    return enrich.enrich_accounts(_cleaned(t), t.invm, SNAP_DATE)
 
 
 def q_flagship_features(t: ScreenInputs) -> DataFrame:
+    """The whole daily run: stage tables written under the shared
+    checkpoint folder, the final table returned."""
+    return pipeline.run_pipeline(t.sav_txn.sparkSession, t, CFG, SNAP_DATE).output
+
+
+def q_screen_lazy(t: ScreenInputs) -> DataFrame:
+    """The same result as ``flagship_features`` as one lazy plan."""
     return pipeline.screen(t, CFG, SNAP_DATE)
 
 

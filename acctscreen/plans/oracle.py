@@ -244,4 +244,5 @@ select * from sav_txn t where not exists (
     "access_counts_wide": _sql("select * from counts", "counts"),
     "account_enriched": _sql("select * from enriched", "enriched"),
     "flagship_features": _sql("select * from final", "final"),
+    "screen_lazy": _sql("select * from final", "final"),
 }

@@ -8,11 +8,13 @@ Each ``*_stage`` function is lazy and returns DataFrames.  ``run_pipeline``
 writes every stage to Parquet under a shared output root and reads it back
 before the next stage: the written table is the hand-off, it cuts the
 lineage (a lost executor recomputes from the last stage output, not from
-the raw tables) and each stage can be rerun on its own.
+the raw tables) and each stage can be rerun on its own.  ``screen`` is the same work as one
+lazy plan, without intermediate tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,45 +23,70 @@ from pyspark.sql import functions as F
 from acctscreen.config import ScreenConfig
 from acctscreen.operators.access import access_counts, attach_access_counts
 from acctscreen.operators.activity import customer_activity_span
-from acctscreen.operators.candidates import candidate_transactions
+from acctscreen.operators.candidates import CANDIDATE_ORDER, candidate_transactions
 from acctscreen.operators.cleansing import clean
 from acctscreen.operators.enrich import enrich_accounts
 from acctscreen.operators.exclusions import (
     brokerage_accounts,
     excluded_accounts,
     excluded_customers,
+    flagged_accounts,
     payroll_accounts,
 )
+from acctscreen.plans.materialize import run_root, write_and_read
 from acctscreen.sources.inputs import ScreenInputs
 
 
 @dataclass(frozen=True)
 class ExclusionLists:
     payroll: DataFrame
+    flagged: DataFrame
     brokerage: DataFrame
     accounts: DataFrame
     customers: DataFrame
 
 
-def exclusion_lists(inp: ScreenInputs, cfg: ScreenConfig) -> ExclusionLists:
-    payroll = payroll_accounts(inp.sav_txn, inp.wmg_cust)
-    brokerage = brokerage_accounts(inp.ashf, cfg)
+# Stores a named intermediate table and returns a scan of what it stored.
+TableWriter = Callable[[str, DataFrame], DataFrame]
+
+
+def _keep(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def table_writer(root: str) -> TableWriter:
+    """A writer that stores each table as Parquet under ``root``."""
+    return lambda name, df: write_and_read(df, f"{root.rstrip('/')}/{name}")
+
+
+def exclusion_lists(inp: ScreenInputs, cfg: ScreenConfig, write: TableWriter = _keep) -> ExclusionLists:
+    """The four lists of stage 1.  With a ``write``r each list is stored and
+    read back: the null-aware anti join reads a list twice (keys and list
+    statistics), and re-reading a stored list is cheap where recomputing
+    the payroll list would rescan all transactions."""
+    payroll = write("payroll_accounts", payroll_accounts(inp.sav_txn, inp.wmg_cust))
+    flagged = write("flagged_accounts", flagged_accounts(inp.acct_exp))
+    brokerage = write("brokerage_accounts", brokerage_accounts(inp.ashf, cfg))
+    customers = write("excluded_customers", excluded_customers(inp.wmg_cust, cfg))
     return ExclusionLists(
         payroll=payroll,
+        flagged=flagged,
         brokerage=brokerage,
-        accounts=excluded_accounts(inp.acct_exp, payroll, brokerage),
-        customers=excluded_customers(inp.wmg_cust, cfg),
+        accounts=excluded_accounts(flagged, payroll, brokerage),
+        customers=customers,
     )
 
 
-def candidates_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
-    ex = exclusion_lists(inp, cfg)
+def candidates_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
+                     write: TableWriter = _keep) -> DataFrame:
+    ex = exclusion_lists(inp, cfg, write)
     return candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg)
 
 
-def cleaning_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
+def cleaning_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
+                   write: TableWriter = _keep) -> DataFrame:
     """Stage 1: the month's candidate transactions, cleaned."""
-    return clean(candidates_stage(inp, cfg, snap_date), cfg)
+    return clean(candidates_stage(inp, cfg, snap_date, write), cfg)
 
 
 def feature_stage(cleaned: DataFrame, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
@@ -92,43 +119,63 @@ def screen(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
     return tracking_stage(features, inp, cfg).features
 
 
-def output_root(spark: SparkSession, root: str | None = None) -> str:
-    """Where stage outputs go: ``root`` if given, else the cluster's shared
-    ``spark.checkpoint.dir``.  Never a machine-local folder."""
-    if root:
-        return root.rstrip("/")
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        raise ValueError("give an output root or set spark.checkpoint.dir to a shared folder")
-    return conf.rstrip("/") + "/acctscreen"
-
-
 def _write_day(df: DataFrame, path: str, snap_date: str) -> DataFrame:
     """Write one run day as partition ``snap_date=...`` of ``path`` (a rerun
-    replaces that day only) and return the written rows, read back."""
+    replaces that day only; earlier days stay) and return that day's rows,
+    read back."""
     spark = df.sparkSession
+    day = F.lit(snap_date).cast("date")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (df.withColumn("snap_date", F.lit(snap_date).cast("date"))
+        (df.withColumn("snap_date", day)
          .write.mode("overwrite").partitionBy("snap_date").parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return (spark.read.parquet(path)
-            .filter(F.col("snap_date") == F.lit(snap_date).cast("date"))
-            .drop("snap_date"))
+    return spark.read.parquet(path).filter(F.col("snap_date") == day).drop("snap_date")
+
+
+@dataclass(frozen=True)
+class PipelineOutputs:
+    """Stage tables of one run, each read back from its written files."""
+
+    root: str
+    payroll: DataFrame
+    flagged: DataFrame
+    brokerage: DataFrame
+    excluded_customers: DataFrame
+    cleaned: DataFrame
+    features: DataFrame
+    span: DataFrame
+    access_counts: DataFrame
+    output: DataFrame
 
 
 def run_pipeline(
     spark: SparkSession, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
     root: str | None = None,
-) -> dict[str, str]:
-    """Run the three stages for ``snap_date`` and return the output paths."""
-    base = output_root(spark, root)
-    paths = {k: f"{base}/{k}" for k in ("cleaned", "features", "span", "access_counts", "output")}
-    cleaned = _write_day(cleaning_stage(inp, cfg, snap_date), paths["cleaned"], snap_date)
-    features = _write_day(feature_stage(cleaned, inp, cfg, snap_date), paths["features"], snap_date)
-    span = _write_day(customer_activity_span(features), paths["span"], snap_date)
-    counts = _write_day(access_counts(inp.mb_log, inp.b2c_log, span, cfg), paths["access_counts"], snap_date)
-    _write_day(attach_access_counts(features, counts), paths["output"], snap_date)
-    return paths
+) -> PipelineOutputs:
+    """Run the three stages for ``snap_date``, writing every hand-off table
+    under ``root`` (default: a fresh folder in the shared checkpoint folder)
+    partitioned by ``snap_date``.
+
+    Every table is read back before its consumers run, so each stage's
+    inputs are compact written tables, never a re-run of earlier joins."""
+    base = (root or run_root(spark, "pipeline")).rstrip("/")
+
+    def w(name: str, df: DataFrame) -> DataFrame:
+        return _write_day(df, f"{base}/{name}", snap_date)
+
+    # Stage 1: exclusion lists, candidates, cleaning.
+    ex = exclusion_lists(inp, cfg, w)
+    cands = candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg)
+    # Rows of an account sit together, in time order, inside each file.
+    cleaned = w("cleaned", clean(cands, cfg).sortWithinPartitions(*CANDIDATE_ORDER))
+    # Stage 2: features.
+    features = w("features", feature_stage(cleaned, inp, cfg, snap_date))
+    # Stage 3: spans, access counts, attached counts.
+    span = w("activity_span", customer_activity_span(features))
+    counts = w("access_counts", access_counts(inp.mb_log, inp.b2c_log, span, cfg))
+    output = w("output", attach_access_counts(features, counts))
+    return PipelineOutputs(base, ex.payroll, ex.flagged, ex.brokerage, ex.customers, cleaned,
+                           features, span, counts, output)

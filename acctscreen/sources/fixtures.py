@@ -47,8 +47,19 @@ def _cust_id(key: Column) -> Column:
     return F.when(key % 11 == 0, _pad(key, 8)).otherwise(F.concat(F.lit("A"), _pad(key, 9)))
 
 
+_LOADED: dict[tuple[int, str], ScreenInputs] = {}
+
+
 def load(spark: SparkSession, sf_dir: str) -> ScreenInputs:
-    """The seven bank-shaped inputs of one test scale, as lazy DataFrames."""
+    """The seven bank-shaped inputs of one test scale, as lazy DataFrames
+    (bound once per session and folder: DataFrames are immutable)."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _LOADED:
+        _LOADED[key] = _load(spark, sf_dir)
+    return _LOADED[key]
+
+
+def _load(spark: SparkSession, sf_dir: str) -> ScreenInputs:
     def t(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
