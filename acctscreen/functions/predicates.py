@@ -51,4 +51,5 @@ def differs_with_null(c: str | Column) -> Column:
     (a DISTINCT aggregate would not be, and is not allowed in windows)."""
     c = _c(c)
     n = F.count(c)
-    return (F.max(c) != F.min(c)) | ((n > 0) & (n < F.count(F.lit(1))))
+    # max/min are null for an all-null group: that group has one value.
+    return F.coalesce(F.max(c) != F.min(c), F.lit(False)) | ((n > 0) & (n < F.count(F.lit(1))))
