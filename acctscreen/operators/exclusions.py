@@ -14,13 +14,14 @@ def payroll_accounts(txn: DataFrame, cust: DataFrame) -> DataFrame:
     """Accounts of customers marked as payroll customers (``flg_pr='Y'``).
 
     Output ``(acct_no_14, payroll_code)``, distinct over both columns.  The
-    customer side is reduced to its ids before the join; the DISTINCT is
-    partial-aggregated per task, so a busy account costs one row per task
-    in the shuffle, not one per transaction."""
+    transactions are first reduced to their distinct (account, customer)
+    pairs — partial-aggregated in every task, so a customer or account with
+    a huge share of the rows ships one row per task — and only the pairs
+    meet the customer table in the join."""
+    pairs = txn.select("acct_nbr_ori", "cust_id").distinct()
     payroll_cust = cust.filter(F.col("flg_pr") == "Y").select("cust_id", "flg_pr")
     return (
-        txn.select("acct_nbr_ori", "cust_id")
-        .join(payroll_cust, "cust_id")
+        pairs.join(payroll_cust, "cust_id")
         .select(F.col("acct_nbr_ori").alias("acct_no_14"), F.col("flg_pr").alias("payroll_code"))
         .distinct()
     )

@@ -1,0 +1 @@
+"""Composition: the staged pipeline, the query catalog and its SQL twins."""

@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The screening job is a daily batch run over one month of transactions: it
+has no stream source, watermark, streaming window or state.  The daily run
+is ``acctscreen.plans.pipeline.run_pipeline`` with dated, dynamically
+overwritten output partitions, so it can be scheduled as-is.
+"""
