@@ -42,6 +42,7 @@ def run_root(spark: SparkSession, label: str = "run") -> str:
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` and return a scan of it."""
+    """Write ``df`` as Parquet at ``path`` and return a scan of it (with the
+    known schema: no footer reads to infer it)."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from acctscreen.config import ScreenConfig
 from acctscreen.operators.access import access_counts, attach_access_counts
@@ -85,8 +86,10 @@ def candidates_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
 
 def cleaning_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
                    write: TableWriter = _keep) -> DataFrame:
-    """Stage 1: the month's candidate transactions, cleaned."""
-    return clean(candidates_stage(inp, cfg, snap_date, write), cfg)
+    """Stage 1: the month's candidate transactions, cleaned.  The exchange
+    rule reads the candidates twice (group statistics, then the anti join),
+    so with a ``write``r they are stored once and scanned twice."""
+    return clean(write("candidates", candidates_stage(inp, cfg, snap_date, write)), cfg)
 
 
 def feature_stage(cleaned: DataFrame, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
@@ -132,7 +135,10 @@ def _write_day(df: DataFrame, path: str, snap_date: str) -> DataFrame:
          .write.mode("overwrite").partitionBy("snap_date").parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return spark.read.parquet(path).filter(F.col("snap_date") == day).drop("snap_date")
+    # A new StructType: ``df.schema.add`` would change the cached schema of df.
+    schema = StructType([*df.schema.fields, StructField("snap_date", DateType())])
+    return (spark.read.schema(schema).parquet(path)
+            .filter(F.col("snap_date") == day).drop("snap_date"))
 
 
 @dataclass(frozen=True)
@@ -144,6 +150,7 @@ class PipelineOutputs:
     flagged: DataFrame
     brokerage: DataFrame
     excluded_customers: DataFrame
+    candidates: DataFrame
     cleaned: DataFrame
     features: DataFrame
     span: DataFrame
@@ -168,14 +175,17 @@ def run_pipeline(
 
     # Stage 1: exclusion lists, candidates, cleaning.
     ex = exclusion_lists(inp, cfg, w)
-    cands = candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg)
-    # Rows of an account sit together, in time order, inside each file.
-    cleaned = w("cleaned", clean(cands, cfg).sortWithinPartitions(*CANDIDATE_ORDER))
-    # Stage 2: features.
-    features = w("features", feature_stage(cleaned, inp, cfg, snap_date))
+    cands = w("candidates", candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg))
+    # Stages 1-2 end in one written table: the enrichment only adds columns,
+    # so the cleaned rows are not written twice.  Rows of an account sit
+    # together, in time order, inside each file.
+    cleaned_lazy = clean(cands, cfg)
+    features = w("features", feature_stage(cleaned_lazy, inp, cfg, snap_date)
+                 .sortWithinPartitions(*CANDIDATE_ORDER))
+    cleaned = features.select(*cleaned_lazy.columns)
     # Stage 3: spans, access counts, attached counts.
     span = w("activity_span", customer_activity_span(features))
     counts = w("access_counts", access_counts(inp.mb_log, inp.b2c_log, span, cfg))
     output = w("output", attach_access_counts(features, counts))
-    return PipelineOutputs(base, ex.payroll, ex.flagged, ex.brokerage, ex.customers, cleaned,
-                           features, span, counts, output)
+    return PipelineOutputs(base, ex.payroll, ex.flagged, ex.brokerage, ex.customers, cands,
+                           cleaned, features, span, counts, output)

@@ -19,7 +19,7 @@ def test_run_pipeline_sf0001(spark, tmp_path):
     assert out.access_counts.count() == 51
     assert out.payroll.count() == 26 and out.brokerage.count() == 28
     # Every stage table is partitioned by run day.
-    for name in ("cleaned", "features", "activity_span", "access_counts", "output"):
+    for name in ("candidates", "features", "activity_span", "access_counts", "output"):
         assert os.path.isdir(tmp_path / name / "snap_date=2024-01-31")
     # The lazy single-plan form gives the same rows.
     lazy = pipeline.screen(t, fixtures.TEST_CONFIG, fixtures.SNAP_DATE)
