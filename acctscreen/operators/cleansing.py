@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.datetime import epoch_to_datetime
 from acctscreen.functions.predicates import differs_with_null, isin_keep_null
+from acctscreen.operators.joins import distinct_join_keys
 
 # Group of one booking: account, date-time and journal number.  After
 # ``normalize_transactions`` the date-time is the single column ``tx_time``.
@@ -95,9 +96,11 @@ def exchange_groups(txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS) -> Data
 def remove_exchanges(txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS) -> DataFrame:
     """Drop every row of an exchange group (``exchange_groups``).
 
-    An equi anti join on the group key: null keys never match, and AQE
-    broadcasts the group list when it is small or splits a skewed key."""
-    groups = exchange_groups(txn, keys).select(*keys)
+    An equi anti join on the group key (null keys never match).  AQE
+    broadcasts the group list when it is small; otherwise the list reaches
+    the join through its own shuffle so that a hot booking group of the
+    rows can be split over tasks (``distinct_join_keys``)."""
+    groups = distinct_join_keys(exchange_groups(txn, keys), keys)
     return txn.join(groups, list(keys), "left_anti")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.predicates import is_individual_id
+from acctscreen.operators.joins import distinct_join_keys
 
 
 def payroll_accounts(txn: DataFrame, cust: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def exclude(
     ex_key = ex_key or key
     # Both the anti join and the statistics read this one de-duplicated
     # list, so they share its shuffle (one scan of the list's inputs).
-    right = ex.select(F.col(ex_key).alias("__ex_key")).distinct()
+    right = distinct_join_keys(ex.select(F.col(ex_key).alias("__ex_key")), ["__ex_key"])
     kept = df.join(right, F.col(key) == F.col("__ex_key"), "left_anti")
     if not null_aware:
         return kept

@@ -22,17 +22,25 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir`` or
     ``SparkContext.setCheckpointDir``).  When the session has none (local
     runs and tests only) a fresh temporary folder is set and used."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        if d:
-            sc.setCheckpointDir(d)
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d and sc is not None:
+            d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="acctscreen-ckpt-")
         log.warning("spark.checkpoint.dir is unset; using local %s (local mode only)", d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
+    elif sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 

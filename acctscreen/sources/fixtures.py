@@ -53,7 +53,7 @@ _LOADED: dict[tuple[int, str], ScreenInputs] = {}
 def load(spark: SparkSession, sf_dir: str) -> ScreenInputs:
     """The seven bank-shaped inputs of one test scale, as lazy DataFrames
     (bound once per session and folder: DataFrames are immutable)."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (id(spark), sf_dir.rstrip("/"))
     if key not in _LOADED:
         _LOADED[key] = _load(spark, sf_dir)
     return _LOADED[key]
