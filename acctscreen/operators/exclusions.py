@@ -28,6 +28,13 @@ def payroll_accounts(txn: DataFrame, cust: DataFrame) -> DataFrame:
     )
 
 
+def payroll_from_snapshot(invm: DataFrame) -> DataFrame:
+    """The older payroll source: distinct ``(acct_no_14, payroll_code)`` of an
+    account snapshot whose payroll code is not blank."""
+    code = F.nullif(F.trim(F.col("payroll_code")), F.lit(""))
+    return invm.filter(code.isNotNull()).select("acct_no_14", "payroll_code").distinct()
+
+
 FLAG_COLUMNS = (
     "acct_no_sav", "derivative_date", "derivative_flg", "swindle_moratorium_date",
     "swindle_moratorium_flg", "swindle_flg", "alert_date", "alert_flg",

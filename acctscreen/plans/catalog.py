@@ -191,6 +191,13 @@ def q_flagship_features(t: ScreenInputs) -> DataFrame:
     return pipeline.run_pipeline(t.sav_txn.sparkSession, t, CFG, SNAP_DATE).output
 
 
+def q_nonzero_preview(t: ScreenInputs) -> DataFrame:
+    """The original job's eyeball check of the final table: two rows with a
+    non-zero ``mb_limit``, first in account/date/time order."""
+    out = pipeline.run_pipeline(t.sav_txn.sparkSession, t, CFG, SNAP_DATE).output
+    return preview(candidates.ordered(out.filter(F.col("mb_limit") != 0)), 2)
+
+
 def q_screen_lazy(t: ScreenInputs) -> DataFrame:
     """The same result as ``flagship_features`` as one lazy plan."""
     return pipeline.screen(t, CFG, SNAP_DATE)

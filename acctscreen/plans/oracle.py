@@ -211,6 +211,9 @@ ORDER_BY = ", ".join(
     [f"{c} asc nulls first" for c in ORDER_COLS]
 )
 
+FINAL_COLS = ORDER_COLS + ("acct_open_dt", "label", "mb_limit", "mb_check", "eb_check")
+FINAL_ORDER_BY = ", ".join(f"{c} asc nulls first" for c in FINAL_COLS)
+
 ORACLE: dict[str, str] = {
     "flagged_accounts": _sql("select * from flagged", "flagged"),
     "brokerage_accounts": _sql("select * from brokerage", "brokerage"),
@@ -245,4 +248,6 @@ select * from sav_txn t where not exists (
     "account_enriched": _sql("select * from enriched", "enriched"),
     "flagship_features": _sql("select * from final", "final"),
     "screen_lazy": _sql("select * from final", "final"),
+    "nonzero_preview": _sql(f"select * from final where mb_limit <> 0 order by {FINAL_ORDER_BY} limit 2",
+                            "final"),
 }

@@ -81,3 +81,18 @@ def test_csv_export_text_formats(spark, tmp_path):
     export_csv(df, str(tmp_path / "csv"))
     text = "".join(p.read_text() for p in (tmp_path / "csv").glob("*.csv"))
     assert "tx_date,tx_time,acct" in text and "2024-01-02,2024-01-02 03:04:05,00012" in text
+
+
+def test_payroll_from_snapshot(spark):
+    from acctscreen.operators.exclusions import payroll_from_snapshot
+
+    invm = spark.createDataFrame([("a", "P1"), ("a", "P1"), ("b", "  "), ("c", None), ("d", " P2")],
+                                 "acct_no_14 string, payroll_code string")
+    assert rows(payroll_from_snapshot(invm)) == [("a", "P1"), ("d", " P2")]
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    from acctscreen.sources.readers import read_jdbc
+
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x", "select 1", partition_column="id", num_partitions=4)
