@@ -51,3 +51,24 @@ def test_scan_pushdown_and_pruning(spark, tmp_path):
         pushed = [ln for ln in s.splitlines() if ln.startswith("PushedFilters")][0]
         assert "unused_wide_col" not in read_schema                 # column pruning
         assert "tx_date" in pushed and "EqualTo(tx_mode,1)" in pushed
+
+
+def test_log_scan_prunes_days_by_span_bounds(spark, tmp_path):
+    from acctscreen.operators.access import access_counts
+
+    rows_ = [(f"A{i % 5}", i, dt.datetime(2024, 1, 1 + i % 30, 10), "MDS01", dt.date(2024, 1, 1 + i % 30))
+             for i in range(300)]
+    schema = "company_uid string, login_log_key long, access_time timestamp_ntz, menu_id string, access_date date"
+    spark.createDataFrame(rows_, schema).write.partitionBy("access_date").parquet(str(tmp_path / "mb"))
+    mb = spark.read.parquet(str(tmp_path / "mb"))
+    web = spark.createDataFrame([], schema)
+    span = spark.createDataFrame([("x", "A1", dt.datetime(2024, 1, 12), dt.datetime(2024, 1, 10))],
+                                 "acct_nbr_ori string, cust_id string, max_date timestamp_ntz, min_date timestamp_ntz")
+    df = access_counts(mb, web, span, ScreenConfig())
+    assert df.count() == 1  # A1 logs on Jan 2, 7, 12, ...: only the 12th is inside [10th, 12th]
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    scan = [b for b in text.split("\n\n") if "Scan parquet" in b and "company_uid" in b][0]
+    part = [ln for ln in scan.splitlines() if ln.startswith("PartitionFilters")][0]
+    pushed = [ln for ln in scan.splitlines() if ln.startswith("PushedFilters")][0]
+    assert "access_date" in part and "Subquery" in part   # days pruned at run time
+    assert "In(menu_id" in pushed
