@@ -25,10 +25,10 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "snap_date"
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # Cluster rows of a partition value together so each task writes
-        # few files instead of one per (task, value).
-        (df.repartition(partition_col)
-         .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+        # No repartition on the partition column: a daily write has one
+        # value, and hashing on it would funnel the whole day into one task.
+        # Each task writes its own file into the partition folder.
+        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
