@@ -96,3 +96,11 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
 
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none://x", "select 1", partition_column="id", num_partitions=4)
+
+
+def test_recommended_conf_sizes_partitions(spark):
+    from acctscreen.plans.tuning import recommended_conf
+
+    c = recommended_conf(10 * (1 << 40), total_cores=4000)   # a 10 TB shuffle
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960
+    assert recommended_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "24"
