@@ -15,6 +15,7 @@ lazy plan, without intermediate tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,11 +65,21 @@ def exclusion_lists(inp: ScreenInputs, cfg: ScreenConfig, write: TableWriter = _
     """The four lists of stage 1.  With a ``write``r each list is stored and
     read back: the null-aware anti join reads a list twice (keys and list
     statistics), and re-reading a stored list is cheap where recomputing
-    the payroll list would rescan all transactions."""
-    payroll = write("payroll_accounts", payroll_accounts(inp.sav_txn, inp.wmg_cust))
-    flagged = write("flagged_accounts", flagged_accounts(inp.acct_exp))
-    brokerage = write("brokerage_accounts", brokerage_accounts(inp.ashf, cfg))
-    customers = write("excluded_customers", excluded_customers(inp.wmg_cust, cfg))
+    the payroll list would rescan all transactions.  The four are
+    independent, so their jobs are submitted together and share the
+    cluster instead of queueing."""
+    lists = {
+        "payroll_accounts": payroll_accounts(inp.sav_txn, inp.wmg_cust),
+        "flagged_accounts": flagged_accounts(inp.acct_exp),
+        "brokerage_accounts": brokerage_accounts(inp.ashf, cfg),
+        "excluded_customers": excluded_customers(inp.wmg_cust, cfg),
+    }
+    if write is not _keep:
+        with ThreadPoolExecutor(max_workers=len(lists)) as pool:
+            futures = {k: pool.submit(write, k, df) for k, df in lists.items()}
+            lists = {k: f.result() for k, f in futures.items()}
+    payroll, flagged = lists["payroll_accounts"], lists["flagged_accounts"]
+    brokerage, customers = lists["brokerage_accounts"], lists["excluded_customers"]
     return ExclusionLists(
         payroll=payroll,
         flagged=flagged,
@@ -125,16 +136,13 @@ def screen(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
 def _write_day(df: DataFrame, path: str, snap_date: str) -> DataFrame:
     """Write one run day as partition ``snap_date=...`` of ``path`` (a rerun
     replaces that day only; earlier days stay) and return that day's rows,
-    read back."""
+    read back.  The overwrite mode is a write option, not a session
+    setting, so concurrent writes do not interfere."""
     spark = df.sparkSession
     day = F.lit(snap_date).cast("date")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn("snap_date", day)
-         .write.mode("overwrite").partitionBy("snap_date").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn("snap_date", day)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snap_date").parquet(path))
     # A new StructType: ``df.schema.add`` would change the cached schema of df.
     schema = StructType([*df.schema.fields, StructField("snap_date", DateType())])
     return (spark.read.schema(schema).parquet(path)

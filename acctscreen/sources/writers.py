@@ -20,17 +20,11 @@ def overwrite_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "snap_date") -> None:
     """Write Parquet partitioned by ``partition_col``; a rerun replaces only
-    the partitions it writes (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # No repartition on the partition column: a daily write has one
-        # value, and hashing on it would funnel the whole day into one task.
-        # Each task writes its own file into the partition folder.
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    the partitions it writes (dynamic partition overwrite, as a write
+    option).  No repartition on the partition column: a daily write has one
+    value, and hashing on it would funnel the whole day into one task."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
 
 
 def write_single_file(df: DataFrame, path: str, max_rows: int = 5_000_000) -> None:
