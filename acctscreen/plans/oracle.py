@@ -143,11 +143,11 @@ select company_uid, login_log_key, cast(access_time as date) access_date,
 from b2c_log where menu_id in ({_lst(DEFAULT_EB_CHECK_MENUS)}){cond}"""
 
 
-STEPS["events_all"] = _events(False)
-STEPS["events"] = _events(True)
+STEPS["log_events_all"] = _events(False)
+STEPS["log_events"] = _events(True)
 STEPS["counts_long"] = """
 select company_uid, access_date, category, count(distinct login_log_key) times
-from events group by company_uid, access_date, category"""
+from log_events group by company_uid, access_date, category"""
 STEPS["counts"] = """
 select company_uid, access_date,
   cast(sum(case when category = 'mb_limit' then times end) as bigint) mb_limit,
@@ -242,7 +242,7 @@ select * from sav_txn t where not exists (
     "customer_ids": _sql("select distinct cust_id from clean", "clean"),
     "txn_date_bounds": _sql(
         "select min(tx_date) min_tx_date, max(tx_date) max_tx_date from clean", "clean"),
-    "access_events": _sql("select * from events_all", "events_all"),
+    "access_events": _sql("select * from log_events_all", "log_events_all"),
     "access_counts_long": _sql("select * from counts_long", "counts_long"),
     "access_counts_wide": _sql("select * from counts", "counts"),
     "account_enriched": _sql("select * from enriched", "enriched"),
