@@ -37,6 +37,7 @@ from acctscreen.operators.exclusions import (
 )
 from acctscreen.plans.materialize import run_root, write_and_read
 from acctscreen.sources.inputs import ScreenInputs
+from acctscreen.sources.writers import export_csv as export_csv_text
 
 
 @dataclass(frozen=True)
@@ -166,13 +167,29 @@ class PipelineOutputs:
     output: DataFrame
 
 
+def window_bounds(snap_date: str, months: int = 1) -> tuple[str, str]:
+    """First and last day of the run's window, as ``yyyy-MM-dd`` text, with
+    Spark's ``add_months`` rule: the day is kept, clamped to the target
+    month's length (03-31 minus one month is 02-29; 02-29 gives 01-29)."""
+    import calendar
+    import datetime as dt
+
+    end = dt.date.fromisoformat(snap_date)
+    m0 = end.month - 1 - months
+    y, m = end.year + m0 // 12, m0 % 12 + 1
+    start = dt.date(y, m, min(end.day, calendar.monthrange(y, m)[1]))
+    return start.isoformat(), end.isoformat()
+
+
 def run_pipeline(
     spark: SparkSession, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
-    root: str | None = None,
+    root: str | None = None, export_csv: bool = False,
 ) -> PipelineOutputs:
     """Run the three stages for ``snap_date``, writing every hand-off table
     under ``root`` (default: a fresh folder in the shared checkpoint folder)
-    partitioned by ``snap_date``.
+    partitioned by ``snap_date``.  With ``export_csv`` the final table is
+    also written as CSV text (``yyyy-MM-dd`` dates, ``yyyy-MM-dd HH:mm:ss``
+    times) to ``export/features_<first day>_<last day>`` under the root.
 
     Every table is read back before its consumers run, so each stage's
     inputs are compact written tables, never a re-run of earlier joins."""
@@ -195,5 +212,8 @@ def run_pipeline(
     span = w("activity_span", customer_activity_span(features))
     counts = w("access_counts", access_counts(inp.mb_log, inp.b2c_log, span, cfg))
     output = w("output", attach_access_counts(features, counts))
+    if export_csv:
+        first, last = window_bounds(snap_date)
+        export_csv_text(output, f"{base}/export/features_{first}_{last}")
     return PipelineOutputs(base, ex.payroll, ex.flagged, ex.brokerage, ex.customers, cands,
                            cleaned, features, span, counts, output)

@@ -42,3 +42,27 @@ def test_entry_smoke(spark):
     assert df.count() == 380
     assert {"mb_limit", "mb_check", "eb_check", "acct_open_dt", "label"} <= set(df.columns)
     assert set(E.oracle_sql()) == set(E.queries())
+
+
+def test_window_bounds_month_ends(spark):
+    # Same days as Spark's add_months.
+    for d in ("2024-01-31", "2024-03-31", "2024-02-29", "2024-03-15", "2024-01-15"):
+        got = spark.sql(f"select cast(add_months(date '{d}', -1) as string) s").collect()[0].s
+        assert pipeline.window_bounds(d)[0] == got
+    assert pipeline.window_bounds("2024-01-31") == ("2023-12-31", "2024-01-31")
+    assert pipeline.window_bounds("2024-03-31") == ("2024-02-29", "2024-03-31")
+    assert pipeline.window_bounds("2024-02-29") == ("2024-01-29", "2024-02-29")
+    assert pipeline.window_bounds("2024-03-15") == ("2024-02-15", "2024-03-15")
+
+
+def test_csv_export_named_by_window(spark, tmp_path):
+    t = fixtures.load(spark, SF001)
+    pipeline.run_pipeline(spark, t, fixtures.TEST_CONFIG, fixtures.SNAP_DATE, root=str(tmp_path), export_csv=True)
+    folder = tmp_path / "export" / "features_2023-12-31_2024-01-31"
+    lines = "".join(p.read_text() for p in folder.glob("*.csv")).splitlines()
+    headers = [ln for ln in lines if ln.startswith("acct_nbr_ori,")]
+    assert headers and "mb_limit" in headers[0] and "tx_time" in headers[0]
+    assert len(lines) - len(headers) == 380
+    # Times as text with a space, dates as yyyy-MM-dd.
+    data = [ln for ln in lines if not ln.startswith("acct_nbr_ori,")]
+    assert any(" " in field and field[4] == "-" for field in data[0].split(","))
