@@ -8,8 +8,8 @@ Each ``*_stage`` function is lazy and returns DataFrames.  ``run_pipeline``
 writes every stage to Parquet under a shared output root and reads it back
 before the next stage: the written table is the hand-off, it cuts the
 lineage (a lost executor recomputes from the last stage output, not from
-the raw tables) and each stage can be rerun on its own.  ``screen`` is the same work as one
-lazy plan, without intermediate tables.
+the raw tables) and each stage can be rerun on its own (``stages=``).
+``screen`` is the same work as one lazy plan, without intermediate tables.
 """
 
 from __future__ import annotations
@@ -150,70 +150,90 @@ def _write_day(df: DataFrame, path: str, snap_date: str) -> DataFrame:
             .filter(F.col("snap_date") == day).drop("snap_date"))
 
 
+def _read_day(spark: SparkSession, path: str, snap_date: str) -> DataFrame:
+    """The ``snap_date`` partition of a stage table written earlier."""
+    day = F.lit(snap_date).cast("date")
+    return spark.read.parquet(path).filter(F.col("snap_date") == day).drop("snap_date")
+
+
 @dataclass(frozen=True)
 class PipelineOutputs:
-    """Stage tables of one run, each read back from its written files."""
+    """Stage tables of one run, each read back from its written files
+    (``None`` for a table that neither this run nor a later stage needs)."""
 
     root: str
-    payroll: DataFrame
-    flagged: DataFrame
-    brokerage: DataFrame
-    excluded_customers: DataFrame
-    candidates: DataFrame
-    cleaned: DataFrame
-    features: DataFrame
-    span: DataFrame
-    access_counts: DataFrame
-    output: DataFrame
-
+    payroll: DataFrame | None
+    flagged: DataFrame | None
+    brokerage: DataFrame | None
+    excluded_customers: DataFrame | None
+    candidates: DataFrame | None
+    cleaned: DataFrame | None
+    features: DataFrame | None
+    span: DataFrame | None
+    access_counts: DataFrame | None
+    output: DataFrame | None
 
-def window_bounds(snap_date: str, months: int = 1) -> tuple[str, str]:
-    """First and last day of the run's window, as ``yyyy-MM-dd`` text, with
-    Spark's ``add_months`` rule: the day is kept, clamped to the target
-    month's length (03-31 minus one month is 02-29; 02-29 gives 01-29)."""
-    import calendar
-    import datetime as dt
 
-    end = dt.date.fromisoformat(snap_date)
-    m0 = end.month - 1 - months
-    y, m = end.year + m0 // 12, m0 % 12 + 1
-    start = dt.date(y, m, min(end.day, calendar.monthrange(y, m)[1]))
-    return start.isoformat(), end.isoformat()
+ALL_STAGES = (1, 2, 3)
 
 
 def run_pipeline(
     spark: SparkSession, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
-    root: str | None = None, export_csv: bool = False,
+    root: str | None = None, export_csv: bool = False, stages: tuple[int, ...] = ALL_STAGES,
 ) -> PipelineOutputs:
-    """Run the three stages for ``snap_date``, writing every hand-off table
-    under ``root`` (default: a fresh folder in the shared checkpoint folder)
-    partitioned by ``snap_date``.  With ``export_csv`` the final table is
-    also written as CSV text (``yyyy-MM-dd`` dates, ``yyyy-MM-dd HH:mm:ss``
-    times) to ``export/features_<first day>_<last day>`` under the root.
+    """Run the stages of ``snap_date``, writing every hand-off table under
+    ``root`` (default: a fresh folder in the shared checkpoint folder)
+    partitioned by ``snap_date``.
+
+    * Stage 1: exclusion lists and candidate transactions.
+    * Stage 2: cleaning and enrichment, one written ``features`` table (the
+      enrichment only adds columns, so cleaned rows are not written twice).
+    * Stage 3: activity span, access counts, final ``output``.
+
+    ``stages`` reruns a subset, like the original three daily scripts; a
+    skipped stage's tables are read from ``root`` for the same day.  With
+    ``export_csv`` the final table is also written as CSV text
+    (``yyyy-MM-dd`` dates, ``yyyy-MM-dd HH:mm:ss`` times) to
+    ``export/features_<first day>_<last day>`` under the root.
 
     Every table is read back before its consumers run, so each stage's
     inputs are compact written tables, never a re-run of earlier joins."""
+    stages = tuple(sorted(set(stages)))
+    if not stages or not set(stages) <= set(ALL_STAGES):
+        raise ValueError(f"stages must be a subset of {ALL_STAGES}")
+    if stages != ALL_STAGES and root is None:
+        raise ValueError("running part of the stages needs the root of the others")
     base = (root or run_root(spark, "pipeline")).rstrip("/")
 
     def w(name: str, df: DataFrame) -> DataFrame:
         return _write_day(df, f"{base}/{name}", snap_date)
 
-    # Stage 1: exclusion lists, candidates, cleaning.
-    ex = exclusion_lists(inp, cfg, w)
-    cands = w("candidates", candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg))
-    # Stages 1-2 end in one written table: the enrichment only adds columns,
-    # so the cleaned rows are not written twice.  Rows of an account sit
-    # together, in time order, inside each file.
-    cleaned_lazy = clean(cands, cfg)
-    features = w("features", feature_stage(cleaned_lazy, inp, cfg, snap_date)
-                 .sortWithinPartitions(*CANDIDATE_ORDER))
-    cleaned = features.select(*cleaned_lazy.columns)
-    # Stage 3: spans, access counts, attached counts.
-    span = w("activity_span", customer_activity_span(features))
-    counts = w("access_counts", access_counts(inp.mb_log, inp.b2c_log, span, cfg))
-    output = w("output", attach_access_counts(features, counts))
-    if export_csv:
-        first, last = window_bounds(snap_date)
-        export_csv_text(output, f"{base}/export/features_{first}_{last}")
-    return PipelineOutputs(base, ex.payroll, ex.flagged, ex.brokerage, ex.customers, cands,
-                           cleaned, features, span, counts, output)
+    def r(name: str) -> DataFrame:
+        return _read_day(spark, f"{base}/{name}", snap_date)
+
+    ex = cands = features = span = counts = output = None
+    if 1 in stages:
+        ex = exclusion_lists(inp, cfg, w)
+        cands = w("candidates", candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg))
+    elif 2 in stages:
+        cands = r("candidates")
+    if 2 in stages:
+        # Rows of an account sit together, in time order, inside each file.
+        features = w("features", feature_stage(clean(cands, cfg), inp, cfg, snap_date)
+                     .sortWithinPartitions(*CANDIDATE_ORDER))
+    elif 3 in stages:
+        features = r("features")
+    if 3 in stages:
+        span = w("activity_span", customer_activity_span(features))
+        counts = w("access_counts", access_counts(inp.mb_log, inp.b2c_log, span, cfg))
+        output = w("output", attach_access_counts(features, counts))
+        if export_csv:
+            first, last = window_bounds(snap_date)
+            export_csv_text(output, f"{base}/export/features_{first}_{last}")
+    cleaned = features.select(*cfg.txn_columns) if features is not None else None
+    return PipelineOutputs(
+        base,
+        ex.payroll if ex else None, ex.flagged if ex else None,
+        ex.brokerage if ex else None, ex.customers if ex else None,
+        cands, cleaned, features, span, counts, output,
+    )

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from acctscreen.plans import pipeline
@@ -66,3 +68,37 @@ def test_csv_export_named_by_window(spark, tmp_path):
     # Times as text with a space, dates as yyyy-MM-dd.
     data = [ln for ln in lines if not ln.startswith("acct_nbr_ori,")]
     assert any(" " in field and field[4] == "-" for field in data[0].split(","))
+
+
+def test_stages_rerun_separately(spark, tmp_path):
+    t = fixtures.load(spark, SF001)
+    cfg, snap, root = fixtures.TEST_CONFIG, fixtures.SNAP_DATE, str(tmp_path)
+    one = pipeline.run_pipeline(spark, t, cfg, snap, root=root, stages=(1,))
+    assert one.output is None and one.candidates.count() == 1016
+    two = pipeline.run_pipeline(spark, t, cfg, snap, root=root, stages=(2,))
+    assert two.features.count() == 380 and two.cleaned.columns == list(cfg.txn_columns)
+    three = pipeline.run_pipeline(spark, t, cfg, snap, root=root, stages=(3,))
+    assert three.output.count() == 380 and three.access_counts.count() == 51
+    with pytest.raises(ValueError):
+        pipeline.run_pipeline(spark, t, cfg, snap, stages=(3,))
+
+
+def test_command_line_run(spark, tmp_path):
+    import json
+
+    from acctscreen.__main__ import main
+
+    t = fixtures.load(spark, SF001)
+    paths = {}
+    for name in ("sav_txn", "wmg_cust", "acct_exp", "ashf", "mb_log", "b2c_log", "invm"):
+        paths[name] = str(tmp_path / "in" / name)
+        getattr(t, name).write.parquet(paths[name])
+    (tmp_path / "tables.json").write_text(json.dumps(paths))
+    cfg = {"channels": list(fixtures.TEST_CHANNELS), "memos": list(fixtures.TEST_MEMOS),
+           "removed_remarks": list(fixtures.TEST_REMOVED_REMARKS),
+           "txn_columns": list(fixtures.TEST_TXN_COLUMNS)}
+    (tmp_path / "cfg.json").write_text(json.dumps(cfg))
+    root = str(tmp_path / "out")
+    main(["--snap-date", fixtures.SNAP_DATE, "--root", root, "--tables", str(tmp_path / "tables.json"),
+          "--config", str(tmp_path / "cfg.json")])
+    assert spark.read.parquet(root + "/output").count() == 380
