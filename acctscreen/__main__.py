@@ -1,8 +1,10 @@
 """Daily run from the command line (under ``spark-submit`` or ``python -m``).
 
-    spark-submit --py-files acctscreen.zip -m acctscreen \\
+    spark-submit --py-files acctscreen.zip acctscreen/__main__.py \\
         --snap-date 2024-01-31 --root hdfs:///screening --tables tables.json [--stages 1,2,3]
 
+or ``python -m acctscreen ...`` where a session can be built locally.
+
 ``tables.json`` maps the input names of ``TableNames`` (``sav_txn``,
 ``wmg_cust``, ``acct_exp``, ``ashf``, ``mb_log``, ``b2c_log``, ``invm``,
 optionally ``registered``) to metastore tables or Parquet paths.  An
