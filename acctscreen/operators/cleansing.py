@@ -101,7 +101,7 @@ def remove_exchanges(txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS) -> Dat
     the join through its own shuffle so that a hot booking group of the
     rows can be split over tasks (``distinct_join_keys``)."""
     groups = distinct_join_keys(exchange_groups(txn, keys), keys)
-    return txn.join(groups, list(keys), "left_anti")
+    return txn.join(groups, list(keys), "left_anti").select(*txn.columns)
 
 
 def duplicate_time_keys(txn: DataFrame, keys: Sequence[str] = ("acct_nbr_ori", "tx_time")) -> DataFrame:
@@ -128,7 +128,7 @@ def exclude_payroll(txn: DataFrame, payroll: DataFrame) -> DataFrame:
     pay = payroll.filter(F.col("payroll_code").isNotNull()).select(
         F.col("acct_no_14").alias("acct_nbr_ori")
     )
-    return txn.join(pay, "acct_nbr_ori", "left_anti")
+    return txn.join(pay, "acct_nbr_ori", "left_anti").select(*txn.columns)
 
 
 def clean(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
