@@ -98,13 +98,14 @@ class ScreenConfig:
 
 @dataclass(frozen=True)
 class TableNames:
-    """Where the inputs and stage outputs live (metastore names)."""
+    """Where the inputs live: metastore names or Parquet paths.  The defaults
+    are placeholder view names; a deployment passes its own."""
 
-    sav_txn: str = "dm_t_view.wmg_sav_txn"
-    wmg_cust: str = "dm_t_view.wmg_cust"
-    acct_exp: str = "bancs_cust_acct_exp"
+    sav_txn: str = "sav_txn"
+    wmg_cust: str = "wmg_cust"
+    acct_exp: str = "acct_exp"
     ashf: str = "ashf"
-    mb_log: str = "ods_t_view.mb_access_log"
-    b2c_log: str = "ods_t_view.b2c_access_log"
-    invm: str = "ods_t_view.invm"
+    mb_log: str = "mb_log"
+    b2c_log: str = "b2c_log"
+    invm: str = "invm"
     registered: str | None = None
