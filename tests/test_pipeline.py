@@ -102,3 +102,16 @@ def test_command_line_run(spark, tmp_path):
     main(["--snap-date", fixtures.SNAP_DATE, "--root", root, "--tables", str(tmp_path / "tables.json"),
           "--config", str(tmp_path / "cfg.json")])
     assert spark.read.parquet(root + "/output").count() == 380
+
+
+def test_session_time_zone_does_not_change_results(spark, tmp_path):
+    t = fixtures.load(spark, SF001)
+    cfg, snap = fixtures.TEST_CONFIG, fixtures.SNAP_DATE
+    utc = pipeline.run_pipeline(spark, t, cfg, snap, root=str(tmp_path / "utc")).output.collect()
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Taipei")
+    try:
+        other = pipeline.run_pipeline(spark, t, cfg, snap, root=str(tmp_path / "tpe")).output.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert sorted(map(tuple, utc), key=str) == sorted(map(tuple, other), key=str)
