@@ -5,6 +5,7 @@ from acctscreen.functions.predicates import (
     in_date_window,
     is_individual_id,
     isin_keep_null,
+    strict_cast,
     teller_code_ok,
 )
 from acctscreen.functions.datetime import (
@@ -19,6 +20,7 @@ __all__ = [
     "in_date_window",
     "is_individual_id",
     "isin_keep_null",
+    "strict_cast",
     "teller_code_ok",
     "date_text",
     "datetime_text",

@@ -53,3 +53,16 @@ def differs_with_null(c: str | Column) -> Column:
     n = F.count(c)
     # max/min are null for an all-null group: that group has one value.
     return F.coalesce(F.max(c) != F.min(c), F.lit(False)) | ((n > 0) & (n < F.count(F.lit(1))))
+
+
+def strict_cast(c: str | Column, data_type: str, name: str | None = None) -> Column:
+    """Cast that fails the job on a value that does not convert, whatever the
+    session's ANSI setting (with ANSI off a plain cast turns it into null).
+    A null stays null."""
+    c = _c(c)
+    v = c.try_cast(data_type)
+    label = name or "value"
+    return F.when(
+        c.isNotNull() & v.isNull(),
+        F.raise_error(F.concat(F.lit(f"cannot cast {label} to {data_type}: "), c.cast("string"))),
+    ).otherwise(v)

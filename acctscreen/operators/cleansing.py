@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.datetime import epoch_to_datetime
-from acctscreen.functions.predicates import differs_with_null, isin_keep_null
+from acctscreen.functions.predicates import differs_with_null, isin_keep_null, strict_cast
 from acctscreen.operators.joins import distinct_join_keys
 
 # Group of one booking: account, date-time and journal number.  After
@@ -37,8 +37,8 @@ def normalize_transactions(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
     """Typed, comparable transactions.
 
     * ``acct_nbr_ori`` zero-padded to the account width;
-    * ``drcr`` -> int, ``pb_bal``/``tx_amt`` -> double (ANSI casts: bad
-      text fails the job instead of turning into null);
+    * ``drcr`` -> int, ``pb_bal``/``tx_amt`` -> double; text that does not
+      convert fails the job instead of turning into null, in any session;
     * ``tx_date`` -> DATE;
     * ``tx_time`` (epoch seconds) -> ``tx_date`` at the UTC clock time of
       the epoch value, as TIMESTAMP_NTZ (written as
@@ -48,9 +48,9 @@ def normalize_transactions(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
     out = txn.withColumns(
         {
             "acct_nbr_ori": normalize_account("acct_nbr_ori", cfg.account_width),
-            "drcr": F.col("drcr").cast("int"),
-            "pb_bal": F.col("pb_bal").cast("double"),
-            "tx_amt": F.col("tx_amt").cast("double"),
+            "drcr": strict_cast("drcr", "int", "drcr"),
+            "pb_bal": strict_cast("pb_bal", "double", "pb_bal"),
+            "tx_amt": strict_cast("tx_amt", "double", "tx_amt"),
             "tx_date": F.col("tx_date").cast("date"),
             "tx_time": epoch_to_datetime("tx_date", "tx_time"),
         }

@@ -60,10 +60,18 @@ def test_normalize_full_epoch_and_long_account(spark):
     assert r.acct_nbr_ori == "123456789012345"  # longer than 14: kept whole, trimmed
 
 
-def test_normalize_bad_number_fails(spark):
-    df = normalize_transactions(txn(spark, [base(drcr="x")]), CFG)
-    with pytest.raises(Exception):
-        df.collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_normalize_bad_number_fails(spark, ansi):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for bad in (base(drcr="x"), base(tx_amt="1,5")):
+            with pytest.raises(Exception, match="cannot cast"):
+                normalize_transactions(txn(spark, [bad]), CFG).collect()
+        ok = normalize_transactions(txn(spark, [base(drcr=None, tx_amt=" 2.5 ")]), CFG).collect()[0]
+        assert ok.drcr is None and ok.tx_amt == 2.5
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
 
 
 def test_channel_memo_remark(spark):
