@@ -72,3 +72,19 @@ def test_log_scan_prunes_days_by_span_bounds(spark, tmp_path):
     pushed = [ln for ln in scan.splitlines() if ln.startswith("PushedFilters")][0]
     assert "access_date" in part and "Subquery" in part   # days pruned at run time
     assert "In(menu_id" in pushed
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_nothing_funnels_into_one_partition(spark, name):
+    """A single-partition exchange may only feed a global aggregate (one
+    row per task arrives) or a top-k/limit; no window runs without a
+    partition key."""
+    df = E.queries()[name](spark, SF001)
+    lines = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple").splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            parent = lines[i - 1]
+            assert ("HashAggregate(keys=[]" in parent or "TakeOrderedAndProject" in parent
+                    or "Limit" in parent), f"{name}: {parent.strip()}"
+        if " Window [" in line or line.lstrip(" :+-").startswith("Window ["):
+            assert "windowspecdefinition(specifiedwindowframe" not in line, f"{name}: {line.strip()}"
