@@ -104,3 +104,19 @@ def test_recommended_conf_sizes_partitions(spark):
     c = recommended_conf(10 * (1 << 40), total_cores=4000)   # a 10 TB shuffle
     assert int(c["spark.sql.shuffle.partitions"]) == 40960
     assert recommended_conf(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_apply_unset_keeps_launch_settings(spark):
+    from acctscreen.plans.tuning import apply_unset
+
+    # spark.sql.shuffle.partitions was given at launch (conftest): kept.
+    launch = spark.conf.get("spark.sql.shuffle.partitions")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key)
+    try:
+        applied = apply_unset(spark, {"spark.sql.shuffle.partitions": "999", key: "128m"})
+        assert "spark.sql.shuffle.partitions" not in applied
+        assert spark.conf.get("spark.sql.shuffle.partitions") == launch
+        assert applied == {key: "128m"} and spark.conf.get(key) == "128m"
+    finally:
+        spark.conf.set(key, prev)
