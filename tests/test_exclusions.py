@@ -78,3 +78,25 @@ def test_lists(spark):
     assert rows(ex) == sorted(
         [("00000000000001",), ("00000000000002",), ("1",), ("2",), ("3",), ("4",), ("5",), ("f1",)]
     )
+
+
+def test_not_in_is_forced_to_broadcast_but_exclude_is_not(spark):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        outer = spark.createDataFrame(OUTER, "k string")
+        ex = spark.createDataFrame(LISTS["plain"], "v string")
+        outer.createOrReplaceTempView("o2")
+        ex.createOrReplaceTempView("x2")
+        sql_plan = spark.sql("select k from o2 where k not in (select v from x2)")._jdf.queryExecution() \
+            .executedPlan().toString()
+        ours = exclude(outer, ex, "k", "v")
+        our_plan = ours._jdf.queryExecution().executedPlan().toString()
+        # SQL NOT IN: a null-aware broadcast anti join even with broadcasts disabled.
+        assert "BroadcastHashJoin" in sql_plan and "LeftAnti, BuildRight, true" in sql_plan
+        # exclude(): an ordinary sort-merge anti join, same rows.
+        assert "SortMergeJoin" in our_plan and "LeftAnti" in our_plan
+        assert "BroadcastHashJoin" not in our_plan
+        assert rows(ours) == rows(spark.table("o2").where("k not in (select v from x2)"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
