@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctscreen.llm import op1_secrets, op2_mixing, op6_sharding, op7_warc, op10_topk
+from acctscreen.llm import op1_secrets, op2_mixing, op3_brown, op5_lshforest, op6_sharding, op7_warc, op10_topk
 from acctscreen.llm.common import table
 from acctscreen.llm.oracle import ORACLE
 
@@ -22,6 +22,14 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_brown.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op5_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_lshforest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_sharding.shard_rows(table(spark, sf_dir, "documents"))
 
@@ -39,6 +47,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_secret_scan,
         op2_source_mix,
+        op3_brown_lm,
+        op5_lsh_forest_join,
         op6_slot_sharding,
         op7_warc_roundtrip,
         op10_exact_topk,
