@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctscreen.llm import op1_secrets, op2_mixing, op3_brown, op5_lshforest, op6_sharding, op7_warc, op10_topk
+from acctscreen.llm import op1_secrets, op2_mixing, op3_brown, op4_toxicity, op5_lshforest, op6_sharding, op7_warc, op8_decontaminate, op9_langid, op10_topk
 from acctscreen.llm.common import table
 from acctscreen.llm.oracle import ORACLE
 
@@ -26,6 +26,10 @@ def op3_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_brown.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_lshforest.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,14 @@ def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_langid.identify_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -48,9 +60,12 @@ QUERIES: dict[str, Query] = {
         op1_secret_scan,
         op2_source_mix,
         op3_brown_lm,
+        op4_toxicity_lexicon,
         op5_lsh_forest_join,
         op6_slot_sharding,
         op7_warc_roundtrip,
+        op8_latent_decontamination,
+        op9_language_id,
         op10_exact_topk,
     )
 }
