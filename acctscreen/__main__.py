@@ -5,9 +5,10 @@
 
 or ``python -m acctscreen ...`` where a session can be built locally.
 
-``tables.json`` maps the input names of ``TableNames`` (``sav_txn``,
-``wmg_cust``, ``acct_exp``, ``ashf``, ``mb_log``, ``b2c_log``, ``invm``,
-optionally ``registered``) to metastore tables or Parquet paths.  An
+``tables.json`` maps the input names of ``TableNames`` (``savings_txn``,
+``customers``, ``account_flags``, ``brokerage_links``, ``mobile_log``, ``web_log``, ``account_snapshot``,
+optionally ``registered``) to metastore tables, Parquet paths or objects of
+JDBC options (``url``, ``query``, ...).  An
 optional ``--config`` JSON file overrides ``ScreenConfig`` fields (lists as
 JSON arrays).  The session comes from ``spark-submit``; nothing here sizes
 executors.
@@ -29,6 +30,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--tables", required=True, help="JSON file: input name -> table or path")
     p.add_argument("--config", help="JSON file of ScreenConfig overrides")
     p.add_argument("--stages", default="1,2,3", help="comma-separated subset of 1,2,3")
+    p.add_argument("--shuffle-gb", type=float, help="size of the largest shuffle: sets what the launch configuration leaves unset")
+    p.add_argument("--cores", type=int, default=1, help="cores of all executors, for --shuffle-gb")
     p.add_argument("--export-csv", action="store_true", help="also write the final table as CSV")
     return p.parse_args(argv)
 
@@ -39,7 +42,7 @@ def load_config(path: str | None) -> ScreenConfig:
     with open(path, encoding="utf-8") as fh:
         raw = json.load(fh)
     fields = {k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()}
-    if "registered_keys" in fields:
+    if "registered_keys" in fields:  # pairs
         fields["registered_keys"] = tuple(tuple(p) for p in fields["registered_keys"])
     return ScreenConfig(**fields)
 
@@ -48,12 +51,15 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     from pyspark.sql import SparkSession
 
     from acctscreen.plans.pipeline import run_pipeline
+    from acctscreen.plans.tuning import apply_unset, recommended_conf
     from acctscreen.sources.inputs import load_inputs
 
     args = parse_args(sys.argv[1:] if argv is None else argv)
     with open(args.tables, encoding="utf-8") as fh:
         names = TableNames(**json.load(fh))
     spark = SparkSession.builder.appName(f"acctscreen-{args.snap_date}").getOrCreate()
+    if args.shuffle_gb:
+        apply_unset(spark, recommended_conf(int(args.shuffle_gb * (1 << 30)), args.cores))
     out = run_pipeline(
         spark, load_inputs(spark, names), load_config(args.config), args.snap_date,
         root=args.root, export_csv=args.export_csv,

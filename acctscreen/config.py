@@ -91,6 +91,10 @@ class ScreenConfig:
     null_aware_exclusions: bool = True
     # Keys of the optional registered-transfer lookup: (txn column, table column).
     registered_keys: tuple[tuple[str, str], ...] = field(default=())
+    # Columns taken from that table, in the order that picks one row per key.
+    registered_columns: tuple[str, ...] = ()
+    # The logs' own day column for the range test (None: the day of access_time).
+    log_day_column: str | None = None
 
     def with_(self, **changes) -> "ScreenConfig":
         return replace(self, **changes)
@@ -98,14 +102,15 @@ class ScreenConfig:
 
 @dataclass(frozen=True)
 class TableNames:
-    """Where the inputs live: metastore names or Parquet paths.  The defaults
-    are placeholder view names; a deployment passes its own."""
-
-    sav_txn: str = "sav_txn"
-    wmg_cust: str = "wmg_cust"
-    acct_exp: str = "acct_exp"
-    ashf: str = "ashf"
-    mb_log: str = "mb_log"
-    b2c_log: str = "b2c_log"
-    invm: str = "invm"
-    registered: str | None = None
+    """Where the inputs live: metastore names, Parquet paths, or JDBC options
+    (a mapping with ``url``, ``query`` and the other arguments of
+    ``read_jdbc``).  The defaults are placeholder view names."""
+
+    savings_txn: str | dict = "savings_txn"
+    customers: str | dict = "customers"
+    account_flags: str | dict = "account_flags"
+    brokerage_links: str | dict = "brokerage_links"
+    mobile_log: str | dict = "mobile_log"
+    web_log: str | dict = "web_log"
+    account_snapshot: str | dict = "account_snapshot"
+    registered: str | dict | None = None

@@ -9,10 +9,7 @@ from acctscreen.functions.predicates import (
     teller_code_ok,
 )
 from acctscreen.functions.datetime import (
-    date_text,
-    datetime_text,
     epoch_to_datetime,
-    utc_clock_text,
 )
 
 __all__ = [
@@ -22,8 +19,5 @@ __all__ = [
     "isin_keep_null",
     "strict_cast",
     "teller_code_ok",
-    "date_text",
-    "datetime_text",
     "epoch_to_datetime",
-    "utc_clock_text",
 ]

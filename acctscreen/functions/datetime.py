@@ -25,19 +25,3 @@ def epoch_to_datetime(day: str | Column, epoch_seconds: str | Column) -> Column:
     return _c(day).cast("date").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), secs
     )
-
-
-def date_text(c: str | Column) -> Column:
-    """Date as ``yyyy-MM-dd`` text."""
-    return F.date_format(_c(c), DATE_FORMAT)
-
-
-def utc_clock_text(epoch_seconds: str | Column) -> Column:
-    """``HH:mm:ss`` of an epoch-seconds value read in UTC."""
-    ts = epoch_to_datetime(F.lit("1970-01-01"), epoch_seconds)
-    return F.date_format(ts, "HH:mm:ss")
-
-
-def datetime_text(c: str | Column) -> Column:
-    """Timestamp as ``yyyy-MM-dd HH:mm:ss`` text."""
-    return F.date_format(_c(c), DATETIME_FORMAT)

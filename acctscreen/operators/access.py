@@ -18,39 +18,39 @@ def _category(menu: Column, cases: list[tuple[tuple[str, ...], str]]) -> Column:
     return out
 
 
-def _log_day(log: DataFrame) -> Column:
-    # The day column the range filter reads: the log's own ``access_date``
-    # when it has one (often its partition column), else the day of
-    # ``access_time``.
-    if "access_date" in log.columns:
-        return F.to_date(F.col("access_date"))
-    return F.to_date(F.col("access_time"))
-
-
-def access_events(mb_log: DataFrame, web_log: DataFrame, cfg: ScreenConfig,
-                  span: DataFrame | None = None) -> DataFrame:
+def access_events(mobile_log: DataFrame, web_log: DataFrame, cfg: ScreenConfig,
+                  span: DataFrame | None = None, window: tuple[str, str] | None = None) -> DataFrame:
     """Lookups of interest from both logs, one row per log line:
     ``(company_uid, login_log_key, access_date, category)``.
 
     The mobile log counts toward ``mb_check``/``mb_limit``, the web log
     toward ``eb_check``; other menus are dropped.  ``access_date`` is the
     day of ``access_time``.  With ``span`` given, only customers of the span
-    and days inside its overall ``[min_date, max_date]`` range are kept; the
-    range test reads the log's own ``access_date`` when it has one (usually
-    its partition column, so whole days are pruned at listing time)."""
+    and days inside its overall ``[min_date, max_date]`` range are kept.  The
+    range test reads ``cfg.log_day_column`` if one is named (often the logs'
+    partition column; both must have it), else the day of ``access_time``.
+
+    ``window`` is the run's first and last day as literals.  The span lies
+    inside it, so it changes no result, but as a range on the logs' own
+    column it reaches the scan, where days and row groups are skipped."""
+    base = F.col(cfg.log_day_column or "access_time")
     parts = []
     for log, cases in (
-        (mb_log, [(cfg.mb_check_menus, MB_CHECK), (cfg.mb_limit_menus, MB_LIMIT)]),
+        (mobile_log, [(cfg.mb_check_menus, MB_CHECK), (cfg.mb_limit_menus, MB_LIMIT)]),
         (web_log, [(cfg.eb_check_menus, EB_CHECK)]),
     ):
         menus = [m for ms, _ in cases for m in ms]
+        wanted = F.col("menu_id").isin(menus)
+        if window is not None:
+            first, last = (F.lit(d).cast("date") for d in window)
+            wanted = wanted & (base >= first) & (base < F.date_add(last, 1))
         parts.append(
-            log.filter(F.col("menu_id").isin(menus)).select(
+            log.filter(wanted).select(
                 "company_uid",
                 "login_log_key",
                 F.to_date(F.col("access_time")).alias("access_date"),
                 _category(F.col("menu_id"), cases).alias("category"),
-                _log_day(log).alias("__day"),
+                F.to_date(base).alias("__day"),
             )
         )
     events = parts[0].unionByName(parts[1])
@@ -86,7 +86,8 @@ def access_counts_long(events: DataFrame) -> DataFrame:
     )
 
 
-def access_counts(mb_log: DataFrame, web_log: DataFrame, span: DataFrame, cfg: ScreenConfig) -> DataFrame:
+def access_counts(mobile_log: DataFrame, web_log: DataFrame, span: DataFrame, cfg: ScreenConfig,
+                  window: tuple[str, str] | None = None) -> DataFrame:
     """Per known customer and day inside the span's range:
     ``(company_uid, access_date, mb_limit, mb_check, eb_check)``, each the
     number of distinct logins of that category, null when the customer had
@@ -94,7 +95,7 @@ def access_counts(mb_log: DataFrame, web_log: DataFrame, span: DataFrame, cfg: S
 
     Distinct logins first, then one pivoting group-by that counts the
     three categories at once (no intermediate count table, no Expand)."""
-    logins = _distinct_logins(access_events(mb_log, web_log, cfg, span))
+    logins = _distinct_logins(access_events(mobile_log, web_log, cfg, span, window))
     counted = F.col("login_log_key").isNotNull().cast("long")
     return logins.groupBy("company_uid", "access_date").agg(
         *[

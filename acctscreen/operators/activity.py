@@ -3,7 +3,7 @@ last transaction day of the customer, plus the id list and date bounds."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,21 +11,26 @@ def customer_activity_span(txn: DataFrame) -> DataFrame:
     """``(acct_nbr_ori, cust_id, max_date, min_date)``: distinct pairs, the
     customer's last and first ``tx_date`` as midnight TIMESTAMP_NTZ.
 
-    Two aggregation levels instead of two group-bys and two joins: first
-    per (customer, account), partial-aggregated so each task ships one row
-    per pair; then the customer's bounds by a window over the (much smaller)
-    pair rows.  Rows with a null customer form no span."""
+    Each task sends one row per pair; the customers' bounds are aggregated
+    from the pairs, again partially, and joined back.  The bounds are grouped
+    on a struct so that they reach the join by a shuffle of their own: AQE
+    can then split a customer with a large share of the accounts.  Rows with
+    a null customer form no span."""
     pairs = (
         txn.filter(F.col("cust_id").isNotNull())
         .groupBy("cust_id", "acct_nbr_ori")
         .agg(F.max("tx_date").alias("pair_max"), F.min("tx_date").alias("pair_min"))
     )
-    w = Window.partitionBy("cust_id")
-    return pairs.select(
+    bounds = (
+        pairs.groupBy(F.struct("cust_id").alias("__k"))
+        .agg(F.max("pair_max").alias("__max"), F.min("pair_min").alias("__min"))
+        .select(F.col("__k.cust_id").alias("cust_id"), "__max", "__min")
+    )
+    return pairs.join(bounds, "cust_id").select(
         "acct_nbr_ori",
         "cust_id",
-        F.max("pair_max").over(w).cast("date").cast("timestamp_ntz").alias("max_date"),
-        F.min("pair_min").over(w).cast("date").cast("timestamp_ntz").alias("min_date"),
+        F.col("__max").cast("date").cast("timestamp_ntz").alias("max_date"),
+        F.col("__min").cast("date").cast("timestamp_ntz").alias("min_date"),
     )
 
 

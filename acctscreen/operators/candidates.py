@@ -46,11 +46,3 @@ def ordered(df: DataFrame, keys: tuple[str, ...] = CANDIDATE_ORDER) -> DataFrame
     so no single task sorts everything."""
     rest = [c for c in df.columns if c not in keys]
     return df.orderBy(*[F.col(k).asc() for k in keys], *[F.col(c).asc_nulls_first() for c in rest])
-
-
-def sorted_within_partitions(df: DataFrame, keys: tuple[str, ...] = CANDIDATE_ORDER) -> DataFrame:
-    """Order for a table write: rows clustered by account and sorted inside
-    each file (min/max statistics then prune account lookups).  Ranges are
-    cut on the whole key, so a busy account's rows spread over several
-    ranges by date and time instead of filling one task."""
-    return df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)

@@ -37,9 +37,10 @@ def normalize_transactions(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
     """Typed, comparable transactions.
 
     * ``acct_nbr_ori`` zero-padded to the account width;
-    * ``drcr`` -> int, ``pb_bal``/``tx_amt`` -> double; text that does not
-      convert fails the job instead of turning into null, in any session;
-    * ``tx_date`` -> DATE;
+    * ``drcr`` -> int, ``pb_bal``/``tx_amt`` -> double, ``tx_date`` -> DATE;
+      text that does not convert fails the job instead of turning into null,
+      in any session.  A null stays null.  Rows that another filter removes
+      before the cast is evaluated are not checked;
     * ``tx_time`` (epoch seconds) -> ``tx_date`` at the UTC clock time of
       the epoch value, as TIMESTAMP_NTZ (written as
       ``yyyy-MM-dd HH:mm:ss`` text by ``export_csv``);
@@ -51,8 +52,8 @@ def normalize_transactions(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
             "drcr": strict_cast("drcr", "int", "drcr"),
             "pb_bal": strict_cast("pb_bal", "double", "pb_bal"),
             "tx_amt": strict_cast("tx_amt", "double", "tx_amt"),
-            "tx_date": F.col("tx_date").cast("date"),
-            "tx_time": epoch_to_datetime("tx_date", "tx_time"),
+            "tx_date": strict_cast("tx_date", "date", "tx_date"),
+            "tx_time": epoch_to_datetime(strict_cast("tx_date", "date", "tx_date"), strict_cast("tx_time", "long", "tx_time")),
         }
     )
     if cfg.tx_mode is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.predicates import is_individual_id
 from acctscreen.operators.joins import distinct_join_keys
+from acctscreen.plans.materialize import run_root, write_and_read
 
 
 def payroll_accounts(txn: DataFrame, cust: DataFrame) -> DataFrame:
@@ -28,11 +29,11 @@ def payroll_accounts(txn: DataFrame, cust: DataFrame) -> DataFrame:
     )
 
 
-def payroll_from_snapshot(invm: DataFrame) -> DataFrame:
+def payroll_from_snapshot(account_snapshot: DataFrame) -> DataFrame:
     """The older payroll source: distinct ``(acct_no_14, payroll_code)`` of an
     account snapshot whose payroll code is not blank."""
     code = F.nullif(F.trim(F.col("payroll_code")), F.lit(""))
-    return invm.filter(code.isNotNull()).select("acct_no_14", "payroll_code").distinct()
+    return account_snapshot.filter(code.isNotNull()).select("acct_no_14", "payroll_code").distinct()
 
 
 FLAG_COLUMNS = (
@@ -42,14 +43,10 @@ FLAG_COLUMNS = (
 FLAG_TESTS = ("derivative_flg", "swindle_moratorium_flg", "swindle_flg", "alert_flg")
 
 
-def flagged_accounts(acct_exp: DataFrame) -> DataFrame:
-    """Accounts carrying any of the four flags (the eight flag columns;
-    columns absent from the input are skipped)."""
-    present = set(acct_exp.columns)
-    tests = [F.col(c) for c in FLAG_TESTS if c in present]
-    return acct_exp.filter(F.coalesce(*tests).isNotNull()).select(
-        *[c for c in FLAG_COLUMNS if c in present]
-    )
+def flagged_accounts(account_flags: DataFrame) -> DataFrame:
+    """Accounts carrying any of the four flags: the eight flag columns, all of
+    which the input must have (in either case)."""
+    return account_flags.filter(F.coalesce(*FLAG_TESTS).isNotNull()).select(*[F.col(c).alias(c) for c in FLAG_COLUMNS])
 
 
 def brokerage_accounts(sec: DataFrame, cfg: ScreenConfig) -> DataFrame:
@@ -65,10 +62,10 @@ def brokerage_accounts(sec: DataFrame, cfg: ScreenConfig) -> DataFrame:
     return sec.filter(hit).select("dep_acct_no").distinct()
 
 
-def excluded_accounts(acct_exp: DataFrame, payroll: DataFrame, brokerage: DataFrame) -> DataFrame:
+def excluded_accounts(account_flags: DataFrame, payroll: DataFrame, brokerage: DataFrame) -> DataFrame:
     """Union of alert-flagged, payroll and brokerage accounts, distinct,
     as one column ``acct_nbr_ori``."""
-    alert = acct_exp.filter(F.col("alert_flg") == "Y").select(F.col("acct_no_sav").alias("acct_nbr_ori"))
+    alert = account_flags.filter(F.col("alert_flg") == "Y").select(F.col("acct_no_sav").alias("acct_nbr_ori"))
     pay = payroll.select(F.col("acct_no_14").alias("acct_nbr_ori"))
     sec = brokerage.select(F.col("dep_acct_no").alias("acct_nbr_ori"))
     return alert.unionByName(pay).unionByName(sec).distinct()
@@ -90,20 +87,25 @@ def exclude(
     unless the list is empty.  Spark plans ``NOT IN`` as a broadcast
     null-aware anti join whatever the list size; this form is an ordinary
     equi anti join (sort-merge, or broadcast when AQE measures the list as
-    small) plus two list statistics read through one scalar subquery.
+    small) plus two list statistics read through one scalar subquery.  The
+    two plans of the list differ, so ``ex`` is computed twice: pass a stored
+    list (``store_list``) if that is more than a scan.
 
     ``null_aware=False`` is a plain ``left_anti`` join (NOT EXISTS)."""
     ex_key = ex_key or key
-    # Both the anti join and the statistics read this one de-duplicated
-    # list, so they share its shuffle (one scan of the list's inputs).
     right = distinct_join_keys(ex.select(F.col(ex_key).alias("__ex_key")), ["__ex_key"])
     kept = df.join(right, F.col(key) == F.col("__ex_key"), "left_anti")
     if not null_aware:
         return kept
-    s = right.agg(
+    s = ex.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("__ex_key").isNull()).alias("n_null"),
+            F.count_if(F.col(ex_key).isNull()).alias("n_null"),
         )
     ).scalar()
     return kept.filter((s["n"] == 0) | (F.col(key).isNotNull() & (s["n_null"] == 0)))
+
+
+def store_list(ex: DataFrame) -> DataFrame:
+    """``ex`` computed once, and a scan of what was stored."""
+    return write_and_read(ex, run_root(ex.sparkSession, "list"))

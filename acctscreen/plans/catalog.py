@@ -1,24 +1,32 @@
 """Registered queries: one per operator of the screening job, each over the
 whole bank-shaped views of a test scale (``acctscreen.sources.fixtures``).
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame.  Queries
+that store intermediate tables run those jobs while the frame is built.
 ``acctscreen.plans.oracle`` holds an SQL twin for each key.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctscreen.operators import access, activity, candidates, cleansing, enrich, exclusions
 from acctscreen.plans import pipeline
-from acctscreen.plans.materialize import run_root, write_and_read
+from acctscreen.config import ScreenConfig
+from acctscreen.plans.materialize import run_root, table_name, write_and_read
 from acctscreen.sources import fixtures
 from acctscreen.sources.fixtures import SNAP_DATE, TEST_CONFIG as CFG
 from acctscreen.sources.inputs import ScreenInputs
-from acctscreen.sources.writers import preview
+from acctscreen.sources.readers import read_csv, read_table, sql_file
+from acctscreen.sources.writers import export_csv, overwrite_table, preview, refresh, write_day
+
+WINDOW = pipeline.window_bounds(SNAP_DATE)
+MONTH_SQL = Path(__file__).parent.parent / "sql" / "month_of_transactions.sql"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,15 +43,19 @@ def _with_inputs(fn: Callable[[ScreenInputs], DataFrame]) -> Query:
 # -- exclusion lists ---------------------------------------------------------
 
 def q_flagged_accounts(t: ScreenInputs) -> DataFrame:
-    return exclusions.flagged_accounts(t.acct_exp)
+    return exclusions.flagged_accounts(t.account_flags)
 
 
 def q_brokerage_accounts(t: ScreenInputs) -> DataFrame:
-    return exclusions.brokerage_accounts(t.ashf, CFG)
+    return exclusions.brokerage_accounts(t.brokerage_links, CFG)
 
 
 def q_payroll_accounts(t: ScreenInputs) -> DataFrame:
-    return exclusions.payroll_accounts(t.sav_txn, t.wmg_cust)
+    return exclusions.payroll_accounts(t.savings_txn, t.customers)
+
+
+def q_payroll_from_snapshot(t: ScreenInputs) -> DataFrame:
+    return exclusions.payroll_from_snapshot(t.account_snapshot)
 
 
 def q_excluded_accounts(t: ScreenInputs) -> DataFrame:
@@ -51,7 +63,7 @@ def q_excluded_accounts(t: ScreenInputs) -> DataFrame:
 
 
 def q_excluded_customers(t: ScreenInputs) -> DataFrame:
-    return exclusions.excluded_customers(t.wmg_cust, CFG)
+    return exclusions.excluded_customers(t.customers, CFG)
 
 
 def q_exclude_null_aware(t: ScreenInputs) -> DataFrame:
@@ -60,14 +72,14 @@ def q_exclude_null_aware(t: ScreenInputs) -> DataFrame:
     age = F.col("age")
     code = F.concat(F.lit("R"), (age % 10).cast("string"))
     lists = {
-        "list": t.wmg_cust.filter(age < 3).select(code.alias("v")),
-        "list_with_null": t.wmg_cust.filter(age < 3).select(
+        "list": t.customers.filter(age < 3).select(code.alias("v")),
+        "list_with_null": t.customers.filter(age < 3).select(
             F.when(age == 0, F.lit(None).cast("string")).otherwise(code).alias("v")),
-        "empty_list": t.wmg_cust.filter(age < 0).select(code.alias("v")),
+        "empty_list": t.customers.filter(age < 0).select(code.alias("v")),
     }
-    txn = t.sav_txn.select("acct_nbr_ori", "jrnl_no", "remk")
+    txn = t.savings_txn.select("acct_nbr_ori", "jrnl_no", "remk")
     parts = [
-        exclusions.exclude(txn, ex, "remk", "v", null_aware=True).withColumn("tag", F.lit(tag))
+        exclusions.exclude(txn, exclusions.store_list(ex), "remk", "v", null_aware=True).withColumn("tag", F.lit(tag))
         for tag, ex in lists.items()
     ]
     out = parts[0]
@@ -81,7 +93,7 @@ def q_exclude_null_aware(t: ScreenInputs) -> DataFrame:
 def _writer(t: ScreenInputs, label: str) -> pipeline.TableWriter:
     # Stage tables of one query go to a fresh folder in the shared
     # checkpoint folder, as in ``run_pipeline``.
-    return pipeline.table_writer(run_root(t.sav_txn.sparkSession, label))
+    return pipeline.table_writer(run_root(t.savings_txn.sparkSession, label))
 
 
 def _candidates(t: ScreenInputs) -> DataFrame:
@@ -107,11 +119,11 @@ def q_candidate_preview(t: ScreenInputs) -> DataFrame:
 
 
 def q_normalized_transactions(t: ScreenInputs) -> DataFrame:
-    return cleansing.normalize_transactions(t.sav_txn, CFG)
+    return cleansing.normalize_transactions(t.savings_txn, CFG)
 
 
 def _memo_filtered(t: ScreenInputs) -> DataFrame:
-    return cleansing.filter_channel_memo(t.sav_txn, CFG)
+    return cleansing.filter_channel_memo(t.savings_txn, CFG)
 
 
 def q_channel_memo_filtered(t: ScreenInputs) -> DataFrame:
@@ -139,7 +151,7 @@ def q_clean_transactions(t: ScreenInputs) -> DataFrame:
 
 
 def q_payroll_excluded(t: ScreenInputs) -> DataFrame:
-    return cleansing.exclude_payroll(t.sav_txn, exclusions.payroll_accounts(t.sav_txn, t.wmg_cust))
+    return cleansing.exclude_payroll(t.savings_txn, exclusions.payroll_accounts(t.savings_txn, t.customers))
 
 
 # -- spans and access counts -------------------------------------------------
@@ -151,7 +163,7 @@ def _span(t: ScreenInputs) -> DataFrame:
 def _span_table(t: ScreenInputs) -> DataFrame:
     # The span feeds both the customer semi join and the date bounds:
     # written once, read twice, instead of re-running the cleaning twice.
-    spark = t.sav_txn.sparkSession
+    spark = t.savings_txn.sparkSession
     return write_and_read(_span(t), run_root(spark, "span"))
 
 
@@ -168,39 +180,94 @@ def q_txn_date_bounds(t: ScreenInputs) -> DataFrame:
 
 
 def q_access_events(t: ScreenInputs) -> DataFrame:
-    return access.access_events(t.mb_log, t.b2c_log, CFG)
+    return access.access_events(t.mobile_log, t.web_log, CFG)
 
 
 def q_access_counts_long(t: ScreenInputs) -> DataFrame:
-    return access.access_counts_long(access.access_events(t.mb_log, t.b2c_log, CFG, _span_table(t)))
+    return access.access_counts_long(access.access_events(t.mobile_log, t.web_log, CFG, _span_table(t), WINDOW))
 
 
 def q_access_counts_wide(t: ScreenInputs) -> DataFrame:
-    return access.access_counts(t.mb_log, t.b2c_log, _span_table(t), CFG)
+    return access.access_counts(t.mobile_log, t.web_log, _span_table(t), CFG, WINDOW)
+
+
+def q_access_counts_log_day(t: ScreenInputs) -> DataFrame:
+    """The counts, with the range test on the logs' own day column."""
+    return access.access_counts(t.mobile_log, t.web_log, _span_table(t), fixtures.LOG_DAY_CONFIG, WINDOW)
 
 
 # -- features ----------------------------------------------------------------
 
 def q_account_enriched(t: ScreenInputs) -> DataFrame:
-    return enrich.enrich_accounts(_cleaned(t), t.invm, SNAP_DATE)
+    return enrich.enrich_accounts(_cleaned(t), t.account_snapshot, SNAP_DATE)
+
+
+def q_account_registered(t: ScreenInputs) -> DataFrame:
+    """The feature stage with registered transfers, of which an account has several."""
+    return pipeline.feature_stage(_cleaned(t), t, fixtures.REGISTERED_CONFIG, SNAP_DATE)
 
 
 def q_flagship_features(t: ScreenInputs) -> DataFrame:
     """The whole daily run: stage tables written under the shared
     checkpoint folder, the final table returned."""
-    return pipeline.run_pipeline(t.sav_txn.sparkSession, t, CFG, SNAP_DATE).output
+    return pipeline.run_pipeline(t.savings_txn.sparkSession, t, CFG, SNAP_DATE).output
 
 
 def q_nonzero_preview(t: ScreenInputs) -> DataFrame:
     """The original job's eyeball check of the final table: two rows with a
     non-zero ``mb_limit``, first in account/date/time order."""
-    out = pipeline.run_pipeline(t.sav_txn.sparkSession, t, CFG, SNAP_DATE).output
+    out = pipeline.run_pipeline(t.savings_txn.sparkSession, t, CFG, SNAP_DATE).output
     return preview(candidates.ordered(out.filter(F.col("mb_limit") != 0)), 2)
 
 
 def q_screen_lazy(t: ScreenInputs) -> DataFrame:
-    """The same result as ``flagship_features`` as one lazy plan."""
-    return pipeline.screen(t, CFG, SNAP_DATE)
+    """The same result as ``flagship_features``, storing the lists, the
+    candidates and the features only."""
+    return pipeline.screen(t, CFG, SNAP_DATE, _writer(t, "screen"))
+
+
+def q_clean_production_lists(t: ScreenInputs) -> DataFrame:
+    """Channel, memo and remark rules with the production's default lists."""
+    return cleansing.filter_channel_memo(fixtures.with_production_values(t.savings_txn), ScreenConfig())
+
+
+# -- sources and sinks ---------------------------------------------------------
+
+def q_csv_roundtrip(t: ScreenInputs) -> DataFrame:
+    """The normalised transactions as CSV text, read with an explicit schema."""
+    spark, path = t.savings_txn.sparkSession, run_root(t.savings_txn.sparkSession, "csv")
+    typed = cleansing.normalize_transactions(t.savings_txn, CFG)
+    export_csv(typed, path)
+    return read_csv(spark, path, typed.schema)
+
+
+def q_sql_file_table(t: ScreenInputs) -> DataFrame:
+    """A table made from an SQL file with parameters, read by its name."""
+    spark = t.savings_txn.sparkSession
+    t.savings_txn.createOrReplaceTempView("acctscreen_transactions")
+    name = table_name(spark, "month")
+    overwrite_table(sql_file(spark, MONTH_SQL, tbl="acctscreen_transactions", snap=dt.date.fromisoformat(SNAP_DATE)), name)
+    return read_table(spark, name)
+
+
+def q_partitioned_roundtrip(t: ScreenInputs) -> DataFrame:
+    """Two days of a dated table, one of them written twice."""
+    spark, path = t.savings_txn.sparkSession, run_root(t.savings_txn.sparkSession, "dated")
+    mode = F.col("tx_mode")
+    write_day(t.savings_txn.filter(mode == "1"), path, "2024-01-30")
+    write_day(t.savings_txn, path, SNAP_DATE)
+    write_day(t.savings_txn.filter(mode == "2"), path, SNAP_DATE)
+    return spark.read.parquet(path)
+
+
+def q_table_refresh(t: ScreenInputs) -> DataFrame:
+    """A Parquet table that is replaced, refreshed and read again."""
+    spark = t.customers.sparkSession
+    name = table_name(spark, "customers")
+    overwrite_table(t.customers, name, fmt="parquet")
+    overwrite_table(t.customers.filter(F.col("age") >= 40), name, fmt="parquet")
+    refresh(spark, name)
+    return read_table(spark, name)
 
 
 QUERIES: dict[str, Query] = {

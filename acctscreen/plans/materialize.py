@@ -5,48 +5,79 @@ activity span, the exclusion lists) is written once as Parquet and read
 back.  That cuts the lineage — a lost executor recomputes from the written
 table, not from the raw inputs — and the later steps scan a compact,
 column-pruned table instead of re-running the joins that built it.
+
+Folders made here belong to the process: ``release`` removes them, and so
+does the end of the process.
 """
 
 from __future__ import annotations
 
+import atexit
 import logging
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
+_made: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir`` or
-    ``SparkContext.setCheckpointDir``).  When the session has none (local
-    runs and tests only) a fresh temporary folder is set and used."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
-    d = sc.getCheckpointDir() if sc is not None else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d and sc is not None:
-            d = sc.getConf().get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder: ``spark.checkpoint.dir``, or
+    what ``SparkContext.setCheckpointDir`` was given.  Without either, a
+    session whose tasks run in the driver's own process gets a temporary
+    folder; on a cluster there is none that all executors share, so this raises."""
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="acctscreen-ckpt-")
-        log.warning("spark.checkpoint.dir is unset; using local %s (local mode only)", d)
-        if sc is not None:
-            sc.setCheckpointDir(d)
-            d = sc.getCheckpointDir() or d
-        else:
-            spark.conf.set("spark.checkpoint.dir", d)
-    elif sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="acctscreen-"))
+        d = sc.getCheckpointDir()
     return d.rstrip("/")
 
 
 def run_root(spark: SparkSession, label: str = "run") -> str:
     """A fresh folder for one run's stage tables under the shared folder."""
-    return f"{shared_dir(spark)}/acctscreen/{label}-{uuid.uuid4().hex[:12]}"
+    root = f"{shared_dir(spark)}/acctscreen/{label}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark, root))
+    return root
+
+
+def table_name(spark: SparkSession, label: str) -> str:
+    """The name of a fresh managed table, which ``release`` drops."""
+    name = f"acctscreen_{label}_{uuid.uuid4().hex[:12]}"
+    _tables.append((spark, name))
+    return name
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders and tables that were made for this session; frames
+    that read them are of no use afterwards."""
+    own = [root for s, root in _made if s is spark]
+    _made[:] = [(s, root) for s, root in _made if s is not spark]
+    tables = [name for s, name in _tables if s is spark]
+    _tables[:] = [(s, name) for s, name in _tables if s is not spark]
+    jvm = spark._jvm
+    if not spark._jsc.sc().isStopped():
+        for name in tables:
+            spark.sql(f"drop table if exists {name}")
+    conf = jvm.org.apache.hadoop.conf.Configuration() if spark._jsc.sc().isStopped() else spark._jsc.hadoopConfiguration()
+    for root in own:
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def _release_all() -> None:
+    for spark in {id(s): s for s, _ in _made}.values():
+        try:
+            release(spark)
+        except Exception as e:  # the JVM may be gone; its folders then stay
+            log.debug("scratch folders were not removed: %s", e)
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:

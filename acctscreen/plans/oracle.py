@@ -9,18 +9,22 @@ CTEs.  Column names equal the DataFrame outputs.
 from __future__ import annotations
 
 from acctscreen.config import (
+    DEFAULT_CHANNELS,
     DEFAULT_EB_CHECK_MENUS,
     DEFAULT_MB_CHECK_MENUS,
     DEFAULT_MB_LIMIT_MENUS,
     DEFAULT_OCCUPATIONS,
+    DEFAULT_MEMOS,
+    DEFAULT_REMOVED_REMARKS,
     DEFAULT_TELLER_CODES,
+    DEFAULT_TXN_COLUMNS,
 )
 from acctscreen.sources.fixtures import (
+    PRODUCTION_VALUES,
     SNAP_DATE,
     TEST_CHANNELS,
     TEST_MEMOS,
     TEST_REMOVED_REMARKS,
-    TEST_TXN_COLUMNS,
     VIEW_SQL,
 )
 
@@ -30,37 +34,39 @@ def _lst(values) -> str:
 
 
 ALL_VIEWS = tuple(VIEW_SQL)
+ALL_TXN_COLUMNS = (*DEFAULT_TXN_COLUMNS, "emp_no")
 
 # Named steps; each may use the views and the steps before it.
 STEPS: dict[str, str] = {}
 
 STEPS["payroll"] = """
-select distinct t.acct_nbr_ori acct_no_14, c.flg_pr payroll_code
-from sav_txn t join (select cust_id, flg_pr from wmg_cust where flg_pr = 'Y') c
-  on t.cust_id = c.cust_id"""
+select distinct acct_nbr_ori acct_no_14, 'Y' payroll_code from savings_txn t
+where exists (select 1 from customers c where c.cust_id = t.cust_id and c.flg_pr = 'Y')"""
 
 STEPS["flagged"] = """
-select acct_no_sav, swindle_flg, alert_flg from acct_exp
-where swindle_flg is not null or alert_flg is not null"""
+select acct_no_sav, derivative_date, derivative_flg, swindle_moratorium_date, swindle_moratorium_flg,
+  swindle_flg, alert_date, alert_flg
+from account_flags
+where not (derivative_flg is null and swindle_moratorium_flg is null and swindle_flg is null and alert_flg is null)"""
 
 STEPS["brokerage"] = """
-select distinct dep_acct_no from ashf
+select distinct dep_acct_no from brokerage_links
 where substr(stck_cstdy_cd, 1, 2) = 'XX' or stck_cstdy_cd is null
    or stck_cstdy_cd = 'XX' or length(stck_cstdy_cd) < 4"""
 
 STEPS["ex_accounts"] = """
 select distinct acct_nbr_ori from (
-  select acct_no_sav acct_nbr_ori from acct_exp where alert_flg = 'Y'
+  select acct_no_sav acct_nbr_ori from account_flags where alert_flg = 'Y'
   union all select acct_no_14 from payroll
   union all select dep_acct_no from brokerage) u"""
 
 STEPS["ex_customers"] = f"""
-select distinct cust_id from wmg_cust
+select distinct cust_id from customers
 where (occupation in ({_lst(DEFAULT_OCCUPATIONS)}) or age <= 10)
   and length(cust_id) = 10 and regexp_matches(left(cust_id, 1), '[a-zA-Z]')"""
 
 STEPS["candidates"] = f"""
-select {", ".join(TEST_TXN_COLUMNS)} from sav_txn
+select {", ".join(DEFAULT_TXN_COLUMNS)} from savings_txn
 where acct_nbr_ori not in (select acct_nbr_ori from ex_accounts)
   and cust_id not in (select cust_id from ex_customers)
   and length(cust_id) = 10 and regexp_matches(left(cust_id, 1), '[a-zA-Z]')
@@ -107,11 +113,11 @@ def _not_in_groups(src: str, groups: str, keys: tuple[str, ...]) -> str:
 RAW_KEYS = ("acct_nbr_ori", "tx_date", "tx_time", "jrnl_no")
 NORM_KEYS = ("acct_nbr_ori", "tx_time", "jrnl_no")
 
-STEPS["memo_all"] = _memo_rule("sav_txn")
+STEPS["memo_all"] = _memo_rule("savings_txn")
 STEPS["xg_all"] = _exchange_groups("memo_all", RAW_KEYS)
 STEPS["xr_all"] = _not_in_groups("memo_all", "xg_all", RAW_KEYS)
 
-STEPS["norm_c"] = _normalized("candidates", TEST_TXN_COLUMNS)
+STEPS["norm_c"] = _normalized("candidates", DEFAULT_TXN_COLUMNS)
 STEPS["memo_c"] = _memo_rule("norm_c")
 STEPS["xg_c"] = _exchange_groups("memo_c", NORM_KEYS)
 STEPS["xr_c"] = _not_in_groups("memo_c", "xg_c", NORM_KEYS)
@@ -124,42 +130,55 @@ left join (select cust_id, max(tx_date) mx, min(tx_date) mn from clean group by
   on p.cust_id = b.cust_id"""
 
 
-def _events(filtered: bool) -> str:
+def _events(day: str | None) -> str:
+    """All lookups, or those of the span's customers and range of ``day``."""
     mb = DEFAULT_MB_CHECK_MENUS + DEFAULT_MB_LIMIT_MENUS
     cond = ""
-    if filtered:
-        cond = """
+    if day:
+        cond = f"""
   and company_uid in (select cust_id from span)
-  and cast(access_time as date) between (select cast(min(min_date) as date) from span)
-                                    and (select cast(max(max_date) as date) from span)"""
+  and {day} between (select cast(min(min_date) as date) from span)
+                and (select cast(max(max_date) as date) from span)"""
     return f"""
 select company_uid, login_log_key, cast(access_time as date) access_date,
   case when menu_id in ({_lst(DEFAULT_MB_CHECK_MENUS)}) then 'mb_check'
        when menu_id in ({_lst(DEFAULT_MB_LIMIT_MENUS)}) then 'mb_limit' end category
-from mb_log where menu_id in ({_lst(mb)}){cond}
+from mobile_log where menu_id in ({_lst(mb)}){cond}
 union all
 select company_uid, login_log_key, cast(access_time as date) access_date,
   case when menu_id in ({_lst(DEFAULT_EB_CHECK_MENUS)}) then 'eb_check' end category
-from b2c_log where menu_id in ({_lst(DEFAULT_EB_CHECK_MENUS)}){cond}"""
+from web_log where menu_id in ({_lst(DEFAULT_EB_CHECK_MENUS)}){cond}"""
 
 
-STEPS["log_events_all"] = _events(False)
-STEPS["log_events"] = _events(True)
+def _counts(events: str) -> str:
+    def times(name: str) -> str:
+        mine = f"filter (where category = '{name}')"
+        return f"case when count(*) {mine} > 0 then count(distinct login_log_key) {mine} end {name}"
+
+    return f"""
+select company_uid, access_date, {times('mb_limit')}, {times('mb_check')}, {times('eb_check')}
+from {events} group by company_uid, access_date"""
+
+
+STEPS["log_events_all"] = _events(None)
+STEPS["log_events"] = _events("cast(access_time as date)")
+STEPS["log_events_own_day"] = _events("access_date")
 STEPS["counts_long"] = """
 select company_uid, access_date, category, count(distinct login_log_key) times
 from log_events group by company_uid, access_date, category"""
-STEPS["counts"] = """
-select company_uid, access_date,
-  cast(sum(case when category = 'mb_limit' then times end) as bigint) mb_limit,
-  cast(sum(case when category = 'mb_check' then times end) as bigint) mb_check,
-  cast(sum(case when category = 'eb_check' then times end) as bigint) eb_check
-from counts_long group by company_uid, access_date"""
+STEPS["counts"] = _counts("log_events")
+STEPS["counts_own_day"] = _counts("log_events_own_day")
 
 STEPS["enriched"] = """
 select c.*, i.acct_open_dt, 0 label from clean c
-left join (select acct_no_14, acct_open_dt from invm where snap_date = date '2024-01-30') i
+left join (select acct_no_14, acct_open_dt from account_snapshot where snap_date = date '2024-01-30') i
   on c.acct_nbr_ori = i.acct_no_14"""
 
+STEPS["one_registered"] = """
+select acct_no_14, since, kind from (
+  select *, row_number() over (partition by acct_no_14 order by since nulls first, kind nulls first) n from registered) r
+where n = 1"""
+
 STEPS["final"] = """
 select e.*, coalesce(k.mb_limit, 0) mb_limit, coalesce(k.mb_check, 0) mb_check,
   coalesce(k.eb_check, 0) eb_check
@@ -194,18 +213,28 @@ def _uses(text: str, name: str) -> bool:
 
 
 NULL_AWARE = """
-select acct_nbr_ori, jrnl_no, remk, 'list' tag from sav_txn
-where remk not in (select concat('R', cast(age % 10 as string)) from wmg_cust where age < 3)
+select acct_nbr_ori, jrnl_no, remk, 'list' tag from savings_txn
+where remk not in (select concat('R', cast(age % 10 as string)) from customers where age < 3)
 union all
-select acct_nbr_ori, jrnl_no, remk, 'list_with_null' tag from sav_txn
+select acct_nbr_ori, jrnl_no, remk, 'list_with_null' tag from savings_txn
 where remk not in (select case when age = 0 then null else concat('R', cast(age % 10 as string)) end
-                   from wmg_cust where age < 3)
+                   from customers where age < 3)
 union all
-select acct_nbr_ori, jrnl_no, remk, 'empty_list' tag from sav_txn
-where remk not in (select concat('R', cast(age % 10 as string)) from wmg_cust where age < 0)"""
+select acct_nbr_ori, jrnl_no, remk, 'empty_list' tag from savings_txn
+where remk not in (select concat('R', cast(age % 10 as string)) from customers where age < 0)"""
+
+def _production(column: str) -> str:
+    cases = " ".join(f"when '{k}' then '{v}'" for k, v in PRODUCTION_VALUES[column].items())
+    return f"case {column} {cases} else {column} end as {column}"
+
+
+PRODUCTION = f"""
+select * from (select * replace ({", ".join(map(_production, PRODUCTION_VALUES))}) from savings_txn) t
+where channel_desc in ({_lst(DEFAULT_CHANNELS)}) and memo in ({_lst(DEFAULT_MEMOS)})
+  and (remk is null or remk not in ({_lst(DEFAULT_REMOVED_REMARKS)}))"""
 
 ORDER_COLS = ("acct_nbr_ori", "tx_date", "tx_time") + tuple(
-    c for c in TEST_TXN_COLUMNS if c not in ("acct_nbr_ori", "tx_date", "tx_time")
+    c for c in DEFAULT_TXN_COLUMNS if c not in ("acct_nbr_ori", "tx_date", "tx_time")
 )
 ORDER_BY = ", ".join(
     [f"{c} asc nulls first" for c in ORDER_COLS]
@@ -225,7 +254,7 @@ ORACLE: dict[str, str] = {
     "ordered_candidates": _sql(f"select * from candidates order by {ORDER_BY}", "candidates"),
     "candidate_preview": _sql(f"select * from candidates order by {ORDER_BY} limit 2", "candidates"),
     "normalized_transactions": _sql(
-        _normalized("sav_txn", tuple(c for c in TEST_TXN_COLUMNS) + ("emp_no",))),
+        _normalized("savings_txn", ALL_TXN_COLUMNS)),
     "channel_memo_filtered": _sql("select * from memo_all", "memo_all"),
     "duplicate_time_keys": _sql("""
 select acct_nbr_ori, tx_date, tx_time, count(*) n_rows from memo_all
@@ -236,7 +265,7 @@ group by acct_nbr_ori, tx_date, tx_time having count(*) > 1""", "memo_all"),
     "twd_only": _sql("select * from xr_all where cur = 'TWD'", "xr_all"),
     "clean_transactions": _sql("select * from clean", "clean"),
     "payroll_excluded": _sql("""
-select * from sav_txn t where not exists (
+select * from savings_txn t where not exists (
   select 1 from payroll p where p.payroll_code is not null and p.acct_no_14 = t.acct_nbr_ori)""", "payroll"),
     "activity_span": _sql("select * from span", "span"),
     "customer_ids": _sql("select distinct cust_id from clean", "clean"),
@@ -248,6 +277,21 @@ select * from sav_txn t where not exists (
     "account_enriched": _sql("select * from enriched", "enriched"),
     "flagship_features": _sql("select * from final", "final"),
     "screen_lazy": _sql("select * from final", "final"),
+    "payroll_from_snapshot": _sql(
+        "select distinct acct_no_14, payroll_code from account_snapshot where trim(payroll_code) <> ''"),
+    "access_counts_log_day": _sql("select * from counts_own_day", "counts_own_day"),
+    "account_registered": _sql("""
+select e.*, r.since reg_since, r.kind reg_kind from enriched e left join one_registered r on r.acct_no_14 = e.acct_nbr_ori""",
+                               "enriched", "one_registered"),
+    "clean_production_lists": _sql(PRODUCTION),
+    "csv_roundtrip": _sql(_normalized("savings_txn", ALL_TXN_COLUMNS)),
+    "sql_file_table": _sql(f"""
+select *, date '2023-12-31' first_day, date '{SNAP_DATE}' last_day from savings_txn
+where tx_date >= date '2023-12-31' and tx_date <= date '{SNAP_DATE}'"""),
+    "partitioned_roundtrip": _sql(f"""
+select *, date '2024-01-30' snap_date from savings_txn where tx_mode = '1'
+union all select *, date '{SNAP_DATE}' snap_date from savings_txn where tx_mode = '2'"""),
+    "table_refresh": _sql("select * from customers where age >= 40"),
     "nonzero_preview": _sql(f"select * from final where mb_limit <> 0 order by {FINAL_ORDER_BY} limit 2",
                             "final"),
 }

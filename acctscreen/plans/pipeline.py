@@ -4,23 +4,23 @@ Stage 1 (cleaning): exclusion lists -> candidate transactions -> cleaning.
 Stage 2 (features): account enrichment.
 Stage 3 (tracking): activity spans -> daily access counts -> attached counts.
 
-Each ``*_stage`` function is lazy and returns DataFrames.  ``run_pipeline``
-writes every stage to Parquet under a shared output root and reads it back
+Each ``*_stage`` function returns DataFrames; given a ``write``r it stores
+what several steps read.  ``run_pipeline`` writes every stage to Parquet under a shared output root and reads it back
 before the next stage: the written table is the hand-off, it cuts the
 lineage (a lost executor recomputes from the last stage output, not from
 the raw tables) and each stage can be rerun on its own (``stages=``).
-``screen`` is the same work as one lazy plan, without intermediate tables.
+``screen`` is the same work, storing only the lists, candidates and features.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
 
 from acctscreen.config import ScreenConfig
 from acctscreen.operators.access import access_counts, attach_access_counts
@@ -38,6 +38,7 @@ from acctscreen.operators.exclusions import (
 from acctscreen.plans.materialize import run_root, write_and_read
 from acctscreen.sources.inputs import ScreenInputs
 from acctscreen.sources.writers import export_csv as export_csv_text
+from acctscreen.sources.writers import read_day, write_day
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,27 @@ def table_writer(root: str) -> TableWriter:
     return lambda name, df: write_and_read(df, f"{root.rstrip('/')}/{name}")
 
 
+def write_together(spark: SparkSession, tables: dict[str, DataFrame], write: TableWriter) -> dict[str, DataFrame]:
+    """Writes independent tables at the same time.  The threads' jobs carry the
+    caller's job group and pool, and one tag of their own: if a write fails,
+    the others are cancelled and the failure is raised."""
+    sc, tag = spark.sparkContext, f"write-{uuid.uuid4().hex[:12]}"
+
+    def tagged(name: str) -> DataFrame:
+        sc.addJobTag(tag)
+        return write(name, tables[name])
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = {}
+        for name in tables:
+            # Properties are inherited where the target is made, once per table.
+            futures[name] = pool.submit(inheritable_thread_target(spark)(tagged), name)
+        done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
+        if any(f.exception() for f in done):
+            sc.cancelJobsWithTag(tag)
+    return {name: f.result() for name, f in futures.items()}
+
+
 def exclusion_lists(inp: ScreenInputs, cfg: ScreenConfig, write: TableWriter = _keep) -> ExclusionLists:
     """The four lists of stage 1.  With a ``write``r each list is stored and
     read back: the null-aware anti join reads a list twice (keys and list
@@ -70,22 +92,20 @@ def exclusion_lists(inp: ScreenInputs, cfg: ScreenConfig, write: TableWriter = _
     independent, so their jobs are submitted together and share the
     cluster instead of queueing."""
     lists = {
-        "payroll_accounts": payroll_accounts(inp.sav_txn, inp.wmg_cust),
-        "flagged_accounts": flagged_accounts(inp.acct_exp),
-        "brokerage_accounts": brokerage_accounts(inp.ashf, cfg),
-        "excluded_customers": excluded_customers(inp.wmg_cust, cfg),
+        "payroll_accounts": payroll_accounts(inp.savings_txn, inp.customers),
+        "flagged_accounts": flagged_accounts(inp.account_flags),
+        "brokerage_accounts": brokerage_accounts(inp.brokerage_links, cfg),
+        "excluded_customers": excluded_customers(inp.customers, cfg),
     }
     if write is not _keep:
-        with ThreadPoolExecutor(max_workers=len(lists)) as pool:
-            futures = {k: pool.submit(write, k, df) for k, df in lists.items()}
-            lists = {k: f.result() for k, f in futures.items()}
+        lists = write_together(inp.savings_txn.sparkSession, lists, write)
     payroll, flagged = lists["payroll_accounts"], lists["flagged_accounts"]
     brokerage, customers = lists["brokerage_accounts"], lists["excluded_customers"]
     return ExclusionLists(
         payroll=payroll,
         flagged=flagged,
         brokerage=brokerage,
-        accounts=excluded_accounts(flagged, payroll, brokerage),
+        accounts=write("excluded_accounts", excluded_accounts(flagged, payroll, brokerage)),
         customers=customers,
     )
 
@@ -93,7 +113,7 @@ def exclusion_lists(inp: ScreenInputs, cfg: ScreenConfig, write: TableWriter = _
 def candidates_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
                      write: TableWriter = _keep) -> DataFrame:
     ex = exclusion_lists(inp, cfg, write)
-    return candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg)
+    return candidate_transactions(inp.savings_txn, ex.accounts, ex.customers, snap_date, cfg)
 
 
 def cleaning_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
@@ -107,8 +127,9 @@ def cleaning_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
 def feature_stage(cleaned: DataFrame, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
     """Stage 2: account-open date, registered transfers, label 0."""
     return enrich_accounts(
-        cleaned, inp.invm, snap_date,
-        registered=inp.registered, registered_keys=cfg.registered_keys, label=0,
+        cleaned, inp.account_snapshot, snap_date,
+        registered=inp.registered if cfg.registered_keys else None,
+        registered_keys=cfg.registered_keys, registered_columns=cfg.registered_columns, label=0,
     )
 
 
@@ -119,41 +140,20 @@ class TrackingResult:
     features: DataFrame
 
 
-def tracking_stage(features: DataFrame, inp: ScreenInputs, cfg: ScreenConfig,
+def tracking_stage(features: DataFrame, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
                    span: DataFrame | None = None) -> TrackingResult:
     """Stage 3: spans, daily access counts, counts attached to features.
     Pass ``span`` to reuse a materialised span table."""
     span = span if span is not None else customer_activity_span(features)
-    counts = access_counts(inp.mb_log, inp.b2c_log, span, cfg)
+    counts = access_counts(inp.mobile_log, inp.web_log, span, cfg, window_bounds(snap_date))
     return TrackingResult(span, counts, attach_access_counts(features, counts))
 
 
-def screen(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
-    """All three stages as one lazy plan (no intermediate writes)."""
-    features = feature_stage(cleaning_stage(inp, cfg, snap_date), inp, cfg, snap_date)
-    return tracking_stage(features, inp, cfg).features
-
-
-def _write_day(df: DataFrame, path: str, snap_date: str) -> DataFrame:
-    """Write one run day as partition ``snap_date=...`` of ``path`` (a rerun
-    replaces that day only; earlier days stay) and return that day's rows,
-    read back.  The overwrite mode is a write option, not a session
-    setting, so concurrent writes do not interfere."""
-    spark = df.sparkSession
-    day = F.lit(snap_date).cast("date")
-    (df.withColumn("snap_date", day)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snap_date").parquet(path))
-    # A new StructType: ``df.schema.add`` would change the cached schema of df.
-    schema = StructType([*df.schema.fields, StructField("snap_date", DateType())])
-    return (spark.read.schema(schema).parquet(path)
-            .filter(F.col("snap_date") == day).drop("snap_date"))
-
-
-def _read_day(spark: SparkSession, path: str, snap_date: str) -> DataFrame:
-    """The ``snap_date`` partition of a stage table written earlier."""
-    day = F.lit(snap_date).cast("date")
-    return spark.read.parquet(path).filter(F.col("snap_date") == day).drop("snap_date")
+def screen(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str, write: TableWriter) -> DataFrame:
+    """All three stages, storing only what several steps read: the lists, the
+    candidates and the features."""
+    features = write("features", feature_stage(cleaning_stage(inp, cfg, snap_date, write), inp, cfg, snap_date))
+    return tracking_stage(features, inp, cfg, snap_date).features
 
 
 @dataclass(frozen=True)
@@ -220,15 +220,15 @@ def run_pipeline(
     base = (root or run_root(spark, "pipeline")).rstrip("/")
 
     def w(name: str, df: DataFrame) -> DataFrame:
-        return _write_day(df, f"{base}/{name}", snap_date)
+        return write_day(df, f"{base}/{name}", snap_date)
 
     def r(name: str) -> DataFrame:
-        return _read_day(spark, f"{base}/{name}", snap_date)
+        return read_day(spark, f"{base}/{name}", snap_date)
 
     ex = cands = features = span = counts = output = None
     if 1 in stages:
         ex = exclusion_lists(inp, cfg, w)
-        cands = w("candidates", candidate_transactions(inp.sav_txn, ex.accounts, ex.customers, snap_date, cfg))
+        cands = w("candidates", candidate_transactions(inp.savings_txn, ex.accounts, ex.customers, snap_date, cfg))
     elif 2 in stages:
         cands = r("candidates")
     if 2 in stages:
@@ -239,7 +239,7 @@ def run_pipeline(
         features = r("features")
     if 3 in stages:
         span = w("activity_span", customer_activity_span(features))
-        counts = w("access_counts", access_counts(inp.mb_log, inp.b2c_log, span, cfg))
+        counts = w("access_counts", access_counts(inp.mobile_log, inp.web_log, span, cfg, window_bounds(snap_date)))
         output = w("output", attach_access_counts(features, counts))
         if export_csv:
             first, last = window_bounds(snap_date)

@@ -7,30 +7,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from acctscreen.config import TableNames
-from acctscreen.sources.readers import read_table
+from acctscreen.sources.readers import read_source
 
 
 @dataclass(frozen=True)
 class ScreenInputs:
-    sav_txn: DataFrame      # savings transactions
-    wmg_cust: DataFrame     # customers
-    acct_exp: DataFrame     # account flags
-    ashf: DataFrame         # brokerage accounts
-    mb_log: DataFrame       # mobile-bank access log
-    b2c_log: DataFrame      # web-bank access log
-    invm: DataFrame         # daily account snapshot
+    savings_txn: DataFrame      # savings transactions
+    customers: DataFrame     # customers
+    account_flags: DataFrame     # account flags
+    brokerage_links: DataFrame         # brokerage accounts
+    mobile_log: DataFrame       # mobile-bank access log
+    web_log: DataFrame      # web-bank access log
+    account_snapshot: DataFrame         # daily account snapshot
     registered: DataFrame | None = None  # registered-transfer table
 
 
 def load_inputs(spark: SparkSession, names: TableNames) -> ScreenInputs:
     """Lazily bind every input by metastore name or Parquet path."""
     return ScreenInputs(
-        sav_txn=read_table(spark, names.sav_txn),
-        wmg_cust=read_table(spark, names.wmg_cust),
-        acct_exp=read_table(spark, names.acct_exp),
-        ashf=read_table(spark, names.ashf),
-        mb_log=read_table(spark, names.mb_log),
-        b2c_log=read_table(spark, names.b2c_log),
-        invm=read_table(spark, names.invm),
-        registered=read_table(spark, names.registered) if names.registered else None,
+        savings_txn=read_source(spark, names.savings_txn),
+        customers=read_source(spark, names.customers),
+        account_flags=read_source(spark, names.account_flags),
+        brokerage_links=read_source(spark, names.brokerage_links),
+        mobile_log=read_source(spark, names.mobile_log),
+        web_log=read_source(spark, names.web_log),
+        account_snapshot=read_source(spark, names.account_snapshot),
+        registered=read_source(spark, names.registered) if names.registered else None,
     )

@@ -17,6 +17,11 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def read_source(spark: SparkSession, source: str | dict) -> DataFrame:
+    """A table name or path, or the arguments of ``read_jdbc`` by name."""
+    return read_table(spark, source) if isinstance(source, str) else read_jdbc(spark, **source)
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -1,4 +1,4 @@
-"""Sinks: table overwrite, dated Parquet partitions, small single files,
+"""Sinks: table overwrite, dated Parquet partitions, a given number of files,
 CSV export in the original text formats, metadata refresh and preview."""
 
 from __future__ import annotations
@@ -18,22 +18,28 @@ def overwrite_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
     w.saveAsTable(name)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str = "snap_date") -> None:
-    """Write Parquet partitioned by ``partition_col``; a rerun replaces only
-    the partitions it writes (dynamic partition overwrite, as a write
-    option).  No repartition on the partition column: a daily write has one
-    value, and hashing on it would funnel the whole day into one task."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+def day_folder(path: str, day: str, partition_col: str = "snap_date") -> str:
+    return f"{path.rstrip('/')}/{partition_col}={day}"
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = 5_000_000) -> None:
-    """One Parquet file, for a table known to be small.  The size is
-    checked first: a large table would funnel through a single task."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for a single-file write (limit {max_rows})")
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+def write_day(df: DataFrame, path: str, day: str, partition_col: str = "snap_date") -> DataFrame:
+    """Replace one day of a dated Parquet table and return that day's rows,
+    read back.  The day's folder is overwritten as a whole, so a rerun whose
+    result is empty leaves an empty day and not the rows of the run before;
+    other days are not touched."""
+    folder = day_folder(path, day, partition_col)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def read_day(spark: SparkSession, path: str, day: str, partition_col: str = "snap_date") -> DataFrame:
+    """One day of a dated table; its files hold the schema, also of an empty day."""
+    return spark.read.parquet(day_folder(path, day, partition_col))
+
+
+def write_files(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Parquet, written in parallel, or into as many files as the caller asks for."""
+    (df if files is None else df.repartition(files)).write.mode("overwrite").parquet(path)
 
 
 def as_text_columns(df: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from acctscreen.config import ScreenConfig
 from acctscreen.operators.access import (
     access_counts,
@@ -68,8 +71,12 @@ def test_range_uses_log_day_column_when_present(spark):
         LOG + ", access_date date",
     )
     web = spark.createDataFrame([], LOG + ", access_date date")
-    got = rows(access_counts(mb, web, span_df(spark), CFG))
+    got = rows(access_counts(mb, web, span_df(spark), CFG.with_(log_day_column="access_date")))
     assert got == [("A1", dt.date(2024, 1, 1), None, 1, None)]
+    # Not named, it is not used; named but missing, the job stops.
+    assert rows(access_counts(mb, web, span_df(spark), CFG)) == []
+    with pytest.raises(AnalysisException):
+        access_counts(mb.drop("access_date"), web, span_df(spark), CFG.with_(log_day_column="access_date"))
 
 
 def test_attach_fills_zero_and_keeps_rows(spark):

@@ -1,6 +1,7 @@
 import itertools
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from acctscreen.config import ScreenConfig
 from acctscreen.operators.exclusions import (
@@ -68,10 +69,14 @@ def test_lists(spark):
     )
     assert rows(brokerage_accounts(sec, cfg)) == [("1",), ("2",), ("3",), ("4",), ("5",)]
 
-    flags = spark.createDataFrame(
-        [("f1", "Y", None), ("f2", None, "Y"), ("f3", None, None), ("00000000000001", "Y", None)],
-        "acct_no_sav string, alert_flg string, swindle_flg string",
-    )
+    names = "acct_no_sav string, derivative_date date, derivative_flg string, swindle_moratorium_date date, " \
+            "swindle_moratorium_flg string, swindle_flg string, alert_date date, alert_flg string"
+    data = [("f1", "Y", None), ("f2", None, "Y"), ("f3", None, None), ("00000000000001", "Y", None)]
+    flags = spark.createDataFrame([(a, None, None, None, None, s, None, y) for a, y, s in data], names)
+    upper = flags.toDF(*[c.upper() for c in flags.columns])
+    assert rows(flagged_accounts(upper)) == rows(flagged_accounts(flags))
+    with pytest.raises(AnalysisException):
+        flagged_accounts(flags.drop("derivative_flg"))
     assert rows(flagged_accounts(flags), "acct_no_sav") == [("00000000000001",), ("f1",), ("f2",)]
     ex = excluded_accounts(flags, pay, brokerage_accounts(sec, cfg))
     # Alert 'Y' only (not swindle), union with payroll and brokerage, distinct.

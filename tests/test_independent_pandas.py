@@ -25,9 +25,9 @@ def _pandas_rules(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def test_cleaning_rules_match_pandas(spark):
     t = fixtures.load(spark, SF001)
-    pdf = t.sav_txn.toPandas()
+    pdf = t.savings_txn.toPandas()
     want = _pandas_rules(pdf)
-    got = remove_exchanges(filter_channel_memo(t.sav_txn, CFG), RAW_EXCHANGE_KEYS)
+    got = remove_exchanges(filter_channel_memo(t.savings_txn, CFG), RAW_EXCHANGE_KEYS)
     assert got.count() == len(want) == 2431
     key = ["acct_nbr_ori", "jrnl_no", "tx_amt", "cur", "drcr"]
     g = got.select(*key).toPandas().sort_values(key, na_position="first").reset_index(drop=True)

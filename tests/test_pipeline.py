@@ -1,3 +1,4 @@
+import dataclasses
 import os
 
 import pytest
@@ -23,8 +24,8 @@ def test_run_pipeline_sf0001(spark, tmp_path):
     # Every stage table is partitioned by run day.
     for name in ("candidates", "features", "activity_span", "access_counts", "output"):
         assert os.path.isdir(tmp_path / name / "snap_date=2024-01-31")
-    # The lazy single-plan form gives the same rows.
-    lazy = pipeline.screen(t, fixtures.TEST_CONFIG, fixtures.SNAP_DATE)
+    # The form with fewer stored tables gives the same rows.
+    lazy = pipeline.screen(t, fixtures.TEST_CONFIG, fixtures.SNAP_DATE, pipeline.table_writer(str(tmp_path / "screen")))
     assert sorted(lazy.columns) == sorted(final.columns)
     assert lazy.exceptAll(final.select(*lazy.columns)).count() == 0
     assert final.select(*lazy.columns).exceptAll(lazy).count() == 0
@@ -43,7 +44,9 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 380
     assert {"mb_limit", "mb_check", "eb_check", "acct_open_dt", "label"} <= set(df.columns)
-    assert set(E.oracle_sql()) == set(E.queries())
+    from acctscreen.plans.catalog import QUERIES
+
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_window_bounds_month_ends(spark):
@@ -90,18 +93,64 @@ def test_command_line_run(spark, tmp_path):
 
     t = fixtures.load(spark, SF001)
     paths = {}
-    for name in ("sav_txn", "wmg_cust", "acct_exp", "ashf", "mb_log", "b2c_log", "invm"):
+    for name in ("savings_txn", "customers", "account_flags", "brokerage_links", "mobile_log", "web_log", "account_snapshot"):
         paths[name] = str(tmp_path / "in" / name)
         getattr(t, name).write.parquet(paths[name])
     (tmp_path / "tables.json").write_text(json.dumps(paths))
     cfg = {"channels": list(fixtures.TEST_CHANNELS), "memos": list(fixtures.TEST_MEMOS),
-           "removed_remarks": list(fixtures.TEST_REMOVED_REMARKS),
-           "txn_columns": list(fixtures.TEST_TXN_COLUMNS)}
+           "removed_remarks": list(fixtures.TEST_REMOVED_REMARKS)}
     (tmp_path / "cfg.json").write_text(json.dumps(cfg))
     root = str(tmp_path / "out")
     main(["--snap-date", fixtures.SNAP_DATE, "--root", root, "--tables", str(tmp_path / "tables.json"),
           "--config", str(tmp_path / "cfg.json")])
     assert spark.read.parquet(root + "/output").count() == 380
+    assert args_of(["--snap-date", "d", "--root", "r", "--tables", "t", "--shuffle-gb", "2", "--cores", "16"]) == (2.0, 16)
+
+
+def args_of(argv):
+    from acctscreen.__main__ import parse_args
+
+    a = parse_args(argv)
+    return a.shuffle_gb, a.cores
+
+
+def _output(spark, inputs, root, **changes):
+    return pipeline.run_pipeline(spark, inputs, fixtures.TEST_CONFIG, fixtures.SNAP_DATE, root=root, **changes).output.count()
+
+
+def test_rerun_of_a_day_whose_result_is_empty(spark, tmp_path):
+    """A null in an exclusion list empties NOT IN: a day that had rows has none
+    after the rerun, a first empty run works, and other days stay."""
+    full = fixtures.load(spark, SF001)
+    nothing = dataclasses.replace(full, brokerage_links=full.brokerage_links.withColumn("dep_acct_no", F.lit(None).cast("string")))
+    root = str(tmp_path / "a")
+    other = tmp_path / "a" / "output" / "snap_date=2024-01-30"
+    assert _output(spark, nothing, root) == 0
+    assert _output(spark, full, root) == 380
+    spark.range(3).write.parquet(str(other))
+    before = sorted(os.listdir(other))
+    assert _output(spark, nothing, root) == 0
+    assert pipeline.run_pipeline(spark, nothing, fixtures.TEST_CONFIG, fixtures.SNAP_DATE, root=root, stages=(3,)).output.count() == 0
+    assert sorted(os.listdir(other)) == before
+
+
+def test_list_writes_carry_the_callers_job_group_and_stop_together(spark):
+    import threading
+
+    seen, sc = [], spark.sparkContext
+    sc.setJobGroup("daily", "the daily run")
+
+    def write(name, df):
+        seen.append(sc.getLocalProperty("spark.jobGroup.id"))
+        if name == "b":
+            raise RuntimeError("disk full")
+        return df
+
+    tables = {n: spark.range(1) for n in "ab"}
+    with pytest.raises(RuntimeError):
+        pipeline.write_together(spark, tables, write)
+    assert seen == ["daily", "daily"] and threading.active_count() > 0
+    sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_session_time_zone_does_not_change_results(spark, tmp_path):

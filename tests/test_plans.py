@@ -5,7 +5,7 @@ import datetime as dt
 
 import pytest
 
-import __spark_entry__ as E
+from acctscreen.plans.catalog import QUERIES
 from acctscreen.config import ScreenConfig
 from acctscreen.operators.candidates import candidate_transactions
 from acctscreen.operators.cleansing import clean
@@ -19,9 +19,9 @@ def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_nested_loops(spark, name):
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     text = plan_text(df)
     for b in BANNED:
         assert b not in text, f"{name}: {b}"
@@ -64,7 +64,7 @@ def test_log_scan_prunes_days_by_span_bounds(spark, tmp_path):
     web = spark.createDataFrame([], schema)
     span = spark.createDataFrame([("x", "A1", dt.datetime(2024, 1, 12), dt.datetime(2024, 1, 10))],
                                  "acct_nbr_ori string, cust_id string, max_date timestamp_ntz, min_date timestamp_ntz")
-    df = access_counts(mb, web, span, ScreenConfig())
+    df = access_counts(mb, web, span, ScreenConfig(log_day_column="access_date"), ("2024-01-05", "2024-01-20"))
     assert df.count() == 1  # A1 logs on Jan 2, 7, 12, ...: only the 12th is inside [10th, 12th]
     text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     scan = [b for b in text.split("\n\n") if "Scan parquet" in b and "company_uid" in b][0]
@@ -74,12 +74,12 @@ def test_log_scan_prunes_days_by_span_bounds(spark, tmp_path):
     assert "In(menu_id" in pushed
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_nothing_funnels_into_one_partition(spark, name):
     """A single-partition exchange may only feed a global aggregate (one
     row per task arrives) or a top-k/limit; no window runs without a
     partition key."""
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     lines = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple").splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:

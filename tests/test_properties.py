@@ -25,7 +25,7 @@ def _subset(small, big):
 
 def test_cleaning_properties(spark):
     t = fixtures.load(spark, SF001)
-    norm = normalize_transactions(t.sav_txn, CFG)
+    norm = normalize_transactions(t.savings_txn, CFG)
     c8 = filter_channel_memo(norm, CFG)
     c9 = remove_exchanges(c8)
     c10 = filter_currency(c9, CFG.currency)
@@ -40,7 +40,7 @@ def test_count_properties(spark):
     features = pipeline.feature_stage(pipeline.cleaning_stage(t, CFG, fixtures.SNAP_DATE), t, CFG,
                                       fixtures.SNAP_DATE)
     span = customer_activity_span(features)
-    counts = access_counts(t.mb_log, t.b2c_log, span, CFG)
+    counts = access_counts(t.mobile_log, t.web_log, span, CFG)
     assert counts.count() == counts.select("company_uid", "access_date").distinct().count() == 51
     out = attach_access_counts(features, counts)
     assert out.count() == features.count() == 380

@@ -92,11 +92,11 @@ def test_skewed_attach_keeps_every_row(spark, skew_conf):
 def test_range_write_order_spreads_a_hot_account(spark, skew_conf):
     from pyspark.sql import functions as F
 
-    from acctscreen.operators.candidates import sorted_within_partitions
+    from acctscreen.operators.candidates import ordered
 
     # The hot account's rows, each at its own second.
     hot = (skewed_txn(spark).filter("acct_nbr_ori = 'HOT'")
            .withColumn("tx_time", F.conv(F.substring("note", 1, 8), 16, 10).cast("long")))
-    out = sorted_within_partitions(hot, ("acct_nbr_ori", "tx_date", "tx_time"))
+    out = ordered(hot)
     sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) > 1 and max(sizes) < 1000

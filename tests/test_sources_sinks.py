@@ -11,8 +11,9 @@ from acctscreen.sources.writers import (
     overwrite_table,
     preview,
     refresh,
-    write_partitioned,
-    write_single_file,
+    read_day,
+    write_day,
+    write_files,
 )
 from tests.conftest import rows
 
@@ -34,26 +35,37 @@ def test_sql_file_with_named_parameters(spark, tmp_path):
 
 
 def test_snapshot_and_enrich(spark):
-    invm = spark.createDataFrame(
+    account_snapshot = spark.createDataFrame(
         [("a", dt.date(2020, 1, 1), dt.date(2024, 1, 30)), ("a", dt.date(1999, 1, 1), dt.date(2024, 1, 29))],
         "acct_no_14 string, acct_open_dt date, snap_date date",
     )
-    assert rows(snapshot(invm, "2024-01-31", ["acct_no_14", "acct_open_dt"])) == [("a", dt.date(2020, 1, 1))]
+    assert rows(snapshot(account_snapshot, "2024-01-31", ["acct_no_14", "acct_open_dt"])) == [("a", dt.date(2020, 1, 1))]
     txn = spark.createDataFrame([("a", 1), ("b", 2)], "acct_nbr_ori string, n int")
-    reg = spark.createDataFrame([("b", "T1")], "acct string, reg_type string")
-    out = enrich_accounts(txn, invm, "2024-01-31", registered=reg, registered_keys=(("acct_nbr_ori", "acct"),))
-    assert out.columns == ["acct_nbr_ori", "n", "acct_open_dt", "reg_type", "label"]
-    assert rows(out) == [("a", 1, dt.date(2020, 1, 1), None, 0), ("b", 2, None, "T1", 0)]
+    # Several rows per key, and a column named like the transaction's own.
+    reg = spark.createDataFrame([("b", "T2", 9), ("b", "T1", 7), ("b", "T1", 8)], "acct string, kind string, n int")
+    out = enrich_accounts(txn, account_snapshot, "2024-01-31", registered=reg,
+                          registered_keys=(("acct_nbr_ori", "acct"),), registered_columns=("kind", "n"))
+    assert out.columns == ["acct_nbr_ori", "n", "acct_open_dt", "reg_kind", "reg_n", "label"]
+    assert rows(out) == [("a", 1, dt.date(2020, 1, 1), None, None, 0), ("b", 2, None, "T1", 7, 0)]
+    # One right column in two key pairs.
+    two = spark.createDataFrame([("a", "a", 1), ("a", "b", 2)], "acct_nbr_ori string, other string, n int")
+    reg = spark.createDataFrame([("a", "x")], "acct string, kind string")
+    out = enrich_accounts(two, account_snapshot, "2024-01-31", registered=reg,
+                          registered_keys=(("acct_nbr_ori", "acct"), ("other", "acct")), registered_columns=("kind",))
+    assert rows(out, "n", "reg_kind") == [(1, "x"), (2, None)]
+    with pytest.raises(ValueError):
+        enrich_accounts(txn, account_snapshot, "2024-01-31", registered=reg)
 
 
-def test_partitioned_write_replaces_only_its_day(spark, tmp_path):
+def test_day_write_replaces_only_its_day(spark, tmp_path):
     path = str(tmp_path / "out")
-    d1 = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "v int, snap_date date")
-    d2 = spark.createDataFrame([(2, dt.date(2024, 1, 2))], "v int, snap_date date")
-    write_partitioned(d1, path)
-    write_partitioned(d2, path)
-    write_partitioned(d2.withColumn("v", F.lit(3)), path)
+    one = spark.createDataFrame([(1,)], "v int")
+    write_day(one, path, "2024-01-01")
+    write_day(one.withColumn("v", F.lit(2)), path, "2024-01-02")
+    write_day(one.withColumn("v", F.lit(3)), path, "2024-01-02")
     assert rows(spark.read.parquet(path), "v") == [(1,), (3,)]
+    assert rows(write_day(one.filter("v < 0"), path, "2024-01-02")) == []
+    assert rows(read_day(spark, path, "2024-01-02")) == [] and rows(read_day(spark, path, "2024-01-01")) == [(1,)]
 
 
 def test_table_overwrite_refresh_preview(spark):
@@ -65,11 +77,11 @@ def test_table_overwrite_refresh_preview(spark):
     assert preview(read_table(spark, "acctscreen_t1"), 2).count() == 2
 
 
-def test_single_file_checks_size(spark, tmp_path):
-    write_single_file(spark.range(10), str(tmp_path / "one"))
+def test_files_are_as_many_as_the_caller_asks_for(spark, tmp_path):
+    write_files(spark.range(100), str(tmp_path / "one"), files=1)
     assert len(list((tmp_path / "one").glob("*.parquet"))) == 1
-    with pytest.raises(ValueError):
-        write_single_file(spark.range(10), str(tmp_path / "two"), max_rows=5)
+    write_files(spark.range(100, numPartitions=3), str(tmp_path / "all"))
+    assert len(list((tmp_path / "all").glob("*.parquet"))) == 3
 
 
 def test_csv_export_text_formats(spark, tmp_path):
@@ -86,9 +98,9 @@ def test_csv_export_text_formats(spark, tmp_path):
 def test_payroll_from_snapshot(spark):
     from acctscreen.operators.exclusions import payroll_from_snapshot
 
-    invm = spark.createDataFrame([("a", "P1"), ("a", "P1"), ("b", "  "), ("c", None), ("d", " P2")],
+    account_snapshot = spark.createDataFrame([("a", "P1"), ("a", "P1"), ("b", "  "), ("c", None), ("d", " P2")],
                                  "acct_no_14 string, payroll_code string")
-    assert rows(payroll_from_snapshot(invm)) == [("a", "P1"), ("d", " P2")]
+    assert rows(payroll_from_snapshot(account_snapshot)) == [("a", "P1"), ("d", " P2")]
 
 
 def test_jdbc_partitioned_read_needs_bounds(spark):
