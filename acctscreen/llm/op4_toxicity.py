@@ -1,12 +1,14 @@
 """Toxicity by a lexicon that tolerates misspellings.
 
 The lexicon is learned from labelled documents: words, and stems that words
-begin with, which occur in many contexts of toxic documents and hardly in
-others.  Terms form a trie.  Levenshtein automata (bit-parallel, one state
-set for each number of edits) run along its branches and accept a term one
-edit away, a stem also as the beginning of a word.  Each hit's weight depends
-on its context window: quoted and reported speech counts less, direct
-address more.
+begin with, which are far more frequent in toxic documents than in others
+and occur there in many contexts.  Terms form a trie.  Levenshtein automata
+(bit-parallel, one state set for each number of edits) run along its branches
+and accept a term one edit away, a stem also as the beginning of a word.
+Each hit's weight depends on its context window: quoted and reported speech
+counts less, direct address more.  How much the weight of a document's hits,
+their density and their variety say is a logistic regression on the same
+documents.
 """
 
 from __future__ import annotations
@@ -27,12 +29,12 @@ from acctscreen.llm.common import Scratch, held_out
 FOLDS = 5
 #: Labelled documents, the least by hash of id, that the lexicon is fitted to.
 FIT_DOCS = 20_000
-#: Features of toxic documents that are counted in the others, by frequency.
-FEATURES = 50_000
-STEMS = (4, 5, 6)
-#: A term needs so many contexts, and so large a share of toxic documents.
-CONTEXTS, PRECISION = 8, 0.95
-#: A misspelled term has so many letters; a stem is not accepted misspelled below this.
+#: Features of toxic documents that are counted in the others, by frequency; terms of a lexicon.
+FEATURES, TERMS = 50_000, 1_000
+STEMS = (3, 4, 5, 6, 7, 8)
+#: A term needs so many contexts, and to be so many times as frequent in toxic documents.
+CONTEXTS, RATIO, MOST_WEIGHT = 8, 8.0, 6.0
+#: A term of so many letters or more is looked for misspelled.
 FUZZY = 5
 WINDOW = 5
 QUOTED, ADDRESSED = 0.4, 1.25
@@ -94,13 +96,13 @@ def near_terms(word: str, trie: Trie, edits: int = 1, prefix: bool = False) -> d
 
 @dataclass
 class Lexicon:
-    """Words, stems, and their weights as exact (``words``, ``stems``) and
-    misspelled terms (``near``); ``bias`` is the log odds of a text without any."""
+    """Weights of words and stems as they are and (``near``) misspelled, and
+    the coefficients that turn a document's hits into log odds."""
 
-    bias: float
     words: dict[str, float]
     stems: dict[str, float]
     near: dict[str, float] = field(default_factory=dict)
+    odds: tuple[float, ...] = (-2.0, 0.0, 0.0, 0.0)
 
     def __post_init__(self):
         self.near_words = [t for t in self.words if len(t) >= FUZZY and self.near.get(t, 0) > 0]
@@ -110,10 +112,11 @@ class Lexicon:
         self.heads = {t[:2] for t in self.near_words} | {t[:2] for t in self.near_stems}
         self.tails = {t[-2:] for t in self.near_words}
         self.lengths = {len(t) + d for t in self.near_words for d in (-1, 0, 1)}
-        self.memo: dict[str, tuple[str, float]] = {}
+        self.memo: dict[str, tuple[str, float, bool]] = {}
 
-    def match(self, word: str) -> tuple[str, float]:
-        """The term that ``word`` stands for and its weight; ("", 0) if none."""
+    def match(self, word: str) -> tuple[str, float, bool]:
+        """The term that ``word`` stands for, its weight, and whether it is
+        misspelled; ("", 0, False) if there is none."""
         hit = self.memo.get(word)
         if hit is None:
             if len(self.memo) >= MEMO:
@@ -121,19 +124,19 @@ class Lexicon:
             hit = self.memo[word] = self._match(word)
         return hit
 
-    def _match(self, word: str) -> tuple[str, float]:
+    def _match(self, word: str) -> tuple[str, float, bool]:
         if word in self.words:
-            return word, self.words[word]
+            return word, self.words[word], False
         for n in STEMS:
             if word[:n] in self.stems and len(word) >= n:
-                return word[:n], self.stems[word[:n]]
+                return word[:n], self.stems[word[:n]], False
         found: list[str] = []
         if len(word) in self.lengths and (word[:2] in self.heads or word[-2:] in self.tails):
             found += [self.near_words[k] for k in near_terms(word, self.trie)]
         if len(word) >= FUZZY - 1 and word[:2] in self.heads and self.near_stems:
             found += [self.near_stems[k] for k in near_terms(word, self.stem_trie, prefix=True)]
         best = max(found, key=lambda t: (self.near[t], t), default="")
-        return best, self.near.get(best, 0.0)
+        return best, self.near.get(best, 0.0), bool(best)
 
 
 def context(text: str, start: int, end: int, words: list[str], k: int) -> float:
@@ -147,127 +150,170 @@ def context(text: str, start: int, end: int, words: list[str], k: int) -> float:
     return 1.0
 
 
-def score_text(text: str, lexicon: Lexicon) -> float:
-    """Probability that ``text`` is toxic: the bias and, for each term in it,
-    the weight of its strongest hit."""
+def evidence(text: str, lexicon: Lexicon) -> tuple[float, float, float]:
+    """What the hits of a text say: the log of their weight, of their weight
+    per word, and the number of their terms (5 at most)."""
     low = text.lower()
-    hits = {w for w in set(_WORD.findall(low)) if lexicon.match(w)[1]}
-    total: dict[str, float] = {}
+    words = _WORD.findall(low)
+    hits = {w for w in set(words) if lexicon.match(w)[1]}
+    total, terms = 0.0, set()
     if hits:
         found = list(_WORD.finditer(low))
-        words = [m[0] for m in found]
         for k, w in enumerate(words):
             if w in hits:
-                term, weight = lexicon.match(w)
-                weight *= context(low, found[k].start(), found[k].end(), words, k)
-                total[term] = max(total.get(term, -math.inf), weight)
-    return 1 / (1 + math.exp(-max(-700.0, min(700.0, lexicon.bias + sum(total.values())))))
+                term, weight, _ = lexicon.match(w)
+                total += weight * context(low, found[k].start(), found[k].end(), words, k)
+                terms.add(term)
+    return math.log1p(total), math.log(0.005 + total / max(10, len(words))), float(min(5, len(terms)))
+
+
+def score_text(text: str, lexicon: Lexicon) -> float:
+    """Probability that ``text`` is toxic."""
+    bias, *slopes = lexicon.odds
+    odds = bias + sum(b * x for b, x in zip(slopes, evidence(text, lexicon), strict=True))
+    return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
 
 # -- learning --------------------------------------------------------------------
 
 def _features(word: str) -> list[str]:
-    """The word, and its stems marked with a star."""
+    """The word, and its stems, marked with a star."""
     return [word, *[word[:n] + "*" for n in STEMS if len(word) >= n]]
 
 
 def _toxic_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, doc, context, word) of toxic documents; a context is the words on both sides."""
+    """(feature, context, number) of toxic documents; a context is the words
+    on both sides.  The empty feature counts all words."""
     for batch in batches:
-        out = set()
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        n: Counter[tuple[str, str]] = Counter()
+        for text in batch.column(0).to_pylist():
             words = _WORD.findall((text or "").lower())
+            n["", ""] += len(words)
             for k, w in enumerate(words):
                 around = f"{words[k - 1] if k else ''} {words[k + 1] if k + 1 < len(words) else ''}"
-                for f in _features(w):
-                    out.add((f, doc, around, w))
-        rows = list(zip(*out, strict=True)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.string()), pa.array(rows[3], pa.string())], names=["feature", "doc", "around", "word"])
+                n.update((f, around) for f in _features(w))
+        rows = list(n)
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.string()), pa.array([n[x] for x in rows], pa.int64())], names=["feature", "around", "n"])
 
 
 def _counted_in(known: frozenset[str]):
-    """Documents that hold each known feature."""
+    """Occurrences of each known feature, and (as the empty one) of all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = set(_WORD.findall((text or "").lower()))
-                n.update({f for w in words for f in _features(w)} & known)
+                words = _WORD.findall((text or "").lower())
+                n[""] += len(words)
+                for w, k in Counter(words).items():
+                    for f in _features(w):
+                        if f in known:
+                            n[f] += k
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["feature", "n"])
 
     return count
 
 
 def _near_counter(lexicon: Lexicon):
-    """Documents of either label that hold each term misspelled, and not as it is."""
+    """Occurrences of each term misspelled, by label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[tuple[str, int]] = Counter()
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(_WORD.findall((text or "").lower()))
-                exact = {lexicon.match(w)[0] for w in words if w in lexicon.words or any(w[:k] in lexicon.stems for k in STEMS)}
-                near = {lexicon.match(w)[0] for w in words} - exact - {""}
-                n.update((t, toxic) for t in near if not exact or not toxic)
-        terms = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in terms], pa.string()), pa.array([y for _, y in terms], pa.int32()), pa.array([n[t] for t in terms], pa.int64())], names=["term", "toxic", "n"])
+                for w, k in Counter(_WORD.findall((text or "").lower())).items():
+                    term, _, near = lexicon.match(w)
+                    if near:
+                        n[term, toxic] += k
+        rows = list(n)
+        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.string()), pa.array([y for _, y in rows], pa.int32()), pa.array([n[x] for x in rows], pa.int64())], names=["term", "toxic", "n"])
 
     return count
 
 
+def _evidence_of(lexicon: Lexicon):
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array([evidence(t or "", lexicon) for t in batch.column(0).to_pylist()], np.float64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, k]) for k in range(3)), batch.column(1).cast(pa.int32())], names=["a", "b", "c", "toxic"])
+
+    return measure
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 60) -> np.ndarray:
+    """Coefficients (bias first) of a logistic regression, by Newton's steps."""
+    x = np.column_stack([np.ones(len(x)), x])
+    beta = np.zeros(x.shape[1])
+    penalty = np.diag([1e-3, *[ridge] * (x.shape[1] - 1)])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ beta)
+        beta += np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-9:
+            break
+    return beta
+
+
+def choose_terms(stats: dict[str, tuple[int, float]], most: int = TERMS) -> list[str]:
+    """Of features (occurrences in toxic documents, how many times as frequent
+    there) the ones that say most, none of which begins another; a word
+    before a stem that stands for that word alone."""
+    by_worth = sorted(stats, key=lambda f: (-stats[f][0] * math.log(stats[f][1]), f.endswith("*"), -len(f), f))
+    kept: list[str] = []
+    begun, stems = set(), set()  # all beginnings of kept terms; kept stems
+    for f in by_worth:
+        plain = f.rstrip("*")
+        if any(plain[:n] in stems for n in STEMS) or (f.endswith("*") and plain in begun):
+            continue
+        kept.append(f)
+        begun.update(plain[:n] for n in range(1, len(plain) + 1))
+        if f.endswith("*"):
+            stems.add(plain)
+        if len(kept) == most:
+            break
+    return kept
+
+
 def fit_lexicon(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fit_docs: int = FIT_DOCS, scratch: Scratch | None = None) -> Lexicon:
     """The lexicon of labelled documents whose fold is not held out.  The
     sample is of ``fit_docs`` ids at most; what comes to the driver are
-    features of that sample, FEATURES at most."""
+    FEATURES features of that sample and three numbers for each document of it."""
     scratch = scratch or Scratch(docs.sparkSession, "toxic")
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds))
     chosen = usable.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)
     chosen = scratch.store(chosen, "chosen")  # bounded by fit_docs
     sample = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
-    sample = scratch.store(sample, "sample")
-    size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = size.get(1, 0), size.get(0, 0)
-    bias = math.log((toxic + 0.5) / (clean + 0.5)) if toxic + clean else 0.0
-    if not toxic:
-        return Lexicon(min(bias, -1.0), {}, {})
-
-    rows = sample.filter("toxic = 1").select("_id", "text").mapInArrow(_toxic_features, "feature string, doc long, around string, word string")
-    by_word = rows.groupBy("feature", "around", "word").agg(F.min("doc").alias("doc"))
-    stats = rows.groupBy("feature").agg(F.countDistinct("doc").alias("docs"), F.countDistinct("around").alias("contexts"))
-    stats = stats.filter(F.col("contexts") >= CONTEXTS).orderBy(F.desc("docs"), "feature").limit(FEATURES)
-    positive = {r["feature"]: (r["docs"], r["contexts"]) for r in stats.collect()}
-    counted = sample.filter("toxic = 0").select("text").mapInArrow(_counted_in(frozenset(positive)), "feature string, n long")
-    negative = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
-
-    def precision(f: str) -> float:
-        # Per label, so that the share does not depend on how rare toxic ones are.
-        p, n = positive[f][0] / toxic, negative.get(f, 0) / max(1, clean)
-        return p / (p + n)
-
-    good = [f for f in positive if precision(f) >= PRECISION and positive[f][0] >= CONTEXTS]
-    stems = sorted((f[:-1] for f in good if f.endswith("*")), key=lambda f: (len(f), f))
-    words = [f for f in good if not f.endswith("*")]
-    # A stem whose words are nearly all one word says no more than that word.
-    spread = by_word.filter(F.col("feature").isin([f + "*" for f in stems])).groupBy("feature", "word").agg(F.count(F.lit(1)).alias("n"))
-    most = {r["feature"][:-1]: r["most"] for r in spread.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("most")).collect()} if stems else {}
-    kept: list[str] = []
-    for s in stems:
-        if most.get(s, 1.0) < 0.9 and not any(s.startswith(k) for k in kept):
-            kept.append(s)
-    words = [w for w in words if not any(w.startswith(s) for s in kept)]
-
-    def weight(f: str) -> float:
-        return math.log((positive[f][0] + 0.5) / (negative.get(f, 0) + 0.5)) - bias
-
-    exact_words, exact_stems = {w: weight(w) for w in words}, {s: weight(s + "*") for s in kept}
-    # How misspelled terms fare in the sample: one clean document with one is enough to distrust it.
-    trial = Lexicon(bias, exact_words, exact_stems, dict.fromkeys([*words, *kept], 1.0))
-    near = {t: [0, 0] for t in [*words, *kept]}
-    for r in sample.select("text", "toxic").mapInArrow(_near_counter(trial), "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n")).collect():
+    # Rows that repeat an id and a text are one example.
+    sample = scratch.store(sample.dropDuplicates().repartition(24, "_id").select("text", "toxic"), "sample")
+
+    rows = sample.filter("toxic = 1").select("text").mapInArrow(_toxic_features, "feature string, around string, n long")
+    stats = rows.groupBy("feature").agg(F.sum("n").alias("n"), F.countDistinct("around").alias("contexts"))
+    stats = stats.filter((F.col("contexts") >= CONTEXTS) | (F.col("feature") == "")).orderBy(F.desc("n"), "feature").limit(FEATURES)
+    toxic = {r["feature"]: r["n"] for r in stats.collect()}
+    clean = sample.filter("toxic = 0").select("text").mapInArrow(_counted_in(frozenset(toxic)), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    clean = {r["feature"]: r["n"] for r in clean.collect()}
+    n_toxic, n_clean = toxic.pop("", 0), clean.get("", 0)
+    if not n_toxic or not n_clean:
+        return Lexicon({}, {})
+
+    def ratio(n1: float, n0: float) -> float:
+        return (n1 + 0.5) / (n_toxic + 1) / ((n0 + 0.5) / (n_clean + 1))
+
+    rated = {f: (n, ratio(n, clean.get(f, 0))) for f, n in toxic.items()}
+    kept = choose_terms({f: x for f, x in rated.items() if x[1] >= RATIO})
+    weight = {f: min(MOST_WEIGHT, math.log(rated[f][1])) for f in kept}
+    words = {f: w for f, w in weight.items() if not f.endswith("*")}
+    stems = {f[:-1]: w for f, w in weight.items() if f.endswith("*")}
+    # How misspelled terms fare in the sample; one that clean documents hold as often is dropped.
+    trial = Lexicon(words, stems, dict.fromkeys([*words, *stems], 1.0))
+    near = {t: [0, 0] for t in [*words, *stems]}
+    counted = sample.mapInArrow(_near_counter(trial), "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n"))
+    for r in counted.collect():
         near[r["term"]][r["toxic"]] = r["n"]
-    weights = {t: math.log((p + 1.0) / (n + 0.25)) - bias for t, (n, p) in near.items() if p + 1.0 > n + 0.25}
-    return Lexicon(bias, exact_words, exact_stems, weights)
+    near = {t: min(MOST_WEIGHT, math.log(ratio(n1, n0))) for t, (n0, n1) in near.items() if ratio(n1, n0) >= RATIO or n0 + n1 == 0}
+    lexicon = Lexicon(words, stems, {t: w for t, w in near.items() if w > 0})
+    data = sample.mapInArrow(_evidence_of(lexicon), "a double, b double, c double, toxic int").toPandas().to_numpy(np.float64)
+    return Lexicon(words, stems, lexicon.near, tuple(logistic(data[:, :3], data[:, 3])))
 
 
 def _scorer(lexicon: Lexicon):
