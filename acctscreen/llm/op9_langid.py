@@ -29,9 +29,10 @@ SMOOTH = 0.5
 EFFECTIVE, CEILING = 0.2, 200.0
 #: Records that a host's or a domain's prior takes from the level above.
 PRIOR_HOST, PRIOR_DOMAIN, PRIOR_ALL = 10.0, 25.0, 1.0
-#: A record stays if its language has this probability, and if its text is
-#: not farther than this (natural log per trigram) from what the models know.
-ACCEPT, STRANGE = 0.5, 2.0
+#: A record stays if its language has this probability, and if its text is not
+#: farther (natural log per trigram) from what the models know than the first
+#: number plus the second over the root of its trigrams: short texts vary more.
+ACCEPT, STRANGE, STRANGE_SHORT = 0.5, 2.0, 12.0
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x61, 0x7B), *range(0x80, 256)]] = True
@@ -195,7 +196,7 @@ def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
     names_of = F.array(*[F.lit(x) for x in langs])
     # What the models make of known text, the mean of the records' best means.
     usual = scored.filter("n > 0").agg(F.avg(F.array_max("mean"))).first()[0] or 0.0
-    strange = (F.col("n") > 0) & (F.array_max("mean") < F.lit(usual - STRANGE))
+    strange = (F.col("n") > 0) & (F.array_max("mean") < F.lit(usual - STRANGE) - STRANGE_SHORT / F.sqrt("n"))
     evident = (F.col("n") > 0) | F.col("declared").isNotNull()
     return out.select(
         *names,
