@@ -76,24 +76,27 @@ def with_ends(values: np.ndarray, at: np.ndarray, end) -> tuple[np.ndarray, np.n
     return np.insert(values, at[1:], end), at + np.arange(n + 1)
 
 
-def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        held, rows = [], 0
-        for _, h, ending, at in tokens(batch.column(0)):
-            words, first, n = np.unique(h, return_index=True, return_counts=True)
-            held.append((words, ending[first], n))
-            rows += len(at) - 1
-        if not rows:
-            continue
-        h, ending, n = (np.concatenate([x[k] for x in held]) for k in range(3))
-        words, first, back = np.unique(h, return_index=True, return_inverse=True)
-        total = np.bincount(back, n, len(words)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(words, END)), pa.array(np.append(ending[first], -1).astype(np.int32)), pa.array(np.append(total, rows).astype(np.int64))], names=["h", "ending", "n"])
+def _counter(endings: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, rows = [], 0
+            for _, h, ending, at in tokens(batch.column(0), endings):
+                words, first, n = np.unique(h, return_index=True, return_counts=True)
+                held.append((words, ending[first], n))
+                rows += len(at) - 1
+            if not rows:
+                continue
+            h, ending, n = (np.concatenate([x[k] for x in held]) for k in range(3))
+            words, first, back = np.unique(h, return_index=True, return_inverse=True)
+            total = np.bincount(back, n, len(words)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(words, END)), pa.array(np.append(ending[first], -1).astype(np.int32)), pa.array(np.append(total, rows).astype(np.int64))], names=["h", "ending", "n"])
+
+    return count
 
 
-def count_words(texts: DataFrame) -> DataFrame:
+def count_words(texts: DataFrame, endings: int = ENDINGS) -> DataFrame:
     """h, ending, n of every distinct token; ``texts`` has the one column text."""
-    part = texts.mapInArrow(_counter, "h long, ending int, n long")
+    part = texts.mapInArrow(_counter(endings), "h long, ending int, n long")
     return part.groupBy("h").agg(F.max("ending").alias("ending"), F.sum("n").alias("n"))
 
 
@@ -187,7 +190,7 @@ def fit(texts: DataFrame, scratch: Scratch, words: int = WORDS, endings: int = E
     """The model of ``texts`` (column text) and the stored word counts.  To the
     driver come ``head`` words and, each round, two counts for each unit and
     class at most: all bounded by parameters, whatever the corpus."""
-    counts = scratch.store(count_words(texts), "words")
+    counts = scratch.store(count_words(texts, endings), "words")
     real = counts.filter(F.col("h") != int(END))
     top = real.orderBy(F.desc("n"), "h").limit(head).toPandas()
     h, n = top["h"].to_numpy(np.int64), top["n"].to_numpy(np.int64)

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acctscreen.llm.common import Scratch, chunks, fold_case, text_bytes
 
@@ -140,21 +141,28 @@ def _smoothed(counts: DataFrame, by: str, above: DataFrame | None, on: str | Non
 
 
 def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
-    """``records`` (key, text, declared, host, domain, suffix) with language,
-    probability, n_trigrams and kept in place of the text.
+    """``records`` (text, declared, host, domain, suffix and any others) with
+    language, probability, n_trigrams and kept in place of the text.
 
     Missing evidence (null) counts for nothing.  A text without letters is
     judged by the rest, and kept only if some evidence is declared.  Values
     that appear in the records only are all that is learned from; without any
     declared language there is no model, and nothing is kept."""
     scratch = Scratch(records.sparkSession, "langid")
-    records = records.withColumn("text", F.coalesce("text", F.lit("")))
+    told = ["declared", "host", "domain", "suffix"]
+    added = ["language", "probability", "n_trigrams", "kept"]
+    rest = [c for c in records.columns if c not in ("text", *told, *added)]
+    # Columns that take no part travel as one, so their names clash with none made here.
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("row")
+    records = records.select(row, *told, F.coalesce("text", F.lit("")).alias("text"))
     langs, models = fit_models(records, scratch, fit_records)
-    names = [c for c in records.columns if c != "text"]
+    shown = [*[F.col("row").getField(c).alias(c) for c in rest], *told]
     if not langs:
-        return records.drop("text").withColumns({"language": F.lit(None).cast("string"), "probability": F.lit(0.0), "n_trigrams": F.lit(0).cast("long"), "kept": F.lit(False)})
-    fields = ", ".join(f"c{k} {records.schema[c].dataType.simpleString()}" for k, c in enumerate(names))
-    scored = records.mapInArrow(_likelihoods(models, records.columns.index("text")), f"{fields}, n long, mean array<double>")
+        return records.select(*shown, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), F.lit(0).cast("long").alias("n_trigrams"), F.lit(False).alias("kept"))
+    names = ["row", *told]
+    fields = [T.StructField(f"c{k}", records.schema[c].dataType) for k, c in enumerate(names)]
+    fields += [T.StructField("n", T.LongType()), T.StructField("mean", T.ArrayType(T.DoubleType()))]
+    scored = records.mapInArrow(_likelihoods(models, records.columns.index("text")), T.StructType(fields))
     scored = scored.withColumnsRenamed({f"c{k}": c for k, c in enumerate(names)})
     log = F.transform("mean", lambda m: m * F.least(F.col("n") * EFFECTIVE, F.lit(CEILING)))
     top = F.array_max("log")
@@ -199,7 +207,7 @@ def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
     strange = (F.col("n") > 0) & (F.array_max("mean") < F.lit(usual - STRANGE) - STRANGE_SHORT / F.sqrt("n"))
     evident = (F.col("n") > 0) | F.col("declared").isNotNull()
     return out.select(
-        *names,
+        *shown,
         F.get(names_of, (F.array_position("total", best) - 1).cast("int")).alias("language"),
         share.alias("probability"),
         F.col("n").alias("n_trigrams"),
@@ -237,12 +245,11 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose language is not identified.  All columns
     stay; rows that repeat an id are judged one by one, by their own text."""
     scratch = Scratch(docs.sparkSession, "keep")
-    digest = F.xxhash64(F.coalesce("text", F.lit("")), F.col("lang"), F.col("source"))
-    found = identify(document_records(docs).withColumn("digest", digest))
+    found = identify(document_records(docs).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit("")), "declared", "host")))
     # What goes is a small part; rows alike in id, text, lang and source share a verdict.
     gone = scratch.store(found.filter(~F.col("kept")).select(F.xxhash64("doc_id", "digest").alias("_k")).distinct(), "gone")
     columns = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
-    inner = F.xxhash64(F.coalesce("row.text", F.lit("")), F.col("row.lang"), F.col("row.source"))
+    inner = F.xxhash64(F.coalesce("row.text", F.lit("")), F.lower("row.lang"), F.concat(F.lit("source:"), "row.source"))
     rows = rows.withColumn("_k", F.xxhash64(F.col("row.doc_id").cast("long"), inner))
     return rows.join(gone, "_k", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in columns])
