@@ -44,13 +44,14 @@ def access_events(mobile_log: DataFrame, web_log: DataFrame, cfg: ScreenConfig,
         if window is not None:
             first, last = (F.lit(d).cast("date") for d in window)
             wanted = wanted & (base >= first) & (base < F.date_add(last, 1))
+        # Ahead of the select, where the name could also mean the alias made there.
         parts.append(
-            log.filter(wanted).select(
+            log.withColumn("__day", F.to_date(base)).filter(wanted).select(
                 "company_uid",
                 "login_log_key",
                 F.to_date(F.col("access_time")).alias("access_date"),
                 _category(F.col("menu_id"), cases).alias("category"),
-                F.to_date(base).alias("__day"),
+                "__day",
             )
         )
     events = parts[0].unionByName(parts[1])
