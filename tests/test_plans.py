@@ -88,3 +88,24 @@ def test_nothing_funnels_into_one_partition(spark, name):
                     or "Limit" in parent), f"{name}: {parent.strip()}"
         if " Window [" in line or line.lstrip(" :+-").startswith("Window ["):
             assert "windowspecdefinition(specifiedwindowframe" not in line, f"{name}: {line.strip()}"
+
+
+def test_window_reaches_the_log_scan(spark, tmp_path):
+    """The literal window is pushed as a range on the time column, where row
+    groups outside it are skipped, and changes no result."""
+    from acctscreen.operators.access import access_counts
+
+    rows_ = [(f"A{i % 5}", i, dt.datetime(2023, 1, 1) + dt.timedelta(hours=6 * i), "MDS01") for i in range(2000)]
+    schema = "company_uid string, login_log_key long, access_time timestamp_ntz, menu_id string"
+    spark.createDataFrame(rows_, schema).write.parquet(str(tmp_path / "mb"))
+    mb, web = spark.read.parquet(str(tmp_path / "mb")), spark.createDataFrame([], schema)
+    span = spark.createDataFrame([("x", "A1", dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 10))],
+                                 "acct_nbr_ori string, cust_id string, max_date timestamp_ntz, min_date timestamp_ntz")
+    cfg = ScreenConfig()
+    narrow = access_counts(mb, web, span, cfg, ("2024-01-01", "2024-01-31"))
+    wide = access_counts(mb, web, span, cfg)
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, wide.collect())) != []
+    text = spark._jvm.PythonSQLUtils.explainString(narrow._jdf.queryExecution(), "formatted")
+    scan = [b for b in text.split("\n\n") if "Scan parquet" in b and "company_uid" in b][0]
+    pushed = [ln for ln in scan.splitlines() if ln.startswith("PushedFilters")][0]
+    assert "GreaterThanOrEqual(access_time" in pushed and "LessThan(access_time" in pushed

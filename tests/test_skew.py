@@ -100,3 +100,19 @@ def test_range_write_order_spreads_a_hot_account(spark, skew_conf):
     out = ordered(hot)
     sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) > 1 and max(sizes) < 1000
+
+
+def test_span_splits_a_customer_with_a_third_of_the_accounts(spark, skew_conf):
+    from pyspark.sql import functions as F
+
+    from acctscreen.operators.activity import customer_activity_span
+
+    # Every row an account of its own: a third of the pairs are one customer's.
+    txn = skewed_txn(spark).withColumn("acct_nbr_ori", F.substring("note", 1, 20)).withColumn(
+        "tx_date", F.when(F.col("note").startswith("0"), F.lit("2024-01-09").cast("date")).otherwise(F.col("tx_date")))
+    out = customer_activity_span(txn)
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == 3000
+    hot = out.filter("cust_id = 'HOTCUST'").select("max_date", "min_date").distinct().collect()
+    assert out.filter("cust_id = 'HOTCUST'").count() == 1000
+    assert [tuple(r) for r in hot] == [(dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 1))]

@@ -57,13 +57,13 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     report: list[tuple[str, list[str]]] = []
-    orig = P._write_day
+    orig = P.write_day
 
     def traced(df, path, snap):
         report.append((path.rsplit("/", 1)[1], outline(df)))
         return orig(df, path, snap)
 
-    P._write_day = traced
+    P.write_day = traced
     import tempfile
 
     if not spark.sparkContext.getCheckpointDir():
