@@ -45,6 +45,18 @@ def numbered(df: DataFrame, order: Column, name: str, scratch: Scratch) -> DataF
     return ranged.withColumn(name, own).join(before, "_range").withColumn(name, (F.col(name) + F.col("_before")).cast("long")).drop("_range", "_before")
 
 
+def least_by_hash(df: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """The ``k`` rows of ``df`` that are least by a hash of ``columns`` (ties by
+    the columns), a sample that is the same in every run.  Rows far beyond
+    the k-th are left out before, by how many rows there are, so that tasks
+    together pass on little more than ``k`` rows."""
+    digest = F.xxhash64(*columns)
+    n = df.count()
+    if n > 4 * k:
+        df = df.filter(digest < int((2 * k / n - 0.5) * 2**64))
+    return df.orderBy(digest, *columns).limit(k)
+
+
 # -- text as bytes -------------------------------------------------------------
 
 _ASCII_SPACE = np.zeros(256, bool)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acctscreen.llm.common import Scratch, chunks, fold_case, text_bytes
+from acctscreen.llm.common import Scratch, chunks, fold_case, least_by_hash, text_bytes
 
 #: Records, the least by hash, that the text models are fitted to, and hashed trigrams.
 FIT_RECORDS, BUCKETS = 8_000, 1 << 15
@@ -68,22 +68,24 @@ def _trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 if len(part):
                     # A record counts as much as its number of letters' root, so a long one does not rule.
                     total.setdefault(declared[r], np.zeros(BUCKETS))[:] += np.bincount(part, minlength=BUCKETS) / np.sqrt(len(part))
-    langs = list(total)
-    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([total[x].tobytes() for x in langs], pa.binary())], names=["lang", "counts"])
+    for lang, counts in total.items():
+        k = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int32)), pa.array(counts[k])], names=["lang", "bucket", "n"])
 
 
 def fit_models(records: DataFrame, scratch: Scratch, fit_records: int = FIT_RECORDS) -> tuple[list[str], np.ndarray]:
     """Languages and log-probabilities of trigrams by language, from a sample
     of records that declare one (columns text, declared)."""
     usable = records.filter(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text")
-    sample = usable.withColumn("o", F.xxhash64("text", "declared")).orderBy("o", "text").limit(fit_records)
-    sample = scratch.store(sample.drop("o"), "sample")
+    sample = scratch.store(least_by_hash(usable, ["text", "declared"], fit_records), "sample")
     langs = sorted(r["declared"] for r in sample.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_RECORDS).collect())
-    n = max(1, min(64, fit_records // 500))
-    parts = sample.filter(F.col("declared").isin(langs)).repartition(n, F.xxhash64("text")).mapInArrow(_trigram_counts, "lang string, counts binary").collect() if langs else []
     total = np.zeros((len(langs), BUCKETS))
-    for r in parts:
-        total[langs.index(r["lang"])] += np.frombuffer(r["counts"], np.float64)
+    if langs:
+        n = max(1, min(64, fit_records // 500))
+        parts = sample.filter(F.col("declared").isin(langs)).repartition(n, F.xxhash64("text")).mapInArrow(_trigram_counts, "lang string, bucket int, n double")
+        # A row for each language and bucket, whatever the number of tasks.
+        sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        np.add.at(total, (sums["lang"].map(langs.index).to_numpy(np.int64), sums["bucket"].to_numpy()), sums["n"].to_numpy())
     return langs, np.log((total + SMOOTH) / (total + SMOOTH).sum(1, keepdims=True)) if langs else total
 
 
