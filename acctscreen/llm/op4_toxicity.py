@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctscreen.llm.common import Scratch, held_out
+from acctscreen.llm.common import Scratch, held_out, least_by_hash
 
 FOLDS = 5
 #: Labelled documents, the least by hash of id, that the lexicon is fitted to.
@@ -34,6 +34,8 @@ FEATURES, TERMS = 50_000, 1_000
 STEMS = (3, 4, 5, 6, 7, 8)
 #: A term needs so many contexts, and to be so many times as frequent in toxic documents.
 CONTEXTS, RATIO, MOST_WEIGHT = 8, 8.0, 6.0
+#: Occurrences times the log of that: at least this much, and this share of the best term's.
+LEAST_WORTH, WORTH_SHARE = 40.0, 0.02
 #: A term of so many letters or more is looked for misspelled.
 FUZZY = 5
 WINDOW = 5
@@ -258,7 +260,9 @@ def choose_terms(stats: dict[str, tuple[int, float]], most: int = TERMS) -> list
     """Of features (occurrences in toxic documents, how many times as frequent
     there) the ones that say most, none of which begins another; a word
     before a stem that stands for that word alone."""
-    by_worth = sorted(stats, key=lambda f: (-stats[f][0] * math.log(stats[f][1]), f.endswith("*"), -len(f), f))
+    worth = {f: n * math.log(ratio) for f, (n, ratio) in stats.items()}
+    least = max(LEAST_WORTH, WORTH_SHARE * max(worth.values(), default=0.0))
+    by_worth = sorted((f for f in stats if worth[f] >= least), key=lambda f: (-worth[f], f.endswith("*"), -len(f), f))
     kept: list[str] = []
     begun, stems = set(), set()  # all beginnings of kept terms; kept stems
     for f in by_worth:
@@ -280,8 +284,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fit_docs
     FEATURES features of that sample and three numbers for each document of it."""
     scratch = scratch or Scratch(docs.sparkSession, "toxic")
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds))
-    chosen = usable.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(fit_docs)
-    chosen = scratch.store(chosen, "chosen")  # bounded by fit_docs
+    chosen = usable.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = scratch.store(least_by_hash(chosen, ["_id"], fit_docs), "chosen")  # bounded by fit_docs
     sample = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
     # Rows that repeat an id and a text are one example.
     sample = scratch.store(sample.dropDuplicates().repartition(24, "_id").select("text", "toxic"), "sample")
