@@ -139,7 +139,9 @@ def q_exchange_groups(t: ScreenInputs) -> DataFrame:
 
 
 def q_exchange_removed(t: ScreenInputs) -> DataFrame:
-    return cleansing.remove_exchanges(_memo_filtered(t), cleansing.RAW_EXCHANGE_KEYS)
+    # Read twice, for the groups and for the rows: stored once.
+    rows = write_and_read(_memo_filtered(t), run_root(t.savings_txn.sparkSession, "memo"))
+    return cleansing.remove_exchanges(rows, cleansing.RAW_EXCHANGE_KEYS)
 
 
 def q_twd_only(t: ScreenInputs) -> DataFrame:
