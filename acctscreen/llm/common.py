@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from acctscreen.plans.materialize import run_root, write_and_read
 
 
+#: Rows that go to Python at once, where the session has Spark's default of
+#: 10,000: whole texts are long, and both sides hold a batch outside the heap.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "1000"
+
+
 class Scratch:
     """Tables that one run of an operator writes under the cluster's shared
     checkpoint folder: a written table cuts the lineage, so that a lost
@@ -19,6 +25,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.root = run_root(spark, f"llm-{label}")
+        if spark.conf.get(BATCH) == "10000":
+            spark.conf.set(BATCH, BATCH_ROWS)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         return write_and_read(df, f"{self.root}/{name}")
@@ -71,18 +79,18 @@ SPACE, PUNCTUATION = _ASCII_SPACE, _NOT_WORD
 
 _R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_R, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 12), base, np.uint64)
-        have[0] = 1
-        _powers[base] = np.multiply.accumulate(have)
-        have = _powers[base]
-    return have[:n]
+    """base**0 .. base**(n-1) modulo 2**64.  Not kept: what a module keeps is
+    made anew, and left behind, by every task that gets its functions."""
+    out = np.ones(max(n, 1), np.uint64)
+    have = 1
+    while have < n:  # the next as many are those times base**have
+        more = min(have, n - have)
+        np.multiply(out[:more], np.uint64(pow(base, have, 1 << 64)), out=out[have : have + more])
+        have += more
+    return out[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -110,7 +118,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def chunks(offs: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def chunks(offs: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of rows of up to ``most`` bytes together (a longer row alone)."""
     a, n = 0, len(offs) - 1
     while a < n:

@@ -27,6 +27,8 @@ from acctscreen.llm.common import SPACE, Scratch, chunks, fold_case, hash_spans,
 #: classes, rounds of exchange, and words whose counts every task gets.
 WORDS, ENDINGS, CLASSES, ROUNDS, HEAD = 2048, 1024, 64, 6, 1 << 17
 DELTA, ALPHA = 0.1, 1.0
+#: Entries that a task holds before it passes its counts on.
+HELD = 1_000_000
 #: The end of a text is a token with this hash; no word has it but by chance (2**-64).
 END = np.int64(0)
 FOLDS = 10
@@ -78,22 +80,29 @@ def with_ends(values: np.ndarray, at: np.ndarray, end) -> tuple[np.ndarray, np.n
 
 def _counter(endings: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            held, rows = [], 0
             for _, h, ending, at in tokens(batch.column(0), endings):
                 words, first, n = np.unique(h, return_index=True, return_counts=True)
                 held.append((words, ending[first], n))
                 rows += len(at) - 1
-            if not rows:
-                continue
-            h, ending, n = (np.concatenate([x[k] for x in held]) for k in range(3))
-            words, first, back = np.unique(h, return_index=True, return_inverse=True)
-            total = np.bincount(back, n, len(words)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(words, END)), pa.array(np.append(ending[first], -1).astype(np.int32)), pa.array(np.append(total, rows).astype(np.int64))], names=["h", "ending", "n"])
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield _word_counts(held, rows)
+                    held, rows = [], 0
+        if rows:
+            yield _word_counts(held, rows)
 
     return count
 
 
+def _word_counts(held: list[tuple], rows: int) -> pa.RecordBatch:
+    """One row for each word of these parts, and one for the ends of ``rows`` texts."""
+    h, ending, n = (np.concatenate([x[k] for x in held]) for k in range(3))
+    words, first, back = np.unique(h, return_index=True, return_inverse=True)
+    total = np.bincount(back, n, len(words)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.append(words, END)), pa.array(np.append(ending[first], -1).astype(np.int32)), pa.array(np.append(total, rows).astype(np.int64))], names=["h", "ending", "n"])
+
+
 def count_words(texts: DataFrame, endings: int = ENDINGS) -> DataFrame:
     """h, ending, n of every distinct token; ``texts`` has the one column text."""
     part = texts.mapInArrow(_counter(endings), "h long, ending int, n long")
@@ -102,21 +111,28 @@ def count_words(texts: DataFrame, endings: int = ENDINGS) -> DataFrame:
 
 def _pair_counter(units: Units):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            held = []
             for _, h, ending, at in tokens(batch.column(0), units.endings):
                 u, _ = with_ends(units.of(h, ending), at, units.end)
                 before = np.empty_like(u)
                 if len(u):
                     before[0], before[1:] = units.end, u[:-1]  # a text begins after an end
                 held.append(before * units.n + u)
-            if held:
-                code, n = np.unique(np.concatenate(held), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+                if sum(map(len, held)) >= 2 * HELD:
+                    yield _code_counts(held)
+                    held = []
+        if held:
+            yield _code_counts(held)
 
     return count
 
 
+def _code_counts(held: list[np.ndarray]) -> pa.RecordBatch:
+    code, n = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+
+
 def _neighbours(units: int, classes: int, class_of: np.ndarray):
     """Counts of (unit, class after) and (class before, unit), summed in the task."""
 
@@ -186,13 +202,25 @@ class Model:
     v: int
 
 
+def _count_of(counts: DataFrame, k: int) -> int:
+    """A power of two that ``k`` words or all reach, so that few more than
+    ``k`` are sorted.  One row for each power comes to the driver."""
+    powers = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).agg(F.count(F.lit(1)).alias("words")).collect()
+    total, least = 0, 1
+    for p, words in sorted(map(tuple, powers), reverse=True):
+        total, least = total + words, 1 << p
+        if total >= k:
+            break
+    return least
+
+
 def fit(texts: DataFrame, scratch: Scratch, words: int = WORDS, endings: int = ENDINGS, classes: int = CLASSES, rounds: int = ROUNDS, head: int = HEAD) -> tuple[Model, DataFrame]:
     """The model of ``texts`` (column text) and the stored word counts.  To the
     driver come ``head`` words and, each round, two counts for each unit and
     class at most: all bounded by parameters, whatever the corpus."""
     counts = scratch.store(count_words(texts, endings), "words")
     real = counts.filter(F.col("h") != int(END))
-    top = real.orderBy(F.desc("n"), "h").limit(head).toPandas()
+    top = real.filter(F.col("n") >= _count_of(real, head)).orderBy(F.desc("n"), "h").limit(head).toPandas()
     h, n = top["h"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
     units = Units(np.sort(h[:words]), endings)
     by_ending = real.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
