@@ -5,8 +5,11 @@ others share the unit of their last letters, so every word, seen or not, has
 one.  Exchange clustering assigns units to classes: class counts of each
 unit's neighbours are added up over the whole training corpus, then units
 move one after the other to the class that raises the likelihood of the
-class bigrams most, round after round.  A text's probability is the product
-of P(class | class before) and P(word | class), both smoothed.
+class bigrams most, round after round.  Then every other word that occurs
+often enough, however many there are, gets the class that its own neighbours
+speak for; only words that are rarer or unseen keep that of their last
+letters.  A text's probability is the product of P(class | class before) and
+P(word | class), both smoothed.
 
 Words are told apart by 64-bit hashes.
 """
@@ -26,6 +29,8 @@ from acctscreen.llm.common import SPACE, Scratch, chunks, fold_case, hash_spans,
 #: Bounds of the model: words with a unit of their own, units of last letters,
 #: classes, rounds of exchange, and words whose counts every task gets.
 WORDS, ENDINGS, CLASSES, ROUNDS, HEAD = 2048, 1024, 64, 6, 1 << 17
+#: A word that occurs so often, at any size of the corpus, has a class by its own neighbours.
+OWN = 2
 DELTA, ALPHA = 0.1, 1.0
 #: Entries that a task holds before it passes its counts on.
 HELD = 1_000_000
@@ -202,6 +207,11 @@ class Model:
     v: int
 
 
+def _logs(g: np.ndarray, tokens_of: np.ndarray, types_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    share = (g.sum(0) + ALPHA) / (g.sum() + ALPHA * len(g))
+    return np.log10((g + ALPHA * share) / (g.sum(1, keepdims=True) + ALPHA)), np.log10(tokens_of + DELTA * (types_of + 1))
+
+
 def _count_of(counts: DataFrame, k: int) -> int:
     """A power of two that ``k`` words or all reach, so that few more than
     ``k`` are sorted.  One row for each power comes to the driver."""
@@ -268,66 +278,244 @@ def fit(texts: DataFrame, scratch: Scratch, words: int = WORDS, endings: int = E
         np.add.at(types_of, tail, end_types)
     if end_n:
         tokens_of[0], types_of[0] = end_n, 1
-    share = (g.sum(0) + ALPHA) / (g.sum() + ALPHA * classes)
-    transition = np.log10((g + ALPHA * share) / (g.sum(1, keepdims=True) + ALPHA))
-    emission = np.log10(tokens_of + DELTA * (types_of + 1))
+    transition, emission = _logs(g, tokens_of, types_of)
     order = np.argsort(h)
     total = real.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     return Model(units, class_of, transition, emission, h[order], n[order], int(total["n"]) + end_n, int(total["v"]) + bool(end_n)), counts
 
 
+def _cell_counter(units: Units, class_of: np.ndarray, classes: int):
+    """Per word without a unit of its own, the classes after it (cell: the
+    class) and before it (cell: ``classes`` and the class)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for _, h, ending, at in tokens(batch.column(0), units.endings):
+                u, _ = with_ends(units.of(h, ending), at, units.end)
+                h, _ = with_ends(h, at, END)
+                c = class_of[u]
+                far = np.flatnonzero((u >= len(units.words)) & (u != units.end))
+                # A text's first word comes after an end; its last token is an end.
+                held += [(h[far], c[far + 1]), (h[far], classes + np.where(far > 0, c[far - 1], 0))]
+                if sum(len(x[0]) for x in held) >= 2 * HELD:
+                    yield _cell_counts(held, 2 * classes)
+                    held = []
+        if held:
+            yield _cell_counts(held, 2 * classes)
+
+    return count
+
+
+def _cell_counts(held: list[tuple[np.ndarray, np.ndarray]], cells: int) -> pa.RecordBatch:
+    words, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+    code, n = np.unique(back * cells + np.concatenate([x[1] for x in held]), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(words[code // cells]), pa.array((code % cells).astype(np.int32)), pa.array(n.astype(np.int64))], names=["h", "cell", "n"])
+
+
+def _best_class(weights: np.ndarray, size: np.ndarray):
+    """The class that makes a word's neighbours and the word in it likeliest."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, lists = batch.column(1), batch.column(2)
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            code = lists.flatten().to_numpy()
+            cells = len(weights)
+            found = np.zeros((len(lists), cells))
+            found[row, code % cells] = code // cells
+            gain = found @ weights - n.to_numpy()[:, None] * size
+            gain[:, 0] = -np.inf  # the end's
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(gain.argmax(1).astype(np.int32))], names=["h", "n", "c"])
+
+    return choose
+
+
+_PAIR = "lh long, lc int, rh long, rc int, n long"
+
+
+def _parts(model: Model, h: np.ndarray, ending: np.ndarray, at: np.ndarray):
+    """Classes of the tokens and of those before them, which are known without
+    a look-up, their hashes, and the places of ends.  A word beyond the head has
+    the class of its ending here."""
+    u, ends = with_ends(model.units.of(h, ending), at, model.units.end)
+    h, _ = with_ends(h, at, END)
+    known = (u < len(model.units.words)) | (u == model.units.end)
+    c = np.append(0, model.class_of[u])
+    known, h = np.append(True, known), np.append(END, h)
+    return c, known, np.where(known, END, h), ends
+
+
+def _transition_counter(model: Model):
+    """Class pairs of tokens; a word to be looked up has its hash beside the class (others: END)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = len(model.transition)
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            for _, h, ending, at in tokens(batch.column(0), model.units.endings):
+                c, known, h, _ = _parts(model, h, ending, at)
+                both = known[:-1] & known[1:]
+                total += np.bincount((c[:-1] * classes + c[1:])[both], minlength=len(total))
+                k = np.flatnonzero(~both)
+                if len(k):
+                    yield _pair_rows(h[k], c[k], h[k + 1], c[k + 1], np.ones(len(k)))
+        k = np.flatnonzero(total)
+        end = np.full(len(k), END)
+        yield _pair_rows(end, k // classes, end, k % classes, total[k])
+
+    return count
+
+
+def _pair_rows(*columns) -> pa.RecordBatch:
+    types = (np.int64, np.int32, np.int64, np.int32, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x).astype(t)) for x, t in zip(columns, types, strict=True)], names=["lh", "lc", "rh", "rc", "n"])
+
+
+def _looked_up(pairs: DataFrame, tail: DataFrame) -> DataFrame:
+    """``pairs`` with the classes of ``tail`` (h, n, c) where it has one, and
+    with seen, the count of the right word (null: it needed no look-up).
+    Rows without a hash take no part in the joins."""
+    look = tail.select(F.col("h").alias("_h"), F.col("n").alias("_n"), F.col("c").alias("_c"))
+    pairs = pairs.withColumn("seen", F.lit(None).cast("long"))
+    for side in "lr":
+        opened = pairs.filter(F.col(f"{side}h") != int(END)).join(look, F.col(f"{side}h") == F.col("_h"), "left")
+        opened = opened.withColumn(f"{side}c", F.coalesce("_c", f"{side}c"))
+        if side == "r":
+            opened = opened.withColumn("seen", F.coalesce("_n", F.lit(0)).cast("long"))
+        pairs = pairs.filter(F.col(f"{side}h") == int(END)).unionByName(opened.drop("_h", "_n", "_c"))
+    return pairs
+
+
+def refine(texts: DataFrame, model: Model, counts: DataFrame, scratch: Scratch, own: int = OWN) -> tuple[Model, DataFrame]:
+    """``model`` (of ``fit``) with a class by its own neighbours for every word
+    that occurs ``own`` times, and the stored h, n, c of the words beyond the
+    head (c null: that of the ending).  Words of the head go to every task
+    with their classes; the others' are joined."""
+    old, classes = model.units, len(model.transition)
+    real = counts.filter(F.col("h") != int(END))
+    cells = texts.mapInArrow(_cell_counter(old, model.class_of, classes), "h long, cell int, n long").groupBy("h", "cell").agg(F.sum("n").alias("n"))
+    # At most two numbers for each class and word; each occurrence has one class before it.
+    words = cells.groupBy("h").agg(F.sum(F.when(F.col("cell") >= classes, F.col("n")).otherwise(0)).alias("n"), F.collect_list(F.col("n") * (2 * classes) + F.col("cell")).alias("cells"))
+    step = model.transition * np.log(10.0)
+    weights = np.concatenate([step.T, step])
+    further = scratch.store(words.filter(F.col("n") >= own).mapInArrow(_best_class(weights, model.emission * np.log(10.0)), "h long, n long, c int"), "further")
+
+    # Classes of the head: units of their own, then what is far enough up of the further words.
+    endings = model.class_of[len(old.words) : old.end]
+    by_ending = real.groupBy("ending").agg(F.sum(F.when(F.col("n") < own, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("n") < own, 1).otherwise(0)).alias("v")).toPandas()
+    of_head = np.full(len(model.head), -1)
+    if len(model.head):
+        least = int(model.head_n.min())
+        of_head[np.searchsorted(model.head, old.words)] = model.class_of[: len(old.words)]
+        far = further.filter(F.col("n") >= max(least, _count_of(further, len(model.head)))).orderBy(F.desc("n"), "h").limit(len(model.head)).toPandas()
+        far_h, far_c = far["h"].to_numpy(np.int64), far["c"].to_numpy(np.int64)
+        k = np.minimum(np.searchsorted(model.head, far_h), len(model.head) - 1)
+        same = model.head[k] == far_h
+        of_head[k[same]] = far_c[same]
+    else:
+        least = 0
+    rare = of_head < 0  # of the head, but too rare: these stay outside, with the class of their ending
+    units = Units(model.head[~rare], old.endings)
+    class_of = np.concatenate([of_head[~rare], endings, [0]])
+    tail = real.filter(F.col("n") <= max(least, own - 1)) if len(model.head) else real
+    tail = scratch.store(tail.select("h", "n").join(further.select("h", "c"), "h", "left"), "tail")
+
+    # Tokens and distinct words of each class.
+    tokens_of, types_of = np.zeros(classes), np.zeros(classes)
+    for r in further.groupBy("c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        tokens_of[r["c"]] += r["n"]
+        types_of[r["c"]] += r["v"]
+    np.add.at(tokens_of, endings[by_ending["ending"].to_numpy(np.int64)], by_ending["n"].to_numpy(np.float64))
+    np.add.at(types_of, endings[by_ending["ending"].to_numpy(np.int64)], by_ending["v"].to_numpy(np.float64))
+    if len(old.words):
+        own_n = model.head_n[np.searchsorted(model.head, old.words)]
+        mine = model.class_of[: len(old.words)]
+        np.add.at(tokens_of, mine, own_n)
+        np.add.at(types_of, mine, 1)
+        # Units of their own that are rare were counted with their endings.
+        few = [int(x) for x in old.words[own_n < own]]
+        if few:
+            for r in real.filter(F.col("n") < own).join(F.broadcast(texts.sparkSession.createDataFrame([(x,) for x in few], "h long")), "h").select("ending", "n").collect():
+                tokens_of[endings[r["ending"]]] -= r["n"]
+                types_of[endings[r["ending"]]] -= 1
+    end_n = model.n - int(real.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    if end_n:
+        tokens_of[0], types_of[0] = end_n, 1
+    model = Model(units, class_of, model.transition, model.emission, model.head, model.head_n, model.n, model.v)
+    pairs = scratch.store(texts.mapInArrow(_transition_counter(model), _PAIR), "transitions")
+    g = np.zeros((classes, classes))
+    for r in _looked_up(pairs, tail).groupBy("lc", "rc").agg(F.sum("n").alias("n")).collect():
+        g[r["lc"], r["rc"]] = r["n"]
+    transition, emission = _logs(g, tokens_of, types_of)
+    return Model(units, class_of, transition, emission, model.head, model.head_n, model.n, model.v), tail
+
+
 def _scorer(model: Model, end_n: int):
-    """Rows of kind 0: what a text's tokens give without rare words' counts;
-    kind 1: a rare word, whose count is still to be looked up."""
-    base_divisor = np.log10(model.n + DELTA * (model.v + 1))
+    """Rows of kind 0: what a text's tokens and pairs of tokens give without
+    words beyond the head; kind 1: pairs with such a word, to be looked up."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The counts of the units' own words.
+        own_n = model.head_n[np.searchsorted(model.head, model.units.words)] if len(model.units.words) else np.zeros(0)
+        logs_of = np.append(np.log10(own_n + DELTA), np.zeros(model.units.endings + 1))
+        logs_of[model.units.end] = np.log10(end_n + DELTA)
         for batch in batches:
             key, doc_id = batch.column(0).to_numpy(), batch.column(1)
             for a, h, ending, at in tokens(batch.column(2), model.units.endings):
                 rows, size = len(at) - 1, np.diff(at)
-                c, ends = with_ends(model.class_of[model.units.of(h, ending)], at, 0)
-                before = np.empty_like(c)
-                before[0], before[1:] = 0, c[:-1]
-                part = np.append(0.0, np.cumsum(model.transition[before, c] - model.emission[c]))
-                score = part[ends[1:]] - part[ends[:-1]]
-                if len(model.head):
-                    k = np.minimum(np.searchsorted(model.head, h), len(model.head) - 1)
-                    known = model.head[k] == h
-                    logs = np.where(known, np.log10(model.head_n[k] + DELTA), 0.0)
-                else:
-                    known, logs = np.zeros(len(h), bool), np.zeros(len(h))
-                total = np.append(0.0, np.cumsum(logs))
-                seen = np.append(0, np.cumsum(known))
-                shared = total[at[1:]] - total[at[:-1]] + np.log10(end_n + DELTA)
-                n_known = seen[at[1:]] - seen[at[:-1]] + (1 if end_n else 0)
-                yield _rows(0, key[a : a + rows], doc_id.slice(a, rows), np.zeros(rows, np.int64), size + 1, n_known, shared - (size + 1) * base_divisor, shared + score)
-                rare = np.flatnonzero(~known)
-                if len(rare):
-                    row = np.repeat(np.arange(rows), size)[rare]
-                    order = np.lexsort((h[rare], row))
-                    row, word = row[order], h[rare][order]
-                    new = np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]))
+                u, _ = with_ends(model.units.of(h, ending), at, model.units.end)
+                c, known, h, ends = _parts(model, h, ending, at)
+                logs = np.where(known[1:], logs_of[u], 0.0)
+                both = known[:-1] & known[1:]
+                part = np.where(both, model.transition[c[:-1], c[1:]], 0.0) + np.where(known[1:], logs - model.emission[c[1:]], 0.0)
+                total, base, seen = (np.append(0, np.cumsum(x)) for x in (part, logs, known[1:]))
+                shared, plain = total[ends[1:]] - total[ends[:-1]], base[ends[1:]] - base[ends[:-1]]
+                n_known = seen[ends[1:]] - seen[ends[:-1]] - (0 if end_n else 1)
+                yield _rows(0, key[a : a + rows], doc_id.slice(a, rows), *[np.zeros(rows, np.int64)] * 4, size + 1, n_known, plain, shared)
+                k = np.flatnonzero(~both)
+                if len(k):
+                    row = np.repeat(np.arange(rows), size + 1)[k]
+                    five = [row, h[k], c[k], h[k + 1], c[k + 1]]
+                    order = np.lexsort(five[::-1])
+                    five = [x[order] for x in five]
+                    new = np.append(True, np.any([x[1:] != x[:-1] for x in five], axis=0))
                     first = np.flatnonzero(new)
                     times = np.diff(np.append(first, len(row)))
-                    none = pa.nulls(len(first), pa.int64())
                     zero = np.zeros(len(first))
-                    yield _rows(1, key[a + row[first]], none, word[first], times, zero.astype(np.int64), zero, zero)
+                    yield _rows(1, key[a + five[0][first]], pa.nulls(len(first), pa.int64()), *[x[first] for x in five[1:]], times, zero.astype(np.int64), zero, zero)
 
     return score
 
 
-_SCORED = "kind int, key long, doc_id long, h long, n long, n_known long, base double, score double"
+def _pair_logs(model: Model):
+    """What looked-up pairs add: log and known for right words that were looked
+    up, and more, with the transition and such a word's class."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right, n = (batch.column(k).to_numpy() for k in (1, 2, 3))
+            wide = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+            seen = batch.column(4).fill_null(0).to_numpy()
+            log = np.where(wide, np.log10(seen + DELTA), 0.0)
+            more = model.transition[left, right] + np.where(wide, log - model.emission[right], 0.0)
+            arrays = [batch.column(0), pa.array(n * log), pa.array(n * more), pa.array(np.where(seen > 0, n, 0))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "log", "more", "known"])
+
+    return add
+
+
+_SCORED = "kind int, key long, doc_id long, lh long, lc int, rh long, rc int, n long, n_known long, base double, score double"
 
 
 def _rows(kind: int, key, doc_id: pa.Array, *rest) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    types = [np.int64, np.int32, np.int64, np.int32, np.int64, np.int64, np.float64, np.float64]
     arrays = [pa.array(np.full(len(key), kind, np.int32)), pa.array(key, pa.int64()), doc_id.cast(pa.int64())]
-    arrays += [pa.array(x, t) for x, t in zip(rest, types, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, names=["kind", "key", "doc_id", "h", "n", "n_known", "base", "score"])
+    arrays += [pa.array(np.asarray(x).astype(t)) for x, t in zip(rest, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["kind", "key", "doc_id", "lh", "lc", "rh", "rc", "n", "n_known", "base", "score"])
 
 
-def score_texts(docs: DataFrame, folds: int = FOLDS, **sizes: int) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = FOLDS, own: int = OWN, **sizes: int) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): held_out, n_tokens,
     n_known, train_tokens, base_score, score, perplexity.
 
@@ -337,26 +525,27 @@ def score_texts(docs: DataFrame, folds: int = FOLDS, **sizes: int) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "brown")
     docs = docs.select("doc_id", "text")
-    model, counts = fit(docs.filter(~held_out("doc_id", folds)).select("text"), scratch, **sizes)
+    train = docs.filter(~held_out("doc_id", folds)).select("text")
+    model, counts = fit(train, scratch, **sizes)
+    model, tail = refine(train, model, counts, scratch, own)
     end_n = int(counts.filter(F.col("h") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     # Both kinds of rows come from one stored pass, so they agree on the keys.
     keyed = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = scratch.store(keyed.mapInArrow(_scorer(model, end_n), _SCORED), "scored")
-    head_least = int(model.head_n.min()) if len(model.head) else 0
-    rare = scored.filter("kind = 1").select("key", "h", "n")
-    # Words beyond the head are no more frequent than its last one.
-    tail = counts.filter((F.col("n") <= head_least) & (F.col("h") != int(END))).select("h", F.col("n").alias("c"))
-    looked = rare.join(tail, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    more = looked.groupBy("key").agg(F.sum(F.col("n") * F.log10(F.col("c") + F.lit(DELTA))).alias("log"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"))
-    out = scored.filter("kind = 0").join(more, "key", "left")
-    log, known = F.coalesce("log", F.lit(0.0)), F.coalesce("known", F.lit(0))
+    pairs = _looked_up(scored.filter("kind = 1").select("key", "lh", "lc", "rh", "rc", "n"), tail)
+    parts = pairs.select("key", "lc", "rc", "n", "seen").mapInArrow(_pair_logs(model), "key long, log double, more double, known long")
+    more = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("log", "more", "known")])
+    out = scored.filter("kind = 0").select("key", "doc_id", "n", "n_known", "base", "score").join(more, "key", "left")
+    divisor = float(np.log10(model.n + DELTA * (model.v + 1)))
+    base = F.col("base") + F.coalesce("log", F.lit(0.0)) - F.col("n") * F.lit(divisor)
+    score = F.col("score") + F.coalesce("more", F.lit(0.0))
     return out.select(
         "doc_id",
         held_out("doc_id", folds).alias("held_out"),
         F.col("n").alias("n_tokens"),
-        (F.col("n_known") + known).cast("long").alias("n_known"),
+        (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base") + log).alias("base_score"),
-        (F.col("score") + log).alias("score"),
-        F.pow(F.lit(10.0), -(F.col("score") + log) / F.col("n")).alias("perplexity"),
+        base.alias("base_score"),
+        score.alias("score"),
+        F.pow(F.lit(10.0), -score / F.col("n")).alias("perplexity"),
     )

@@ -96,6 +96,57 @@ def test_exchange_raises_the_likelihood():
     assert len({(k, c) for k, c in zip(kind[:-1], class_of[:-1], strict=True)}) == 2
 
 
+def test_words_beyond_the_units_have_classes_by_their_neighbours(spark):
+    """Words that share an ending but stand in unlike places are told apart, in the head and beyond."""
+    from acctscreen.llm.common import SPACE, Scratch, hash_words
+
+    r = random.Random(4)
+    far = {k: [f"{k}{a}{b}zzz" for a in "abcdefgh" for b in "aeiou"] for k in "pq"}
+    rows = []
+    for i in range(400):
+        before, k, after = ("the", "p", "of") if i % 2 else ("did", "q", "not")
+        rows.append((" ".join(f"{before} {r.choice([r.choice(far[k]), k + 'main' + k])} {after}" for _ in range(12)),))
+    texts = spark.createDataFrame(rows, "text string")
+    for head in (6, 40):
+        scratch = Scratch(spark, "t")
+        first, counts = brown.fit(texts, scratch, words=6, endings=16, classes=24, rounds=0, head=head)  # each unit a class
+        model, tail = brown.refine(texts, first, counts, scratch)
+        looked = {x["h"]: x["c"] for x in tail.collect()}
+
+        def class_of(word, model=model, looked=looked):
+            h = hash_words([word], SPACE)[0].view(np.int64)
+            _, _, ending, _ = next(brown.tokens(brown.pa.array([word]), model.units.endings))
+            u = int(model.units.of(h, ending)[0])
+            c = looked.get(int(h[0])) if u >= len(model.units.words) else None
+            return int(model.class_of[u]) if c is None else c
+
+        p, q = ({class_of(w) for w in far[k]} for k in "pq")
+        assert p == {class_of("pmainp")} and q == {class_of("qmainq")} and p != q
+        assert class_of("pabzzz") == class_of("unseenbzzz")  # still by the ending
+        # Still a distribution: the words of a class and one unknown word.
+        assert np.allclose((10**model.transition).sum(1), 1)
+        mass = np.zeros(24)
+        words = {w for t, in rows for w in t.split()}
+        n = {x["h"]: x["n"] for x in counts.collect()}
+        for w in words:
+            mass[class_of(w)] += (n[int(hash_words([w], SPACE)[0].view(np.int64)[0])] + brown.DELTA) / 10 ** model.emission[class_of(w)]
+        mass[0] += (len(rows) + brown.DELTA) / 10 ** model.emission[0]
+        assert np.allclose(mass + brown.DELTA / 10**model.emission, 1)
+
+
+def test_look_up_gives_the_scores_of_a_whole_head(spark):
+    """A word's count and class are the same whether tasks have it or it is joined."""
+    rows = [(i, prose(i % 7, 60, 90)) for i in range(120)] + [(None, None), (500, "never seen here never seen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = {"words": 20, "endings": 16, "classes": 8, "rounds": 2}
+    got = [{(r["doc_id"]): r for r in brown.score_texts(docs, head=h, **sizes).collect()} for h in (20, 100_000)]
+    for k in got[1]:
+        for c in ("n_tokens", "n_known"):
+            assert got[0][k][c] == got[1][k][c]
+        for c in ("score", "base_score"):
+            assert got[0][k][c] == pytest.approx(got[1][k][c], rel=1e-9)
+
+
 # -- toxicity --------------------------------------------------------------------
 
 def distance(a, b):
