@@ -16,15 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acctscreen.llm.common import Scratch, chunks, fold_case, least_by_hash, text_bytes
+from acctscreen.llm.common import Scratch, chunks, fold_case, text_bytes
 
-#: Records, the least by hash, that the text models are fitted to, and hashed trigrams.
+#: Different texts that the text models are fitted to, and hashed trigrams.
 FIT_RECORDS, BUCKETS = 8_000, 1 << 15
-LEAST_RECORDS = 3  # of a declared language in the sample, or it has no model
+#: Texts that a declared language has in the sample in any case, if there are as many.
+SHARE = 50
+LEAST_RECORDS = 3  # of a declared language in the table, or it has no model
 SMOOTH = 0.5
 #: Trigrams of running text depend on each other: of n, so many count.
 EFFECTIVE, CEILING = 0.2, 200.0
@@ -73,16 +75,39 @@ def _trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int32)), pa.array(counts[k])], names=["lang", "bucket", "n"])
 
 
+def share(sizes: list[int], most: int) -> int:
+    """The largest number of texts for each language that sums to ``most`` or
+    less, where one with fewer texts gives what it has; SHARE at least."""
+    left, n = most, len(sizes)
+    for k, size in enumerate(sorted(sizes)):
+        if size * (n - k) > left:
+            return max(SHARE, left // (n - k))
+        left -= size
+    return max(SHARE, *sizes, 0)
+
+
 def fit_models(records: DataFrame, scratch: Scratch, fit_records: int = FIT_RECORDS) -> tuple[list[str], np.ndarray]:
     """Languages and log-probabilities of trigrams by language, from a sample
-    of records that declare one (columns text, declared)."""
-    usable = records.filter(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text")
-    sample = scratch.store(least_by_hash(usable, ["text", "declared"], fit_records), "sample")
-    langs = sorted(r["declared"] for r in sample.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_RECORDS).collect())
+    of records that declare one (columns text, declared).  Copies count once
+    in it, and each language that LEAST_RECORDS records of the table declare
+    has its share: its least texts by hash.  A few numbers for each declared
+    value come to the driver."""
+    usable = records.filter(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text", F.xxhash64("text", "declared").alias("digest"))
+    texts = scratch.store(usable.groupBy("declared", "digest").agg(F.count(F.lit(1)).alias("n")), "texts")
+    sizes = {r["declared"]: r["texts"] for r in texts.groupBy("declared").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).filter(F.col("n") >= LEAST_RECORDS).collect()}
+    langs, most = sorted(sizes), share(list(sizes.values()), fit_records)
+    # Texts far beyond a language's share are left out by how many it has, so few more are ranked.
+    near = 2 * most + 64
+    bounds = [(x, int((near / n - 0.5) * 2**64) if n > 2 * near else 2**63 - 1) for x, n in sizes.items()]
+    bounds = records.sparkSession.createDataFrame(bounds, "declared string, bound long")
+    first = texts.join(F.broadcast(bounds), "declared").filter(F.col("digest") <= F.col("bound"))
+    rank = F.row_number().over(Window.partitionBy("declared").orderBy("digest"))
+    chosen = scratch.store(first.withColumn("rank", rank).filter(F.col("rank") <= most).select("declared", "digest"), "chosen")
+    sample = scratch.store(usable.join(F.broadcast(chosen), ["declared", "digest"]).dropDuplicates(["declared", "digest"]).select("declared", "text"), "sample")
     total = np.zeros((len(langs), BUCKETS))
     if langs:
         n = max(1, min(64, fit_records // 500))
-        parts = sample.filter(F.col("declared").isin(langs)).repartition(n, F.xxhash64("text")).mapInArrow(_trigram_counts, "lang string, bucket int, n double")
+        parts = sample.repartition(n, F.xxhash64("text")).mapInArrow(_trigram_counts, "lang string, bucket int, n double")
         # A row for each language and bucket, whatever the number of tasks.
         sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
         np.add.at(total, (sums["lang"].map(langs.index).to_numpy(np.int64), sums["bucket"].to_numpy()), sums["n"].to_numpy())
@@ -202,7 +227,7 @@ def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
     terms = [functools.reduce(lambda a, b: a + b, [F.get(prior, F.lit(k)), *[F.coalesce(F.get(F.col(c), F.lit(k)), F.lit(0.0)) for c in parts]]) for k in range(len(langs))]
     out = out.withColumn("total", F.array(*terms))
     best = F.array_max("total")
-    share = 1 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("total")))
+    probability = 1 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("total")))
     names_of = F.array(*[F.lit(x) for x in langs])
     # What the models make of known text, the mean of the records' best means.
     usual = scored.filter("n > 0").agg(F.avg(F.array_max("mean"))).first()[0] or 0.0
@@ -211,9 +236,9 @@ def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
     return out.select(
         *shown,
         F.get(names_of, (F.array_position("total", best) - 1).cast("int")).alias("language"),
-        share.alias("probability"),
+        probability.alias("probability"),
         F.col("n").alias("n_trigrams"),
-        (evident & ~strange & (share >= ACCEPT)).alias("kept"),
+        (evident & ~strange & (probability >= ACCEPT)).alias("kept"),
     )
 
 

@@ -264,6 +264,28 @@ def test_fusion_equals_bayes_by_hand(spark):
         assert out[i]["language"] == k and out[i]["probability"] >= 1 / (1 + ratio) - 1e-9
 
 
+def test_copies_and_rare_languages_keep_their_models(spark):
+    """Neither thousands of copies nor other languages' records push a language out of the sample."""
+    rng = random.Random(3)
+    words = {"x": ["alpha", "gamma", "delta"], "y": ["zwurg", "krotz", "schnu"], "z": ["oileain", "uisce", "bhfuil"]}
+    text = lambda k: " ".join(rng.choice(words[k]) for _ in range(30))
+    same = {k: text("x") for k in range(8)}
+    rows = [same[i % 8] for i in range(4000)]
+    told = [(t, "x") for t in rows] + [(text("x"), "x") for _ in range(1500)] + [(text("y"), "y") for _ in range(300)] + [(text("z"), "z") for _ in range(4)]
+    every = records(spark, [(i, t, k, None, None, None, 1, "p") for i, (t, k) in enumerate(told)])
+    out = lang.identify(every, fit_records=60).collect()
+    assert {r["language"] for r in out if r["declared"] == "z"} == {"z"}
+    assert all(r["kept"] and r["language"] == r["declared"] for r in out)
+    from acctscreen.llm.common import Scratch
+
+    scratch = Scratch(spark, "t")
+    assert lang.fit_models(every, scratch, 60)[0] == ["x", "y", "z"]
+    sample = Counter((r["declared"], r["text"]) for r in spark.read.parquet(f"{scratch.root}/sample").collect())
+    assert set(sample.values()) == {1}
+    assert Counter(k for k, _ in sample) == {"x": 50, "y": 50, "z": 4}
+    assert lang.share([4, 300, 9000], 1000) == 696 and lang.share([5, 6], 1000) == 50 and lang.share([], 10) == 50
+
+
 def test_corpus_and_filter(spark, documents, edge, no_docs):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     out = lang.identify_corpus(documents, pages).collect()
