@@ -98,22 +98,32 @@ def near_terms(word: str, trie: Trie, edits: int = 1, prefix: bool = False) -> d
 
 @dataclass
 class Lexicon:
-    """Weights of words and stems as they are and (``near``) misspelled, and
-    the coefficients that turn a document's hits into log odds."""
+    """Weights of words and stems as they are and (``near``) misspelled, the
+    coefficients that turn a document's hits into log odds, and weights of
+    whole words under a stem that count misspelled only; such a hit's term is
+    the word after "="."""
 
     words: dict[str, float]
     stems: dict[str, float]
     near: dict[str, float] = field(default_factory=dict)
     odds: tuple[float, ...] = (-2.0, 0.0, 0.0, 0.0)
+    under: dict[str, float] = field(default_factory=dict)
 
     def __post_init__(self):
         self.near_words = [t for t in self.words if len(t) >= FUZZY and self.near.get(t, 0) > 0]
+        self.under_words = [t for t in self.under if len(t) >= FUZZY and self.under[t] > 0]
         self.near_stems = [t for t in self.stems if len(t) >= FUZZY and self.near.get(t, 0) > 0]
-        self.trie, self.stem_trie = Trie(self.near_words), Trie(self.near_stems)
-        # An edit leaves the first two or the last two letters of a word as they are.
-        self.heads = {t[:2] for t in self.near_words} | {t[:2] for t in self.near_stems}
-        self.tails = {t[-2:] for t in self.near_words}
-        self.lengths = {len(t) + d for t in self.near_words for d in (-1, 0, 1)}
+        whole = self.near_words + self.under_words
+        self.trie, self.stem_trie = Trie(whole), Trie(self.near_stems)
+        self.named = [(self.near[t], t) for t in self.near_words] + [(self.under[t], "=" + t) for t in self.under_words]
+        # An edit leaves the first two or the last two letters of a word as they are,
+        self.heads = {t[:2] for t in whole}
+        self.tails = {t[-2:] for t in whole}
+        self.lengths = {len(t) + d for t in whole for d in (-1, 0, 1)}
+        # and the first two of a stem or the three after them, one place off at most.
+        self.stem_heads = {t[:2] for t in self.near_stems}
+        self.cores = {t[2:5] for t in self.near_stems}
+        self.stem_of = {"=" + t: t[:n] for t in self.under_words for n in reversed(STEMS) if t[:n] in self.stems}
         self.memo: dict[str, tuple[str, float, bool]] = {}
 
     def match(self, word: str) -> tuple[str, float, bool]:
@@ -132,13 +142,13 @@ class Lexicon:
         for n in STEMS:
             if word[:n] in self.stems and len(word) >= n:
                 return word[:n], self.stems[word[:n]], False
-        found: list[str] = []
+        found: list[tuple[float, str]] = []
         if len(word) in self.lengths and (word[:2] in self.heads or word[-2:] in self.tails):
-            found += [self.near_words[k] for k in near_terms(word, self.trie)]
-        if len(word) >= FUZZY - 1 and word[:2] in self.heads and self.near_stems:
-            found += [self.near_stems[k] for k in near_terms(word, self.stem_trie, prefix=True)]
-        best = max(found, key=lambda t: (self.near[t], t), default="")
-        return best, self.near.get(best, 0.0), bool(best)
+            found += [self.named[k] for k in near_terms(word, self.trie)]
+        if len(word) >= FUZZY - 1 and (word[:2] in self.stem_heads or any(word[k : k + 3] in self.cores for k in (1, 2, 3))):
+            found += [(self.near[t], t) for t in (self.near_stems[k] for k in near_terms(word, self.stem_trie, prefix=True))]
+        weight, best = max(found, default=(0.0, ""))
+        return best, weight, bool(best)
 
 
 def context(text: str, start: int, end: int, words: list[str], k: int) -> float:
@@ -165,7 +175,7 @@ def evidence(text: str, lexicon: Lexicon) -> tuple[float, float, float]:
             if w in hits:
                 term, weight, _ = lexicon.match(w)
                 total += weight * context(low, found[k].start(), found[k].end(), words, k)
-                terms.add(term)
+                terms.add(lexicon.stem_of.get(term, term))
     return math.log1p(total), math.log(0.005 + total / max(10, len(words))), float(min(5, len(terms)))
 
 
@@ -278,6 +288,14 @@ def choose_terms(stats: dict[str, tuple[int, float]], most: int = TERMS) -> list
     return kept
 
 
+def words_under(stats: dict[str, tuple[int, float]], kept: list[str], most: int = TERMS) -> list[str]:
+    """Words that say enough to be terms but begin with a kept stem.  A short
+    stem is not looked for misspelled, and a longer one more loosely than the word."""
+    stems = {f[:-1] for f in kept if f.endswith("*")}
+    words = [f for f in choose_terms({f: x for f, x in stats.items() if not f.endswith("*")}, len(stats)) if len(f) >= FUZZY and any(f[:n] in stems for n in STEMS)]
+    return words[:most]
+
+
 def fit_lexicon(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fit_docs: int = FIT_DOCS, scratch: Scratch | None = None) -> Lexicon:
     """The lexicon of labelled documents whose fold is not held out.  The
     sample is of ``fit_docs`` ids at most; what comes to the driver are
@@ -309,15 +327,18 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fit_docs
     words = {f: w for f, w in weight.items() if not f.endswith("*")}
     stems = {f[:-1]: w for f, w in weight.items() if f.endswith("*")}
     # How misspelled terms fare in the sample; one that clean documents hold as often is dropped.
-    trial = Lexicon(words, stems, dict.fromkeys([*words, *stems], 1.0))
-    near = {t: [0, 0] for t in [*words, *stems]}
+    under = words_under({f: x for f, x in rated.items() if x[1] >= RATIO}, kept)
+    trial = Lexicon(words, stems, dict.fromkeys([*words, *stems], 1.0), under=dict.fromkeys(under, 2.0))
+    near = {t: [0, 0] for t in [*words, *stems, *("=" + t for t in under)]}
     counted = sample.mapInArrow(_near_counter(trial), "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n"))
     for r in counted.collect():
         near[r["term"]][r["toxic"]] = r["n"]
     near = {t: min(MOST_WEIGHT, math.log(ratio(n1, n0))) for t, (n0, n1) in near.items() if ratio(n1, n0) >= RATIO or n0 + n1 == 0}
-    lexicon = Lexicon(words, stems, {t: w for t, w in near.items() if w > 0})
+    near = {t: w for t, w in near.items() if w > 0}
+    under = {t: near.pop("=" + t) for t in under if "=" + t in near}
+    lexicon = Lexicon(words, stems, near, under=under)
     data = sample.mapInArrow(_evidence_of(lexicon), "a double, b double, c double, toxic int").toPandas().to_numpy(np.float64)
-    return Lexicon(words, stems, lexicon.near, tuple(logistic(data[:, :3], data[:, 3])))
+    return Lexicon(words, stems, near, tuple(logistic(data[:, :3], data[:, 3])), under)
 
 
 def _scorer(lexicon: Lexicon):

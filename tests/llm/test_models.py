@@ -179,6 +179,31 @@ def test_terms_words_stems_and_context():
     assert tox.score_text("you moron", lex) > tox.score_text(plain, lex) > tox.score_text(quoted, lex) > tox.score_text("", lex)
 
 
+def test_edits_at_the_head_of_a_stem():
+    lex = tox.Lexicon({}, {"idiot": 4.0, "schurk": 4.0}, {"idiot": 2.0, "schurk": 2.0})
+    for word in ("xdiot", "diot", "diots", "ixiotic", "iidiot", "xidiots", "idixt", "idiqotic", "idio"):
+        assert lex.match(word) == ("idiot", 2.0, True), word
+    assert lex.match("chxrken")[0] == "" and lex.match("hidiot")[0] == "idiot"
+    # Every beginning one edit away, as the automaton says.
+    rng = random.Random(5)
+    stems = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(5, 7))) for _ in range(6)})
+    lex = tox.Lexicon({}, dict.fromkeys(stems, 4.0), dict.fromkeys(stems, 2.0))
+    for word in ["".join(rng.choice("abc") for _ in range(rng.randint(4, 9))) for _ in range(600)]:
+        want = any(distance(word[:n], t) <= 1 for t in stems for n in range(len(word) + 1))
+        assert bool(lex.match(word)[0]) == want, word
+
+
+def test_a_word_under_a_stem_is_looked_for_misspelled():
+    stats = {"idiot": (400, 50.0), "idi*": (410, 50.0), "idio*": (401, 50.0), "wicht": (300, 50.0)}
+    kept = tox.choose_terms(stats)
+    assert kept == ["idi*", "wicht"] and tox.words_under(stats, kept) == ["idiot"]
+    lex = tox.Lexicon({"wicht": 4.0}, {"idi": 4.0}, {"wicht": 3.0}, under={"idiot": 2.0})
+    assert lex.match("idiot") == ("idi", 4.0, False) and lex.match("wixht") == ("wicht", 3.0, True)
+    for word in ("xdiot", "diot", "ixiot", "jidiot"):
+        assert lex.match(word) == ("=idiot", 2.0, True), word
+    assert tox.evidence("an idiot and a diot", lex)[2] == 1.0
+
+
 def test_learns_and_holds_out(spark):
     docs, labels = [], []
     for i in range(600):
