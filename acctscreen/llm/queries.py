@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acctscreen.llm import op1_secrets, op2_mixing, op3_brown, op4_toxicity, op5_lshforest, op6_sharding, op7_warc, op8_decontaminate, op9_langid, op10_topk
+from acctscreen.llm import op1_secrets, op2_mixing, op3_brown, op4_toxicity, op5_lshforest, op6_sharding, op7_warc, op8_decontaminate, op9_langid, op10_topk, op11_collocations, op12_trie, op13_licenses
 from acctscreen.llm.common import table
 from acctscreen.llm.oracle import ORACLE
 
@@ -54,6 +54,18 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -67,6 +79,9 @@ QUERIES: dict[str, Query] = {
         op8_latent_decontamination,
         op9_language_id,
         op10_exact_topk,
+        op11_phrase_collocations,
+        op12_conversation_trie,
+        op13_license_scan,
     )
 }
 ORACLE_SQL = {k: v for k, v in ORACLE.items() if k in QUERIES}
