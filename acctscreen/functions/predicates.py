@@ -66,3 +66,9 @@ def strict_cast(c: str | Column, data_type: str, name: str | None = None) -> Col
         c.isNotNull() & v.isNull(),
         F.raise_error(F.concat(F.lit(f"cannot cast {label} to {data_type}: "), c.cast("string"))),
     ).otherwise(v)
+
+
+def cast_problem(c: str | Column, data_type: str, name: str) -> Column:
+    """``name=value`` for a value that does not convert, else null."""
+    c = _c(c)
+    return F.when(c.isNotNull() & c.try_cast(data_type).isNull(), F.concat(F.lit(f"{name}="), c.cast("string")))

@@ -95,15 +95,18 @@ def access_counts(mobile_log: DataFrame, web_log: DataFrame, span: DataFrame, cf
     no lookup of that category that day.
 
     Distinct logins first, then one pivoting group-by that counts the
-    three categories at once (no intermediate count table, no Expand)."""
+    three categories at once (no intermediate count table, no Expand).  It
+    groups on a struct: counts that are joined without being stored reach the
+    join by a shuffle of their own, and a busy customer-day can be split."""
     logins = _distinct_logins(access_events(mobile_log, web_log, cfg, span, window))
     counted = F.col("login_log_key").isNotNull().cast("long")
-    return logins.groupBy("company_uid", "access_date").agg(
+    per_day = logins.groupBy(F.struct("company_uid", "access_date").alias("__k")).agg(
         *[
             F.sum(F.when(F.col("category") == name, counted)).alias(name)
             for name in ACCESS_CATEGORIES
         ]
     )
+    return per_day.select("__k.*", *ACCESS_CATEGORIES)
 
 
 def attach_access_counts(features: DataFrame, counts: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.datetime import epoch_to_datetime
-from acctscreen.functions.predicates import differs_with_null, isin_keep_null, strict_cast
+from acctscreen.functions.predicates import cast_problem, differs_with_null, isin_keep_null, strict_cast
 from acctscreen.operators.joins import distinct_join_keys
+from acctscreen.sources.quarantine import Checked, set_aside
 
 # Group of one booking: account, date-time and journal number.  After
 # ``normalize_transactions`` the date-time is the single column ``tx_time``.
@@ -61,6 +62,26 @@ def normalize_transactions(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
     return out
 
 
+# The columns that ``normalize_transactions`` converts, and their types.
+CONVERTED = {"drcr": "int", "pb_bal": "double", "tx_amt": "double", "tx_date": "date", "tx_time": "long"}
+
+
+def normalize_checked(txn: DataFrame, cfg: ScreenConfig, path: str) -> Checked:
+    """``normalize_transactions`` that sets rows with text that does not
+    convert aside instead of stopping: one pass writes the typed rows and,
+    apart from them, the rejected ones as they came, with every column at
+    fault (``column=text``) in ``reasons``.  Good and rejected rows together
+    are the rows of the configured ``tx_mode``."""
+    if cfg.tx_mode is not None:
+        txn = txn.filter(F.col("tx_mode") == cfg.tx_mode)
+    reasons = F.array_compact(F.array(*[cast_problem(c, t, c) for c, t in CONVERTED.items()]))
+    typed = {c: F.col(c).try_cast(t) for c, t in CONVERTED.items()}
+    typed["acct_nbr_ori"] = normalize_account("acct_nbr_ori", cfg.account_width)
+    typed["tx_time"] = epoch_to_datetime(typed["tx_date"], typed["tx_time"])
+    good = {c: typed.get(c, F.col(c)) for c in txn.columns}
+    return set_aside(txn, reasons, good, {c: F.col(c) for c in txn.columns}, path)
+
+
 def filter_channel_memo(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
     """Allowed channel, allowed memo, and a remark not on the deny list
     (a null remark is kept; a null channel or memo is not)."""

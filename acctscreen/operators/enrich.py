@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctscreen.operators.joins import Lookup, lookup
 from acctscreen.sources.readers import snapshot
 
 
-def one_row_per_key(df: DataFrame, keys: tuple[str, ...], columns: tuple[str, ...]) -> DataFrame:
-    """``keys`` and ``columns`` with one row per key: the least row, comparing
-    ``columns`` in the given order (a null before any value)."""
-    rows = df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)])
-    rows = rows.agg(F.min(F.struct(*[F.col(c).alias(c) for c in columns])).alias("__row"))
-    return rows.select(*[f"__key{i}" for i in range(len(keys))], "__row")
-
-
 def enrich_accounts(
     txn: DataFrame,
     account_snapshot: DataFrame,
@@ -30,19 +23,13 @@ def enrich_accounts(
     when given, joined on ``registered_keys`` pairs of (txn column, table
     column)) and a constant ``label``.
 
-    Left joins against one row per key (``one_row_per_key``: of an account
-    listed twice the earliest open date), so there are as many rows as ``txn`` has."""
-    opened = one_row_per_key(snapshot(account_snapshot, snap_date, ["acct_no_14", "acct_open_dt"]), ("acct_no_14",), ("acct_open_dt",))
-    out = txn.join(opened, F.col("acct_nbr_ori") == F.col("__key0"), "left")
-    out = out.withColumn("acct_open_dt", F.col("__row.acct_open_dt")).drop("__key0", "__row")
+    Lookups of one row per key (of an account listed twice the earliest open
+    date), so there are as many rows as ``txn`` has; an account with a large
+    share of them can be split over tasks."""
+    opened = snapshot(account_snapshot, snap_date, ["acct_no_14", "acct_open_dt"])
+    tables = [Lookup(opened, (("acct_nbr_ori", "acct_no_14"),), ("acct_open_dt",))]
     if registered is not None:
         if not registered_keys or not registered_columns:
             raise ValueError("registered transfers need registered_keys and registered_columns")
-        right = one_row_per_key(registered, tuple(r for _, r in registered_keys), registered_columns)
-        cond = F.lit(True)
-        for i, (left_col, _) in enumerate(registered_keys):
-            cond = cond & (F.col(left_col) == F.col(f"__key{i}"))
-        out = out.join(right, cond, "left")
-        out = out.withColumns({f"reg_{c}": F.col("__row").getField(c) for c in registered_columns})
-        out = out.drop("__row", *[f"__key{i}" for i in range(len(registered_keys))])
-    return out.withColumn("label", F.lit(label))
+        tables.append(Lookup(registered, registered_keys, registered_columns, prefix="reg_"))
+    return lookup(txn, *tables).withColumn("label", F.lit(label))

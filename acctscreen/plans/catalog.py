@@ -22,8 +22,9 @@ from acctscreen.plans.materialize import run_root, table_name, write_and_read
 from acctscreen.sources import fixtures
 from acctscreen.sources.fixtures import SNAP_DATE, TEST_CONFIG as CFG
 from acctscreen.sources.inputs import ScreenInputs
-from acctscreen.sources.readers import read_csv, read_table, sql_file
-from acctscreen.sources.writers import export_csv, overwrite_table, preview, refresh, write_day
+from acctscreen.sources.days import read_days, write_day
+from acctscreen.sources.readers import read_csv, read_csv_checked, read_table, sql_file
+from acctscreen.sources.writers import clustered, export_csv, overwrite_table, preview, refresh, write_files
 
 WINDOW = pipeline.window_bounds(SNAP_DATE)
 MONTH_SQL = Path(__file__).parent.parent / "sql" / "month_of_transactions.sql"
@@ -243,6 +244,47 @@ def q_csv_roundtrip(t: ScreenInputs) -> DataFrame:
     return read_csv(spark, path, typed.schema)
 
 
+def q_csv_awkward_text(t: ScreenInputs) -> DataFrame:
+    """Blanks, empty and null text, line ends, quotes and backslashes through CSV."""
+    spark, path = t.savings_txn.sparkSession, run_root(t.savings_txn.sparkSession, "csv")
+    rows = fixtures.with_awkward_text(t.savings_txn)
+    export_csv(rows, path)
+    return read_csv(spark, path, rows.schema)
+
+
+def q_csv_bad_records(t: ScreenInputs) -> DataFrame:
+    """Records of a CSV file that fit the schema; the others are set aside."""
+    spark, root = t.savings_txn.sparkSession, run_root(t.savings_txn.sparkSession, "csv")
+    export_csv(fixtures.with_bad_text(t.savings_txn), f"{root}/in")
+    typed = t.savings_txn.withColumns({c: F.col(c).cast(d) for c, d in cleansing.CONVERTED.items()})
+    return read_csv_checked(spark, f"{root}/in", typed.schema, f"{root}/checked").good
+
+
+def q_normalized_quarantine(t: ScreenInputs) -> DataFrame:
+    """Typed rows, and rows set aside with the columns that do not convert."""
+    rows = fixtures.with_bad_text(t.savings_txn)
+    checked = cleansing.normalize_checked(rows, CFG, run_root(rows.sparkSession, "checked"))
+    none = F.lit(None).cast("string")
+    good = checked.good.select("acct_nbr_ori", "cust_id", "jrnl_no", *cleansing.CONVERTED, none.alias("reasons"))
+    nulls = [F.lit(None).cast(good.schema[c].dataType).alias(c) for c in cleansing.CONVERTED]
+    bad = checked.rejected.select("acct_nbr_ori", "cust_id", "jrnl_no", *nulls, F.array_join("reasons", ";").alias("reasons"))
+    return good.unionByName(bad)
+
+
+def q_range_written_candidates(t: ScreenInputs) -> DataFrame:
+    """The candidates, written by ranges of account and time and read back."""
+    return write_and_read(clustered(_candidates(t), candidates.CANDIDATE_ORDER), run_root(t.savings_txn.sparkSession, "clustered"))
+
+
+def q_chosen_files(t: ScreenInputs) -> DataFrame:
+    """The customers in three files, with the number of files that hold them."""
+    spark, path = t.customers.sparkSession, run_root(t.customers.sparkSession, "files")
+    write_files(t.customers, path, files=3)
+    read = spark.read.parquet(path)
+    n = read.agg(F.count_distinct(F.col("_metadata.file_path")).alias("n_files")).scalar()
+    return read.withColumn("n_files", n)
+
+
 def q_sql_file_table(t: ScreenInputs) -> DataFrame:
     """A table made from an SQL file with parameters, read by its name."""
     spark = t.savings_txn.sparkSession
@@ -259,7 +301,7 @@ def q_partitioned_roundtrip(t: ScreenInputs) -> DataFrame:
     write_day(t.savings_txn.filter(mode == "1"), path, "2024-01-30")
     write_day(t.savings_txn, path, SNAP_DATE)
     write_day(t.savings_txn.filter(mode == "2"), path, SNAP_DATE)
-    return spark.read.parquet(path)
+    return read_days(spark, path)
 
 
 def q_table_refresh(t: ScreenInputs) -> DataFrame:

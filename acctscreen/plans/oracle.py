@@ -8,6 +8,8 @@ CTEs.  Column names equal the DataFrame outputs.
 
 from __future__ import annotations
 
+import re
+
 from acctscreen.config import (
     DEFAULT_CHANNELS,
     DEFAULT_EB_CHECK_MENUS,
@@ -20,6 +22,8 @@ from acctscreen.config import (
     DEFAULT_TXN_COLUMNS,
 )
 from acctscreen.sources.fixtures import (
+    AWKWARD_REMARKS,
+    BAD_TEXT,
     PRODUCTION_VALUES,
     SNAP_DATE,
     TEST_CHANNELS,
@@ -207,8 +211,6 @@ def _sql(body: str, *steps: str) -> str:
 
 
 def _uses(text: str, name: str) -> bool:
-    import re
-
     return re.search(rf"\b(from|join)\s+{name}\b", text) is not None
 
 
@@ -233,6 +235,36 @@ select * from (select * replace ({", ".join(map(_production, PRODUCTION_VALUES))
 where channel_desc in ({_lst(DEFAULT_CHANNELS)}) and memo in ({_lst(DEFAULT_MEMOS)})
   and (remk is null or remk not in ({_lst(DEFAULT_REMOVED_REMARKS)}))"""
 
+def _text(v: str | None) -> str:
+    """A text as SQL: line ends by chr(), quotes doubled."""
+    if v is None:
+        return "null"
+    parts = re.split("([\r\n])", v.replace("'", "''"))
+    return " || ".join(f"chr({ord(x)})" if x in ("\r", "\n") else f"'{x}'" for x in parts if x) or "''"
+
+
+AWKWARD = f"""
+select * replace (case jrnl_no % 9 {" ".join(f"when {i} then {_text(v)}" for i, v in enumerate(AWKWARD_REMARKS))} else remk end as remk)
+from savings_txn"""
+
+STEPS["bad_text"] = f"""
+select *, {", ".join(f"case when jrnl_no % {m} = 0 then '{v}' end as bad_{c}" for c, m, v in BAD_TEXT)} from savings_txn"""
+
+# Rows that are good are those of the untouched view, so nothing is converted here.
+CSV_GOOD = f"""
+select * exclude ({", ".join(f"bad_{c}" for c, _, _ in BAD_TEXT)})
+  replace (cast(drcr as int) as drcr, cast(pb_bal as double) as pb_bal, cast(tx_amt as double) as tx_amt, cast(tx_time as bigint) as tx_time)
+from bad_text where {" and ".join(f"bad_{c} is null" for c, _, _ in BAD_TEXT)}"""
+
+_BAD = f"coalesce({', '.join(f'bad_{c}' for c, _, _ in BAD_TEXT)}) is not null"
+QUARANTINE = f"""
+select case when {_BAD} then acct_nbr_ori else lpad(trim(acct_nbr_ori), cast(greatest(14, length(trim(acct_nbr_ori))) as int), '0') end acct_nbr_ori, cust_id, jrnl_no,
+  case when not {_BAD} then cast(drcr as int) end drcr, case when not {_BAD} then cast(pb_bal as double) end pb_bal,
+  case when not {_BAD} then cast(tx_amt as double) end tx_amt, case when not {_BAD} then cast(tx_date as date) end tx_date,
+  case when not {_BAD} then cast(tx_date as timestamp) + to_seconds(cast(tx_time % 86400 as bigint)) end tx_time,
+  case when {_BAD} then concat_ws(';', {", ".join(f"'{c}=' || bad_{c}" for c, _, _ in BAD_TEXT)}) end reasons
+from bad_text where tx_mode = '1'"""
+
 ORDER_COLS = ("acct_nbr_ori", "tx_date", "tx_time") + tuple(
     c for c in DEFAULT_TXN_COLUMNS if c not in ("acct_nbr_ori", "tx_date", "tx_time")
 )
@@ -285,6 +317,11 @@ select e.*, r.since reg_since, r.kind reg_kind from enriched e left join one_reg
                                "enriched", "one_registered"),
     "clean_production_lists": _sql(PRODUCTION),
     "csv_roundtrip": _sql(_normalized("savings_txn", ALL_TXN_COLUMNS)),
+    "csv_awkward_text": _sql(AWKWARD),
+    "csv_bad_records": _sql(CSV_GOOD, "bad_text"),
+    "normalized_quarantine": _sql(QUARANTINE, "bad_text"),
+    "range_written_candidates": _sql("select * from candidates", "candidates"),
+    "chosen_files": _sql("select *, 3 n_files from customers"),
     "sql_file_table": _sql(f"""
 select *, date '2023-12-31' first_day, date '{SNAP_DATE}' last_day from savings_txn
 where tx_date >= date '2023-12-31' and tx_date <= date '{SNAP_DATE}'"""),

@@ -36,9 +36,10 @@ from acctscreen.operators.exclusions import (
     payroll_accounts,
 )
 from acctscreen.plans.materialize import run_root, write_and_read
+from acctscreen.sources.days import read_day, write_day
 from acctscreen.sources.inputs import ScreenInputs
+from acctscreen.sources.writers import clustered
 from acctscreen.sources.writers import export_csv as export_csv_text
-from acctscreen.sources.writers import read_day, write_day
 
 
 @dataclass(frozen=True)
@@ -197,7 +198,8 @@ def run_pipeline(
 ) -> PipelineOutputs:
     """Run the stages of ``snap_date``, writing every hand-off table under
     ``root`` (default: a fresh folder in the shared checkpoint folder)
-    partitioned by ``snap_date``.
+    partitioned by ``snap_date`` (``sources.days``: a day is published when it
+    is whole, so a run that stops leaves the tables of the run before).
 
     * Stage 1: exclusion lists and candidate transactions.
     * Stage 2: cleaning and enrichment, one written ``features`` table (the
@@ -228,7 +230,9 @@ def run_pipeline(
     ex = cands = features = span = counts = output = None
     if 1 in stages:
         ex = exclusion_lists(inp, cfg, w)
-        cands = w("candidates", candidate_transactions(inp.savings_txn, ex.accounts, ex.customers, snap_date, cfg))
+        # In the order of the original table, by ranges: an account's rows are in few files.
+        cands = candidate_transactions(inp.savings_txn, ex.accounts, ex.customers, snap_date, cfg)
+        cands = w("candidates", clustered(cands, CANDIDATE_ORDER))
     elif 2 in stages:
         cands = r("candidates")
     if 2 in stages:

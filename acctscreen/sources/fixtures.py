@@ -153,6 +153,27 @@ def with_production_values(txn: DataFrame) -> DataFrame:
     })
 
 
+# Remarks that a text file can lose: by jrnl_no modulo 9 (others stay as they are).
+AWKWARD_REMARKS = ("  both ends ", "", "two\nlines", 'a "quoted" word', "back\\slash\\", "comma, and\r\nmore", None, "\\N")
+
+
+def with_awkward_text(txn: DataFrame) -> DataFrame:
+    """``txn`` with blanks, empty and null text, line ends, quotes and backslashes in ``remk``."""
+    out, k = F.col("remk"), F.col("jrnl_no") % 9
+    for i, v in enumerate(AWKWARD_REMARKS):
+        out = F.when(k == i, F.lit(v).cast("string")).otherwise(out)
+    return txn.withColumn("remk", out)
+
+
+# Text that does not convert: (column, jrnl_no modulo, text).
+BAD_TEXT = (("drcr", 41, "D"), ("pb_bal", 43, "n/a"), ("tx_amt", 47, "12,5x"), ("tx_date", 53, "2024-02-30"), ("tx_time", 59, ""))
+
+
+def with_bad_text(txn: DataFrame) -> DataFrame:
+    """``txn`` with the converted columns as text, some of which does not convert."""
+    return txn.withColumns({c: F.when(F.col("jrnl_no") % m == 0, F.lit(v)).otherwise(F.col(c).cast("string")) for c, m, v in BAD_TEXT})
+
+
 # Portable SQL of the same views (runs in DuckDB and in Spark).
 VIEW_SQL = {
     "savings_txn": """

@@ -7,7 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from acctscreen.sources.quarantine import Checked, set_aside
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -54,10 +56,45 @@ def read_jdbc(
     return reader.load()
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header and a given schema.  Never inferred: inference
-    turns an account number such as ``00000000000123`` into the integer 123."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+#: What an unquoted empty field is taken for while a file is read; a quoted one
+#: is an empty text.  No text may be equal to it (``export_csv`` checks).
+CSV_NULL = "\ue000null\ue000"
+CSV_RECORD = "_record"
+
+
+def _csv(spark: SparkSession, path: str, schema: StructType | str, mode: str, multi_line: bool) -> DataFrame:
+    reader = spark.read.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", CSV_RECORD)
+    reader = reader.option("header", True).option("enforceSchema", False).option("columnPruning", False)
+    # Quotes are doubled inside quotes (RFC 4180, as pandas writes them); a backslash is a character.
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
+    return reader.option("nullValue", CSV_NULL).option("emptyValue", "").csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header and a given schema, value by value as it was written.
+    Never inferred: inference turns an account number such as
+    ``00000000000123`` into the integer 123.
+
+    An empty field is null and a quoted empty one an empty text; blanks, line
+    ends and quotes inside a field stay.  A header that differs from the
+    schema in names or order, a record of more or fewer fields, and text that
+    does not convert stop the job (a value is converted when it is read: not
+    by a mere count).  ``read_csv_checked`` sets bad records aside instead.
+
+    A file whose records may span lines is read by one task; with
+    ``multi_line=False`` files are split, for text known to have no line ends."""
+    return _csv(spark, path, schema, "FAILFAST", multi_line)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType | str, to: str, multi_line: bool = True) -> Checked:
+    """``read_csv`` that keeps going: records that do not fit the schema are
+    stored under ``to`` with their text, apart from the good ones.  The files
+    are read once.  A wrong header stops the job all the same."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = StructType([*schema.fields, StructField(CSV_RECORD, StringType())])
+    rows = _csv(spark, path, wide, "PERMISSIVE", multi_line)
+    bad = F.when(F.col(CSV_RECORD).isNotNull(), F.array(F.lit("record does not fit the schema")))
+    return set_aside(rows, bad, {c: F.col(c) for c in schema.names}, {"record": F.col(CSV_RECORD)}, to)
 
 
 def sql_file(spark: SparkSession, path: str | Path, **args) -> DataFrame:

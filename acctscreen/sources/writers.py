@@ -1,13 +1,16 @@
-"""Sinks: table overwrite, dated Parquet partitions, a given number of files,
-CSV export in the original text formats, metadata refresh and preview."""
+"""Sinks: table overwrite, range-clustered rows, a given number of files, CSV
+export in the original text formats, metadata refresh and preview."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from acctscreen.functions.datetime import DATE_FORMAT, DATETIME_FORMAT
+from acctscreen.sources.readers import CSV_NULL
 
 
 def overwrite_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
@@ -18,23 +21,14 @@ def overwrite_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
     w.saveAsTable(name)
 
 
-def day_folder(path: str, day: str, partition_col: str = "snap_date") -> str:
-    return f"{path.rstrip('/')}/{partition_col}={day}"
-
-
-def write_day(df: DataFrame, path: str, day: str, partition_col: str = "snap_date") -> DataFrame:
-    """Replace one day of a dated Parquet table and return that day's rows,
-    read back.  The day's folder is overwritten as a whole, so a rerun whose
-    result is empty leaves an empty day and not the rows of the run before;
-    other days are not touched."""
-    folder = day_folder(path, day, partition_col)
-    df.write.mode("overwrite").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def read_day(spark: SparkSession, path: str, day: str, partition_col: str = "snap_date") -> DataFrame:
-    """One day of a dated table; its files hold the schema, also of an empty day."""
-    return spark.read.parquet(day_folder(path, day, partition_col))
+def clustered(df: DataFrame, keys: Sequence[str], files: int | None = None) -> DataFrame:
+    """``df`` dealt out by ranges of ``keys`` and sorted within them, so that
+    files and row groups of what is written hold narrow ranges and a read of
+    one key skips the others.  The other columns break ties: a key with a
+    large share of the rows is spread over several files."""
+    order = [F.col(c).asc_nulls_first() for c in (*keys, *(c for c in df.columns if c not in keys))]
+    ranged = df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def write_files(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -57,8 +51,20 @@ def as_text_columns(df: DataFrame) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header and no index column, written in parallel."""
-    as_text_columns(df).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header and no index column, written in parallel; ``read_csv``
+    gives every value back.
+
+    Null is an empty field, an empty text a quoted one; blanks stay, quotes
+    are doubled, and a field with line ends is quoted.  (A lone column's null
+    is written out, as readers skip an empty line.)"""
+    out = as_text_columns(df)
+    for f in out.schema.fields:
+        if isinstance(f.dataType, StringType):
+            taken = F.raise_error(F.lit(f"{f.name} holds the text that stands for null"))
+            out = out.withColumn(f.name, F.when(F.col(f.name) == CSV_NULL, taken).otherwise(F.col(f.name)))
+    w = out.write.mode("overwrite").option("header", True).option("escape", '"')
+    w = w.option("nullValue", "" if len(out.columns) > 1 else CSV_NULL).option("emptyValue", '""')
+    w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def refresh(spark: SparkSession, name: str) -> None:

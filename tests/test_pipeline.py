@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acctscreen.plans import pipeline
 from acctscreen.sources import fixtures
+from acctscreen.sources.days import read_days
 from tests.conftest import SF001
 
 
@@ -103,7 +104,7 @@ def test_command_line_run(spark, tmp_path):
     root = str(tmp_path / "out")
     main(["--snap-date", fixtures.SNAP_DATE, "--root", root, "--tables", str(tmp_path / "tables.json"),
           "--config", str(tmp_path / "cfg.json")])
-    assert spark.read.parquet(root + "/output").count() == 380
+    assert read_days(spark, root + "/output").count() == 380
     assert args_of(["--snap-date", "d", "--root", "r", "--tables", "t", "--shuffle-gb", "2", "--cores", "16"]) == (2.0, 16)
 
 

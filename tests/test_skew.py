@@ -116,3 +116,42 @@ def test_span_splits_a_customer_with_a_third_of_the_accounts(spark, skew_conf):
     hot = out.filter("cust_id = 'HOTCUST'").select("max_date", "min_date").distinct().collect()
     assert out.filter("cust_id = 'HOTCUST'").count() == 1000
     assert [tuple(r) for r in hot] == [(dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 1))]
+
+
+def _largest_task(df) -> int:
+    from pyspark.sql import functions as F
+
+    n = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    return max(r["n"] for r in n.collect())
+
+
+def test_enrichment_splits_a_hot_account(spark, skew_conf):
+    from acctscreen.operators.enrich import enrich_accounts
+
+    txn = skewed_txn(spark).drop("drcr")
+    accounts = ["HOT"] + [f"A{i:03d}" for i in range(200)]
+    snap = spark.createDataFrame([(a, dt.date(2020, 1, 1 + i % 9), dt.date(2024, 1, 30)) for i, a in enumerate(accounts) for _ in range(2)],
+                                 "acct_no_14 string, acct_open_dt date, snap_date date")
+    out = enrich_accounts(txn, snap, "2024-01-31")
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == 3000 and out.filter("acct_nbr_ori = 'HOT' and acct_open_dt = date '2020-01-01'").count() == 1000
+
+    reg = spark.createDataFrame([(a, f"T{k}", k) for a in accounts for k in range(3)], "acct string, kind string, n int")
+    both = enrich_accounts(txn, snap, "2024-01-31", registered=reg, registered_keys=(("acct_nbr_ori", "acct"),), registered_columns=("kind", "n"))
+    assert "skew=true" in _final_plan(both)
+    assert both.count() == 3000 and both.filter("reg_kind = 'T0' and reg_n = 0 and acct_open_dt is not null").count() == 3000
+    assert _largest_task(both) < 1000
+
+
+def test_attach_of_counts_that_are_not_stored_splits_a_hot_day(spark, skew_conf):
+    from acctscreen.config import ScreenConfig
+    from acctscreen.operators.access import access_counts
+    from acctscreen.operators.activity import customer_activity_span
+
+    txn = skewed_txn(spark)
+    log = spark.createDataFrame([(c, k, dt.datetime(2024, 1, 1 + k % 28, 9), "MDS01") for c in ["HOTCUST", "C1", "C2"] for k in range(60)],
+                                "company_uid string, login_log_key long, access_time timestamp_ntz, menu_id string")
+    counts = access_counts(log, log.filter("false"), customer_activity_span(txn), ScreenConfig())
+    out = attach_access_counts(txn, counts)
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == 3000 and out.filter("cust_id = 'HOTCUST' and mb_check = 3").count() == 1000

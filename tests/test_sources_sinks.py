@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acctscreen.operators.enrich import enrich_accounts
+from acctscreen.sources.days import read_day, read_days, write_day
 from acctscreen.sources.readers import read_csv, read_table, snapshot, sql_file
 from acctscreen.sources.writers import (
     as_text_columns,
@@ -11,8 +12,6 @@ from acctscreen.sources.writers import (
     overwrite_table,
     preview,
     refresh,
-    read_day,
-    write_day,
     write_files,
 )
 from tests.conftest import rows
@@ -63,7 +62,7 @@ def test_day_write_replaces_only_its_day(spark, tmp_path):
     write_day(one, path, "2024-01-01")
     write_day(one.withColumn("v", F.lit(2)), path, "2024-01-02")
     write_day(one.withColumn("v", F.lit(3)), path, "2024-01-02")
-    assert rows(spark.read.parquet(path), "v") == [(1,), (3,)]
+    assert rows(read_days(spark, path), "v") == [(1,), (3,)]
     assert rows(write_day(one.filter("v < 0"), path, "2024-01-02")) == []
     assert rows(read_day(spark, path, "2024-01-02")) == [] and rows(read_day(spark, path, "2024-01-01")) == [(1,)]
 
