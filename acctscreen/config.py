@@ -89,6 +89,8 @@ class ScreenConfig:
     account_width: int = 14
     # Null-aware NOT IN (SQL semantics) for the two exclusion lists.
     null_aware_exclusions: bool = True
+    # Look the lists' keys up in a table of bits first, so that rows on no list are not shuffled.
+    prefilter_lists: bool = False
     # Keys of the optional registered-transfer lookup: (txn column, table column).
     registered_keys: tuple[tuple[str, str], ...] = field(default=())
     # Columns taken from that table, in the order that picks one row per key.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.predicates import in_date_window, is_individual_id, teller_code_ok
-from acctscreen.operators.exclusions import exclude
+from acctscreen.operators.exclusions import exclude, exclude_listed
 
 CANDIDATE_ORDER = ("acct_nbr_ori", "tx_date", "tx_time")
 
@@ -26,7 +26,8 @@ def candidate_transactions(
     ``ex_customers.cust_id``; the configured transaction columns.
 
     The cheap row filters come first and reach the Parquet scan; the two
-    anti joins then see only one month of rows."""
+    anti joins then see only one month of rows (with ``cfg.prefilter_lists``
+    only those of them that may be on a list)."""
     cond = (
         in_date_window("tx_date", snap_date)
         & is_individual_id("cust_id")
@@ -35,6 +36,9 @@ def candidate_transactions(
     if cfg.tx_mode is not None:
         cond = cond & (F.col("tx_mode") == cfg.tx_mode)
     rows = txn.filter(cond)
+    if cfg.prefilter_lists:
+        lists = [(ex_accounts, "acct_nbr_ori", "acct_nbr_ori"), (ex_customers, "cust_id", "cust_id")]
+        return exclude_listed(rows, lists, null_aware=cfg.null_aware_exclusions).select(*cfg.txn_columns)
     rows = exclude(rows, ex_accounts, "acct_nbr_ori", null_aware=cfg.null_aware_exclusions)
     rows = exclude(rows, ex_customers, "cust_id", null_aware=cfg.null_aware_exclusions)
     return rows.select(*cfg.txn_columns)

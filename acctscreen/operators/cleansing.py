@@ -9,10 +9,11 @@ not seen by the exchange rule.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from acctscreen.config import ScreenConfig
 from acctscreen.functions.datetime import epoch_to_datetime
@@ -92,37 +93,79 @@ def filter_channel_memo(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
     )
 
 
-def exchange_groups(txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS) -> DataFrame:
-    """Booking groups that are currency exchanges: more than one currency
-    and more than one debit/credit code, a null counting as a value.
-
-    One partial-aggregated group-by: each task sends one row per group it
-    saw, so even a group holding a large share of the rows costs little in
-    the shuffle.  Rows with a null key form no group (they never pair)."""
-    not_null = F.lit(True)
+def _grouped(txn: DataFrame, keys: Sequence[str]) -> DataFrame:
     for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    return (
-        txn.filter(not_null)
-        .groupBy(*keys)
-        .agg(
-            differs_with_null("cur").alias("multi_cur"),
-            differs_with_null("drcr").alias("multi_drcr"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
-        .filter(F.col("multi_cur") & F.col("multi_drcr"))
-        .select(*keys, "n_rows")
+        txn = txn.filter(F.col(k).isNotNull())  # a null key forms no group
+    return txn
+
+
+def _exact_exchange_groups(txn: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rule on the values themselves.  Spark sorts for the least and
+    greatest of a text (``SortAggregate``)."""
+    groups = _grouped(txn, keys).groupBy(*keys).agg(
+        differs_with_null("cur").alias("multi_cur"),
+        differs_with_null("drcr").alias("multi_drcr"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
+    return groups.filter(F.col("multi_cur") & F.col("multi_drcr")).select(*keys, "n_rows")
+
+
+def text_code(c: Column) -> tuple[Column, Column]:
+    """A number for a text, and whether no other text has it: up to seven bytes
+    are the number's own digits (with their count), longer ones a hash below 0."""
+    n = F.octet_length(c)
+    short = F.conv(F.hex(c.cast("binary")), 16, 10).cast("long") * 8 + n
+    long_ = F.xxhash64(c).bitwiseOR(F.lit(-(1 << 63)))
+    return F.when(n == 0, F.lit(0)).when(n <= 7, short).otherwise(long_), n <= 7
+
 
+def _code(txn: DataFrame, column: str, code: Callable[[Column], tuple[Column, Column]]) -> tuple[Column, Column]:
+    c = F.col(column)
+    whole = isinstance(txn.schema[column].dataType, IntegralType)
+    return (c.cast("long"), F.lit(True)) if whole else code(c.cast("string"))
+
+
+def exchange_groups(
+    txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS, store: Callable[[DataFrame], DataFrame] | None = None,
+    code: Callable[[Column], tuple[Column, Column]] = text_code,
+) -> DataFrame:
+    """Booking groups that are currency exchanges: more than one currency
+    and more than one debit/credit code, a null counting as a value.
 
-def remove_exchanges(txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS) -> DataFrame:
+    One partial hash aggregate over numbers that stand for the values
+    (``text_code``): each task sends one row per group it saw, so even a group
+    holding a large share of the rows costs little in the shuffle, and
+    nothing is sorted.  Unequal numbers are unequal values.  Where equal
+    numbers leave it open (texts of more than seven bytes), the group's rows,
+    and only those, are compared by value.  ``store`` keeps the groups found
+    by number; without it that second look is planned in any case."""
+    coded, named = _grouped(txn, keys), {}
+    for c in ("cur", "drcr"):
+        number, own = _code(txn, c, code)
+        coded = coded.withColumns({f"__{c}": number, f"__{c}_own": own})
+        differs = differs_with_null(f"__{c}")
+        open_ = ~differs & (F.count(f"__{c}") > 1) & F.coalesce(~F.bool_and(f"__{c}_own"), F.lit(False))
+        named |= {f"{c}_differs": differs, f"{c}_open": open_}
+    groups = coded.groupBy(*keys).agg(*[v.alias(k) for k, v in named.items()], F.count(F.lit(1)).alias("n_rows"))
+    groups = groups.filter((F.col("cur_differs") | F.col("cur_open")) & (F.col("drcr_differs") | F.col("drcr_open")))
+    groups = groups.select(*keys, "n_rows", (F.col("cur_differs") & F.col("drcr_differs")).alias("__sure"))
+    groups = store(groups) if store else groups
+    sure = groups.filter("__sure").select(*keys, "n_rows")
+    unsure = groups.filter("not __sure")
+    if store and unsure.isEmpty():
+        return sure
+    rows = txn.join(distinct_join_keys(unsure, keys), list(keys), "left_semi")
+    return sure.unionByName(_exact_exchange_groups(rows, keys))
+
+
+def remove_exchanges(txn: DataFrame, keys: Sequence[str] = EXCHANGE_KEYS, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Drop every row of an exchange group (``exchange_groups``).
 
     An equi anti join on the group key (null keys never match).  AQE
     broadcasts the group list when it is small; otherwise the list reaches
     the join through its own shuffle so that a hot booking group of the
     rows can be split over tasks (``distinct_join_keys``)."""
-    groups = distinct_join_keys(exchange_groups(txn, keys), keys)
+    groups = distinct_join_keys(exchange_groups(txn, keys, store), keys)
     return txn.join(groups, list(keys), "left_anti").select(*txn.columns)
 
 
@@ -153,9 +196,10 @@ def exclude_payroll(txn: DataFrame, payroll: DataFrame) -> DataFrame:
     return txn.join(pay, "acct_nbr_ori", "left_anti").select(*txn.columns)
 
 
-def clean(txn: DataFrame, cfg: ScreenConfig) -> DataFrame:
-    """Normalise then apply the cleaning rules in their required order."""
+def clean(txn: DataFrame, cfg: ScreenConfig, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Normalise then apply the cleaning rules in their required order
+    (``store``: see ``exchange_groups``)."""
     out = normalize_transactions(txn, cfg)
     out = filter_channel_memo(out, cfg)
-    out = remove_exchanges(out)
+    out = remove_exchanges(out, store=store)
     return filter_currency(out, cfg.currency)

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctscreen.operators import access, activity, candidates, cleansing, enrich, exclusions
-from acctscreen.plans import pipeline
+from acctscreen.plans import pairs, pipeline
 from acctscreen.config import ScreenConfig
-from acctscreen.plans.materialize import run_root, table_name, write_and_read
+from acctscreen.plans.materialize import run_root, store_list, table_name, write_and_read
 from acctscreen.sources import fixtures
 from acctscreen.sources.fixtures import SNAP_DATE, TEST_CONFIG as CFG
 from acctscreen.sources.inputs import ScreenInputs
@@ -59,6 +59,21 @@ def q_payroll_from_snapshot(t: ScreenInputs) -> DataFrame:
     return exclusions.payroll_from_snapshot(t.account_snapshot)
 
 
+def q_payroll_kept_pairs(t: ScreenInputs) -> DataFrame:
+    """The payroll list from pairs stored by the month of posting, in two runs:
+    the second one reads the last month only."""
+    spark, path = t.savings_txn.sparkSession, run_root(t.savings_txn.sparkSession, "pairs")
+    month = F.date_format("act_date", "yyyy-MM")
+
+    def load(name: str) -> Callable[[], DataFrame]:
+        return lambda: t.savings_txn.filter(month.eqNullSafe(F.lit(name)))
+
+    months = {m: load(m) for m in ("2023-12", "2024-01", "2024-02")}
+    pairs.update_pairs(spark, path, {m: months[m] for m in list(months)[:-1]})
+    pairs.update_pairs(spark, path, months)
+    return pairs.payroll_of_stored_pairs(spark, path, t.customers)
+
+
 def q_excluded_accounts(t: ScreenInputs) -> DataFrame:
     return pipeline.exclusion_lists(t, CFG).accounts
 
@@ -80,7 +95,7 @@ def q_exclude_null_aware(t: ScreenInputs) -> DataFrame:
     }
     txn = t.savings_txn.select("acct_nbr_ori", "jrnl_no", "remk")
     parts = [
-        exclusions.exclude(txn, exclusions.store_list(ex), "remk", "v", null_aware=True).withColumn("tag", F.lit(tag))
+        exclusions.exclude(txn, store_list(ex), "remk", "v", null_aware=True).withColumn("tag", F.lit(tag))
         for tag, ex in lists.items()
     ]
     out = parts[0]
@@ -109,6 +124,11 @@ def q_candidate_transactions(t: ScreenInputs) -> DataFrame:
     return _candidates(t)
 
 
+def q_candidates_prefiltered(t: ScreenInputs) -> DataFrame:
+    """The candidates, by lists that are looked up in tables of bits first."""
+    return pipeline.candidates_stage(t, CFG.with_(prefilter_lists=True), SNAP_DATE, _writer(t, "prefiltered"))
+
+
 def q_ordered_candidates(t: ScreenInputs) -> DataFrame:
     return candidates.ordered(_candidates(t))
 
@@ -136,13 +156,13 @@ def q_duplicate_time_keys(t: ScreenInputs) -> DataFrame:
 
 
 def q_exchange_groups(t: ScreenInputs) -> DataFrame:
-    return cleansing.exchange_groups(_memo_filtered(t), cleansing.RAW_EXCHANGE_KEYS)
+    return cleansing.exchange_groups(_memo_filtered(t), cleansing.RAW_EXCHANGE_KEYS, store_list)
 
 
 def q_exchange_removed(t: ScreenInputs) -> DataFrame:
     # Read twice, for the groups and for the rows: stored once.
     rows = write_and_read(_memo_filtered(t), run_root(t.savings_txn.sparkSession, "memo"))
-    return cleansing.remove_exchanges(rows, cleansing.RAW_EXCHANGE_KEYS)
+    return cleansing.remove_exchanges(rows, cleansing.RAW_EXCHANGE_KEYS, store_list)
 
 
 def q_twd_only(t: ScreenInputs) -> DataFrame:

@@ -283,6 +283,8 @@ ORACLE: dict[str, str] = {
     "excluded_customers": _sql("select * from ex_customers", "ex_customers"),
     "exclude_null_aware": _sql(NULL_AWARE),
     "candidate_transactions": _sql("select * from candidates", "candidates"),
+    "candidates_prefiltered": _sql("select * from candidates", "candidates"),
+    "payroll_kept_pairs": _sql("select * from payroll", "payroll"),
     "ordered_candidates": _sql(f"select * from candidates order by {ORDER_BY}", "candidates"),
     "candidate_preview": _sql(f"select * from candidates order by {ORDER_BY} limit 2", "candidates"),
     "normalized_transactions": _sql(

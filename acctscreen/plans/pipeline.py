@@ -122,7 +122,8 @@ def cleaning_stage(inp: ScreenInputs, cfg: ScreenConfig, snap_date: str,
     """Stage 1: the month's candidate transactions, cleaned.  The exchange
     rule reads the candidates twice (group statistics, then the anti join),
     so with a ``write``r they are stored once and scanned twice."""
-    return clean(write("candidates", candidates_stage(inp, cfg, snap_date, write)), cfg)
+    store = None if write is _keep else lambda groups: write("exchange_groups", groups)
+    return clean(write("candidates", candidates_stage(inp, cfg, snap_date, write)), cfg, store)
 
 
 def feature_stage(cleaned: DataFrame, inp: ScreenInputs, cfg: ScreenConfig, snap_date: str) -> DataFrame:
@@ -237,7 +238,7 @@ def run_pipeline(
         cands = r("candidates")
     if 2 in stages:
         # Rows of an account sit together, in time order, inside each file.
-        features = w("features", feature_stage(clean(cands, cfg), inp, cfg, snap_date)
+        features = w("features", feature_stage(clean(cands, cfg, lambda g: w("exchange_groups", g)), inp, cfg, snap_date)
                      .sortWithinPartitions(*CANDIDATE_ORDER))
     elif 3 in stages:
         features = r("features")
