@@ -27,6 +27,9 @@ from acctscreen.llm.common import Scratch
 MAGIC = b"\x1f\x8b\x08"
 RANGE = 4 << 20
 BLOCK = 1 << 18
+#: Bytes that a member is decoded by: little is decoded or copied beyond its end.
+PIECE = 1 << 13
+HEAD = b"WARC/1."
 PAGE = "urn:x-page:"
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -65,8 +68,9 @@ def record_types(pages: DataFrame) -> DataFrame:
     digests are grouped: a group of any size comes down to one row in each task."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     p = pages.select("page_id", "url", "html", F.sha1(payload).alias("_digest"))
-    last = p.groupBy("_digest").agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    out = p.join(last.drop("_n"), "_digest", "left")
+    # Grouped on a struct, they reach the join by a shuffle of their own, and the pages of a payload can be split over tasks.
+    last = p.groupBy(F.struct("_digest").alias("_k")).agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    out = p.join(last.select("_k._digest", "_last"), "_digest", "left")
     revisit = F.col("_last").isNotNull() & ~F.col("_last").eqNullSafe(F.col("page_id"))
     return out.select("page_id", "url", "html", revisit.alias("revisit"), F.when(revisit, F.col("_last")).alias("refers_to"))
 
@@ -104,30 +108,36 @@ def write_warc(pages: DataFrame, folder: str) -> DataFrame:
 # -- reader --------------------------------------------------------------------
 
 class _Bytes:
-    """A file read in blocks, at most a few of which are kept."""
+    """A file read in blocks, one of which is kept.  What it holds from a place
+    on is served first; the file is read on when that is used up."""
 
     def __init__(self, file, size: int):
         self.file, self.size, self.at, self.data = file, size, 0, b""
 
-    def get(self, start: int, n: int = BLOCK) -> bytes:
-        if not (self.at <= start and start + n <= self.at + len(self.data)) and start < self.size:
+    def get(self, start: int, n: int = BLOCK, least: int = 1) -> bytes:
+        """Up to ``n`` bytes from ``start``; ``least`` of them, if the file has so many."""
+        k = start - self.at
+        if not 0 <= k <= len(self.data) - min(least, max(self.size - start, 0)):
             self.file.seek(start)
-            self.at, self.data = start, self.file.read(max(n, BLOCK))
-        return self.data[start - self.at : start - self.at + n]
+            self.at, self.data, k = start, self.file.read(BLOCK), 0
+        return self.data[k : k + n]
 
 
 def _member(source: _Bytes, at: int) -> tuple[bytes, int] | None:
     """The record that begins at ``at`` and the place after its member, or
     None if no whole member with the head of a record is there."""
-    inflate, out, place = zlib.decompressobj(31), [], at
+    inflate, out, size, place, head = zlib.decompressobj(31), [], 0, at, False
     try:
         while not inflate.eof:
-            piece = source.get(place)
+            piece = source.get(place, PIECE)
             if not piece:
                 return None
             out.append(inflate.decompress(piece))
-            if place == at and not out[0].startswith(b"WARC/1."):
-                return None
+            size += len(out[-1])
+            if not head and (size >= len(HEAD) or inflate.eof):
+                head = b"".join(out).startswith(HEAD)
+                if not head:
+                    return None
             place += len(piece)
     except zlib.error:
         return None
@@ -147,7 +157,7 @@ def records_in(source: _Bytes, start: int, end: int) -> Iterator[tuple[dict[str,
     """Headers and block of the records that start in [start, end)."""
     at = start
     while at < end:
-        piece = source.get(at, BLOCK)
+        piece = source.get(at, BLOCK, len(MAGIC))
         k = piece.find(MAGIC)
         if k < 0:
             if len(piece) < len(MAGIC):

@@ -11,6 +11,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from acctscreen.llm import op7_warc as warc
 from acctscreen.llm import op10_topk as topk
@@ -107,3 +109,50 @@ def test_bounds_hold_and_get_tighter():
         assert (bound >= q @ x.T - 1e-6).all()
         assert before is None or (bound <= before + 1e-6).all()
         before = bound
+
+
+class _Counted:
+    """An archive in memory that counts the bytes that are read from it."""
+
+    def __init__(self, data: bytes):
+        self.data, self.at, self.n = data, 0, 0
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, n: int) -> bytes:
+        out = self.data[self.at : self.at + n]
+        self.at += len(out)
+        self.n += len(out)
+        return out
+
+
+@pytest.mark.parametrize("block", [1 << 10, 1 << 16, 1 << 18])
+def test_an_archive_is_read_about_once(monkeypatch, block):
+    monkeypatch.setattr(warc, "BLOCK", block)
+    monkeypatch.setattr(warc._Bytes.get, "__defaults__", (block, 1))
+    rng = random.Random(1)
+    pages = [rng.randbytes(rng.randrange(0, 3000)) for _ in range(1500)]
+    archive = b"".join(warc.record(k, f"http://x/{k}", p) for k, p in enumerate(pages))
+    file = _Counted(archive)
+    got = list(warc.records_in(warc._Bytes(file, len(archive)), 0, len(archive)))
+    assert [b.partition(b"\r\n\r\n")[2] for _, b in got] == pages
+    assert file.n <= (1.2 if block > 1 << 12 else 4) * len(archive)
+
+
+def test_pages_of_one_payload_are_split_over_tasks(spark):
+    from tests.test_skew import SKEW_CONF
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        pages = spark.range(3000).select(F.col("id").alias("page_id"), F.sha2(F.col("id").cast("string"), 256).alias("url"),
+                                         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.sha2(F.col("id").cast("string"), 512)).alias("html"))
+        out = warc.record_types(pages)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.filter("revisit and refers_to = 2997").count() == 999
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
