@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctscreen.llm.common import SPACE, Scratch, chunks, fold_case, hash_spans, held_out, text_bytes, word_bounds
+from acctscreen.llm.common import SPACE, Scratch, chunks, fold_case, hash_spans, held_out, mix, text_bytes, word_bounds
 
 #: Bounds of the model: words with a unit of their own, units of last letters,
 #: classes, rounds of exchange, and words whose counts every task gets.
-WORDS, ENDINGS, CLASSES, ROUNDS, HEAD = 2048, 1024, 64, 6, 1 << 17
+WORDS, ENDINGS, CLASSES, ROUNDS, HEAD = 2048, 1024, 64, 6, 1 << 18
 #: A word that occurs so often, at any size of the corpus, has a class by its own neighbours.
 OWN = 2
 DELTA, ALPHA = 0.1, 1.0
@@ -230,8 +230,8 @@ def fit(texts: DataFrame, scratch: Scratch, words: int = WORDS, endings: int = E
     class at most: all bounded by parameters, whatever the corpus."""
     counts = scratch.store(count_words(texts, endings), "words")
     real = counts.filter(F.col("h") != int(END))
-    top = real.filter(F.col("n") >= _count_of(real, head)).orderBy(F.desc("n"), "h").limit(head).toPandas()
-    h, n = top["h"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
+    top = real.filter(F.col("n") >= _count_of(real, head)).orderBy(F.desc("n"), "h").limit(head).toArrow()
+    h, n = top["h"].to_numpy(), top["n"].to_numpy()
     units = Units(np.sort(h[:words]), endings)
     by_ending = real.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     end_n = int(counts.filter(F.col("h") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
@@ -267,7 +267,7 @@ def fit(texts: DataFrame, scratch: Scratch, words: int = WORDS, endings: int = E
         e = by_ending["ending"].to_numpy(np.int64)
         end_tokens, end_types = np.zeros(endings), np.zeros(endings)
         end_tokens[e], end_types[e] = by_ending["n"], by_ending["v"]
-        own_e, own_n = top["ending"].to_numpy(np.int64)[:words], n[:words]
+        own_e, own_n = top["ending"].to_numpy()[:words], n[:words]
         np.subtract.at(end_tokens, own_e, own_n)
         np.subtract.at(end_types, own_e, 1)
         k = class_of[np.searchsorted(units.words, h[:words])]
@@ -347,11 +347,13 @@ def _parts(model: Model, h: np.ndarray, ending: np.ndarray, at: np.ndarray):
 
 
 def _transition_counter(model: Model):
-    """Class pairs of tokens; a word to be looked up has its hash beside the class (others: END)."""
+    """Class pairs of tokens; a word to be looked up has its hash beside the
+    class (others: END).  Equal pairs of a task are added up before they leave it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = len(model.transition)
         total = np.zeros(classes * classes, np.int64)
+        held: list[tuple] = []
         for batch in batches:
             for _, h, ending, at in tokens(batch.column(0), model.units.endings):
                 c, known, h, _ = _parts(model, h, ending, at)
@@ -359,7 +361,12 @@ def _transition_counter(model: Model):
                 total += np.bincount((c[:-1] * classes + c[1:])[both], minlength=len(total))
                 k = np.flatnonzero(~both)
                 if len(k):
-                    yield _pair_rows(h[k], c[k], h[k + 1], c[k + 1], np.ones(len(k)))
+                    held.append((h[k], c[k], h[k + 1], c[k + 1], np.ones(len(k), np.int64)))
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield _summed_pairs(held)
+                    held = []
+        if held:
+            yield _summed_pairs(held)
         k = np.flatnonzero(total)
         end = np.full(len(k), END)
         yield _pair_rows(end, k // classes, end, k % classes, total[k])
@@ -367,6 +374,16 @@ def _transition_counter(model: Model):
     return count
 
 
+def _summed_pairs(held: list[tuple]) -> pa.RecordBatch:
+    """Equal pairs of (lh, lc, rh, rc, n) made one.  Put in order by a hash; pairs that share it stay apart."""
+    *keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    wide = [np.ascontiguousarray(k, np.int64).view(np.uint64) for k in keys]
+    order = np.argsort(mix(mix(wide[0] + np.uint64(1)) + mix(wide[2]) * np.uint64(3) + (wide[1] << np.uint64(32)) + wide[3]), kind="stable")
+    keys = [k[order] for k in keys]
+    first = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+    return _pair_rows(*[k[first] for k in keys], np.add.reduceat(n[order], first))
+
+
 def _pair_rows(*columns) -> pa.RecordBatch:
     types = (np.int64, np.int32, np.int64, np.int32, np.int64)
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(x).astype(t)) for x, t in zip(columns, types, strict=True)], names=["lh", "lc", "rh", "rc", "n"])
@@ -408,8 +425,8 @@ def refine(texts: DataFrame, model: Model, counts: DataFrame, scratch: Scratch,
     if len(model.head):
         least = int(model.head_n.min())
         of_head[np.searchsorted(model.head, old.words)] = model.class_of[: len(old.words)]
-        far = further.filter(F.col("n") >= max(least, _count_of(further, len(model.head)))).orderBy(F.desc("n"), "h").limit(len(model.head)).toPandas()
-        far_h, far_c = far["h"].to_numpy(np.int64), far["c"].to_numpy(np.int64)
+        far = further.filter(F.col("n") >= max(least, _count_of(further, len(model.head)))).orderBy(F.desc("n"), "h").limit(len(model.head)).toArrow()
+        far_h, far_c = far["h"].to_numpy(), far["c"].to_numpy().astype(np.int64)
         k = np.minimum(np.searchsorted(model.head, far_h), len(model.head) - 1)
         same = model.head[k] == far_h
         of_head[k[same]] = far_c[same]
