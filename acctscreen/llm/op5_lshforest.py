@@ -2,9 +2,8 @@
 
 Each distinct text has one MinHash signature, cut into trees.  A tree is a
 trie of its part of the signatures; texts that share a prefix are neighbours.
-Prefixes start long and are shortened until the expected recall of the pairs
-that are similar enough reaches the target: which pairs there are is
-estimated from one tree's short prefixes.  Neighbours form candidate groups.
+Prefixes start long and are shortened until pairs at the threshold itself are
+found with the target probability.  Neighbours form candidate groups.
 Inside a group all pairs are checked exactly on their shingles, block against
 block, with matrix products; only sums and one link per text leave a task,
 never the pairs.
@@ -131,35 +130,21 @@ def found_by(depth: int, s: float, trees: int = TREES) -> float:
     return 1 - (1 - s**depth) ** trees
 
 
-def depth_for(similar: list[tuple[float, float]], target: float = RECALL) -> int:
-    """The longest prefix at which (similarity, number of pairs) have the
-    target recall together; the shortest allowed one reaches it for any pairs."""
-    total = sum(n for _, n in similar)
+def depth_for(threshold: float, target: float = RECALL) -> int:
+    """The prefixes are shortened until a pair at the threshold itself, the
+    hardest one, is found with the target probability: other pairs of the
+    corpus, however many and however alike, change nothing for it."""
     for depth in range(DEPTH, LEAST_DEPTH, -1):
-        if sum(n * found_by(depth, s) for s, n in similar) >= target * total:
+        if found_by(depth, threshold) >= target:
             return depth
     return LEAST_DEPTH
 
 
-def similar_pairs(sets: DataFrame, threshold: float = SIMILARITY) -> list[tuple[float, float]]:
-    """Estimated similarities of pairs and how many there are.  Texts that
-    share the first tree's shortest prefix are held against the first of
-    them; a pair of similarity s is there with probability s**depth, so it
-    stands for s**-depth pairs.  A few dozen rows come back."""
-    tree = sets.select("doc", "signature").mapInArrow(_prefixes(LEAST_DEPTH, 1), "doc long, p long").join(sets.select("doc", "signature"), "doc")
-    first = tree.groupBy("p").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    first = first.join(sets.select(F.col("doc").alias("least"), F.col("signature").alias("other")), "least")
-    pairs = tree.join(first, "p").filter("doc <> least")
-
-    def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = (_matrix(batch.column(0)) == _matrix(batch.column(1))).sum(1)
-            yield pa.RecordBatch.from_arrays([pa.array(same.astype(np.int32))], names=["same"])
-
-    rows = pairs.select("signature", "other").mapInArrow(agreement, "same int").groupBy("same").agg(F.count(F.lit(1)).alias("n")).collect()
-    seen = [(r["same"] / (TREES * DEPTH), r["n"]) for r in rows]
-    # Estimates spread: those a little below the threshold count as being on it.
-    return [(max(s, threshold), n / max(s, threshold) ** LEAST_DEPTH) for s, n in seen if s >= threshold - 0.08]
+def _by(column: str) -> Column:
+    """Grouped on this, an aggregate reaches a join by ``column`` through a
+    shuffle of its own, and a value with a large share of the other side's
+    rows can be split over tasks."""
+    return F.struct(column).alias("_by")
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -170,10 +155,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     step, before = 0, None
     while True:
         both = edges.unionByName(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
-        least = both.groupBy("lo").agg(F.least(F.min("hi"), F.col("lo")).alias("m"))
+        least = both.groupBy(_by("lo")).agg(F.min("hi").alias("hi")).select("_by.lo", F.least("hi", "_by.lo").alias("m"))
         large = both.filter("hi > lo").join(least, "lo").select(F.col("m").alias("lo"), "hi").filter("lo < hi").distinct()
         # Small star: neighbours below a node hang on the least of them.
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        least = large.groupBy(_by("hi")).agg(F.min("lo").alias("m")).select("_by.hi", "m")
         joined = large.join(least, "hi")
         small = joined.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).filter("lo < hi").unionByName(joined.select(F.col("m").alias("lo"), "hi"))
         step += 1
@@ -289,15 +274,15 @@ def grouped(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     sets = scratch.store(by_set, "sets")
     reps = signed.withColumnRenamed("key", "doc").join(sets.select("doc", "copies"), "doc")
     reps = scratch.store(reps.select("doc", "doc_id", "text_hash", "copies", "signature"), "reps")
-    depth = depth_for(similar_pairs(reps, threshold))
+    depth = depth_for(threshold)
 
     # Texts that share a prefix hang on the least of them: one edge a text and tree.
     leaves = reps.select("doc", "signature").mapInArrow(_prefixes(depth, TREES), "doc long, p long")
-    star = leaves.groupBy("p").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("p", "least")
+    star = leaves.groupBy(_by("p")).agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("_by.p", "least")
     edges = leaves.join(star, "p").filter("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b"))
     groups = components(edges, scratch, "candidates")
     members = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "doc")
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = members.groupBy(_by("root")).agg(F.count(F.lit(1)).alias("n")).select("_by.root", "n")
     blocks = F.ceil(F.col("n") / BLOCK)
     placed = members.join(sizes, "root").join(reps.drop("signature"), "doc")
     placed = placed.select("doc", "root", "copies", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).alias("block"), F.xxhash64("doc_id", "text_hash").alias("_k"))
@@ -318,7 +303,7 @@ def grouped(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     of_set = sets.join(groups.withColumnRenamed("node", "doc"), "doc", "left").join(counts, "doc", "left")
     of_set = of_set.select("set_a", "set_b", "set_id", F.coalesce("root", "doc").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     of_set = scratch.store(of_set, "of-set")
-    least = of_set.groupBy("root").agg(F.min("set_id").alias("class_id"))
+    least = of_set.groupBy(_by("root")).agg(F.min("set_id").alias("class_id")).select("_by.root", "class_id")
     found = signed.select("doc_id", "text_hash", "set_a", "set_b").join(of_set.join(least, "root"), ["set_a", "set_b"])
     return found.select("doc_id", "text_hash", "root", "class_id", "set_id", "n_links")
 
@@ -341,17 +326,18 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
 def deduplicate(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one
     of the least doc_id (null first), of equal ids the least text hash.  Rows
-    that repeat id and text are one document.  Null and empty texts stay.
-    All columns stay as they are, whatever their names."""
+    that repeat id and text are one document, the least by its other columns.
+    Null and empty texts stay.  All columns stay as they are, whatever their
+    names; they must have an order (no maps)."""
     columns = docs.columns
     scratch = Scratch(docs.sparkSession, "dedup")
     found = scratch.store(grouped(docs.select("doc_id", "text"), threshold, scratch), "found")
-    best = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
+    best = found.groupBy(_by("root")).agg(F.min(F.struct("doc_id", "text_hash")).alias("best")).select("_by.root", "best")
     rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).join(best, "root")
     rows = rows.select(F.xxhash64("doc_id", "text_hash").alias("_k"), F.struct("doc_id", "text_hash").eqNullSafe(F.col("best")).alias("stays"), "n")
     rows = scratch.store(rows.filter("not stays or n > 1"), "changed")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
     keyed = keyed.select("row", F.xxhash64(F.col("row.doc_id").cast("long"), F.xxhash64(F.coalesce("row.text", F.lit("")))).alias("_k"))
     same = keyed.join(rows.select("_k"), "_k", "left_anti").select("row")
-    one = keyed.join(rows.filter("stays"), "_k").groupBy("_k").agg(F.first("row").alias("row")).select("row")
+    one = keyed.join(rows.filter("stays"), "_k").groupBy("_k").agg(F.min("row").alias("row")).select("row")
     return same.unionByName(one).select(*[F.col("row").getField(c).alias(c) for c in columns])

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from acctscreen.llm import op5_lshforest as forest
@@ -79,12 +80,56 @@ def test_deduplication_keeps_one_of_each_group(spark, no_docs):
     assert forest.near_duplicates(no_docs).count() == 0 and forest.deduplicate(no_docs).count() == 0
 
 
-def test_depth_shortens_until_the_recall():
-    assert forest.depth_for([]) == forest.DEPTH
-    assert forest.depth_for([(0.99, 100.0)]) == forest.DEPTH
-    depths = [forest.depth_for([(s, 1.0)]) for s in (0.99, 0.9, 0.85, 0.8)]
-    assert depths == sorted(depths, reverse=True) and depths[-1] < forest.DEPTH
-    assert forest.found_by(forest.LEAST_DEPTH, 0.8) >= forest.RECALL
+def test_depth_shortens_until_the_recall_at_the_threshold():
+    depths = [forest.depth_for(s) for s in (0.99, 0.9, 0.85, 0.8)]
+    assert depths == sorted(depths, reverse=True) and depths[0] == forest.DEPTH and depths[-1] == 5
+    assert all(forest.found_by(d, s) >= forest.RECALL for d, s in zip(depths, (0.99, 0.9, 0.85, 0.8)))
+
+
+def test_a_pair_at_the_threshold_among_many_near_equal_texts(spark):
+    """Thousands of near-equal pairs do not make the prefixes too long for it."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(4000)]
+    many = [rng.choice(words) for _ in range(120)]
+    rows = [(k, " ".join([*many[:60], f"own{k}", *many[61:]])) for k in range(300)]
+    # 36 shingles in all, 32 of them shared: 32 / 40 = 0.8 on the dot.
+    for j in range(20):
+        a = [f"p{j}x{k}" for k in range(40)]
+        rows += [(1000 + 2 * j, " ".join(a)), (1001 + 2 * j, " ".join([*a[:36], *[f"q{j}x{k}" for k in range(4)]]))]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k] == (0, 299) for k in range(300))
+    for j in range(20):
+        assert got[1000 + 2 * j] == got[1001 + 2 * j] == (1000 + 2 * j, 1)
+
+
+def test_the_document_that_stays_does_not_depend_on_how_rows_are_dealt(spark):
+    text = "one two three four five six seven"
+    rows = [(5, text, "b"), (5, text, "a"), (5, text, "c"), (6, text, "a"), (7, "other words that stand quite alone here", "z")]
+    kept = set()
+    for order, parts in ((rows, 1), (rows[::-1], 3), (rows[2:] + rows[:2], 5)):
+        out = forest.deduplicate(spark.createDataFrame(order, "doc_id long, text string, source string").repartition(parts))
+        kept.add(tuple(sorted(map(tuple, out.collect()))))
+    assert kept == {((5, text, "a"), (7, "other words that stand quite alone here", "z"))}
+
+
+def test_hot_components_are_split(spark):
+    from acctscreen.llm.common import Scratch
+    from tests.test_skew import SKEW_CONF
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        both = spark.range(1, 9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("lo"), F.xxhash64("id").alias("hi"))
+        both = Scratch(spark, "t").store(both, "both")
+        least = both.groupBy(forest._by("lo")).agg(F.min("hi").alias("m")).select("_by.lo", "m")
+        out = both.join(least, "lo")
+        assert out.count() == 8999
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_overlaps_are_exact():
