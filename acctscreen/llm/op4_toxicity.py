@@ -318,8 +318,11 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, fit_docs
     if not n_toxic or not n_clean:
         return Lexicon({}, {})
 
+    # One occurrence in all, shared by the classes' sizes, is added: what was never seen speaks for neither.
+    share = n_toxic / (n_toxic + n_clean)
+
     def ratio(n1: float, n0: float) -> float:
-        return (n1 + 0.5) / (n_toxic + 1) / ((n0 + 0.5) / (n_clean + 1))
+        return (n1 + share) / (n_toxic + share) / ((n0 + 1 - share) / (n_clean + 1 - share))
 
     rated = {f: (n, ratio(n, clean.get(f, 0))) for f, n in toxic.items()}
     kept = choose_terms({f: x for f, x in rated.items() if x[1] >= RATIO})
