@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctscreen.operators import access, activity, candidates, cleansing, enrich, exclusions
-from acctscreen.plans import pairs, pipeline
+from acctscreen.plans import bucketed, pairs, pipeline
 from acctscreen.config import ScreenConfig
 from acctscreen.plans.materialize import run_root, store_list, table_name, write_and_read
 from acctscreen.sources import fixtures
@@ -27,6 +27,7 @@ from acctscreen.sources.readers import read_csv, read_csv_checked, read_table, s
 from acctscreen.sources.writers import clustered, export_csv, overwrite_table, preview, refresh, write_files
 
 WINDOW = pipeline.window_bounds(SNAP_DATE)
+BUCKETS = 16  # of the customer; a cluster takes as many as keep one well below a task's memory
 MONTH_SQL = Path(__file__).parent.parent / "sql" / "month_of_transactions.sql"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,6 +250,13 @@ def q_screen_lazy(t: ScreenInputs) -> DataFrame:
     return pipeline.screen(t, CFG, SNAP_DATE, _writer(t, "screen"))
 
 
+def q_flagship_bucketed(t: ScreenInputs) -> DataFrame:
+    """The same result, with features and logs stored in buckets of the customer."""
+    write = _writer(t, "bucketed")
+    features = write("features", pipeline.feature_stage(pipeline.cleaning_stage(t, CFG, SNAP_DATE, write), t, CFG, SNAP_DATE))
+    return bucketed.tracking_bucketed(features, t, CFG, WINDOW, BUCKETS)
+
+
 def q_clean_production_lists(t: ScreenInputs) -> DataFrame:
     """Channel, memo and remark rules with the production's default lists."""
     return cleansing.filter_channel_memo(fixtures.with_production_values(t.savings_txn), ScreenConfig())

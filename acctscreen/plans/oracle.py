@@ -311,6 +311,7 @@ select * from savings_txn t where not exists (
     "account_enriched": _sql("select * from enriched", "enriched"),
     "flagship_features": _sql("select * from final", "final"),
     "screen_lazy": _sql("select * from final", "final"),
+    "flagship_bucketed": _sql("select * from final", "final"),
     "payroll_from_snapshot": _sql(
         "select distinct acct_no_14, payroll_code from account_snapshot where trim(payroll_code) <> ''"),
     "access_counts_log_day": _sql("select * from counts_own_day", "counts_own_day"),

@@ -1,0 +1,82 @@
+"""Tracking over bucketed tables: no shuffle of the bucketed side, a busy
+customer set apart, the same rows as the usual way."""
+
+import datetime as dt
+
+import pytest
+
+from acctscreen.config import ScreenConfig
+from acctscreen.operators.access import access_counts, attach_access_counts, attach_colocated
+from acctscreen.operators.activity import customer_activity_span
+from acctscreen.plans.bucketed import Keyed, busy_customers, store_bucketed, track
+from acctscreen.plans.materialize import run_root, write_and_read
+from tests.conftest import rows
+from tests.test_skew import SKEW_CONF, skew_conf, skewed_txn  # noqa: F401  (a fixture)
+
+CFG = ScreenConfig()
+WINDOW = ("2023-12-31", "2024-01-31")
+LOG = "company_uid string, login_log_key long, access_time timestamp_ntz, menu_id string"
+
+
+def log_rows(spark, menu):
+    customers = ["HOTCUST", "BUSYLOG", None] + [f"C{k}" for k in range(60)]
+    data = [(c, k, dt.datetime(2024, 1, 1 + k % 31, 9), menu) for c in customers for k in range(40)]
+    data += [("BUSYLOG", k, dt.datetime(2024, 1, 1 + k % 31, 9), menu) for k in range(1000)]
+    data += data[:50]
+    data += [("C1", 1, None, menu), ("C1", None, dt.datetime(2024, 1, 2), menu)]
+    return spark.createDataFrame(data, LOG)
+
+
+def txn_rows(spark):
+    txn = skewed_txn(spark).select("acct_nbr_ori", "cust_id", "tx_date", "jrnl_no")
+    more = [("N1", None, dt.date(2024, 1, 3), 1), ("N2", "C2", None, 2), ("N3", "BUSYLOG", dt.date(2024, 1, 5), 3)]
+    return txn.unionByName(spark.createDataFrame(more, txn.schema))
+
+
+def usual(features, mobile, web):
+    return attach_access_counts(features, access_counts(mobile, web, customer_activity_span(features), CFG, WINDOW))
+
+
+def stored_tables(spark, features, mobile, web, buckets=8):
+    return store_bucketed({"features": Keyed(features, "cust_id"), "mobile_log": Keyed(mobile, "company_uid"), "web_log": Keyed(web, "company_uid")}, buckets)
+
+
+def test_same_rows_and_busy_customers_apart(spark, skew_conf):  # noqa: F811
+    features, mobile, web = txn_rows(spark), log_rows(spark, CFG.mb_check_menus[0]), log_rows(spark, CFG.eb_check_menus[0])
+    tables = {"features": Keyed(features, "cust_id"), "mobile_log": Keyed(mobile, "company_uid")}
+    assert busy_customers(tables, 8) == ["BUSYLOG", "HOTCUST"]
+    stored = stored_tables(spark, features, mobile, web)
+    assert stored["features"].apart.filter("cust_id = 'HOTCUST'").count() == 1000
+    assert stored["features"].bucketed.filter("cust_id in ('HOTCUST', 'BUSYLOG')").count() == 0
+    assert stored["mobile_log"].apart.count() + stored["mobile_log"].bucketed.count() == mobile.count()
+    out = track(stored["features"], stored["mobile_log"], stored["web_log"], CFG, WINDOW)
+    assert rows(out, *sorted(out.columns)) == rows(usual(features, mobile, web), *sorted(out.columns))
+    assert out.filter("mb_check > 0 and eb_check > 0").count() > 1000
+
+
+def test_bucketed_side_is_not_shuffled(spark, skew_conf):  # noqa: F811
+    features = txn_rows(spark).filter("cust_id like 'C%'")
+    mobile, web = log_rows(spark, CFG.mb_check_menus[0]).filter("company_uid like 'C%'"), log_rows(spark, CFG.eb_check_menus[0]).filter("company_uid like 'C%'")
+    stored = stored_tables(spark, features, mobile, web)
+    f, m, w = stored["features"], stored["mobile_log"], stored["web_log"]
+    span = customer_activity_span(f.bucketed, colocated=True)
+    days = f.bucketed.selectExpr("tx_date as min_date", "tx_date as max_date")
+    out = attach_colocated(f.bucketed, m.bucketed, w.bucketed, span, CFG, WINDOW, days)
+    out.collect()
+    lines = [x.strip(" :+-*") for x in out._jdf.queryExecution().executedPlan().toString().splitlines()]
+    # The one exchange is that of the days' bounds: a row for each task.
+    assert {x for x in lines if x.startswith("Exchange") and "hashpartitioning" in x} == set()
+    assert rows(out, *sorted(out.columns)) == rows(usual(features, mobile, web), *sorted(out.columns))
+
+
+@pytest.mark.parametrize("part", ["features", "logs", "both"])
+def test_empty_tables(spark, part):
+    features, log = txn_rows(spark), log_rows(spark, CFG.mb_check_menus[0])
+    if part != "logs":
+        features = features.filter("false")
+    if part != "features":
+        log = log.filter("false")
+    features = write_and_read(features, run_root(spark, "empty"))
+    stored = stored_tables(spark, features, log, log, 4)
+    out = track(stored["features"], stored["mobile_log"], stored["web_log"], CFG, WINDOW)
+    assert rows(out, *sorted(out.columns)) == rows(usual(features, log, log), *sorted(out.columns))
