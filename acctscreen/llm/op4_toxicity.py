@@ -5,8 +5,9 @@ begin with, which are far more frequent in toxic documents than in others
 and occur there in many contexts.  Terms form a trie.  Levenshtein automata
 (bit-parallel, one state set for each number of edits) run along its branches
 and accept a term one edit away, a stem also as the beginning of a word.
-Each hit's weight depends on its context window: quoted and reported speech
-counts less, direct address more.  How much the weight of a document's hits,
+Each hit's weight depends on its context window: what stands between marks,
+what someone is reported to have said and words that are only mentioned
+count less, direct address more.  How much the weight of a document's hits,
 their density and their variety say is a logistic regression on the same
 documents.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -39,14 +41,22 @@ LEAST_WORTH, WORTH_SHARE = 40.0, 0.02
 #: A term of so many letters or more is looked for misspelled.
 FUZZY = 5
 WINDOW = 5
-QUOTED, ADDRESSED = 0.4, 1.25
+#: Factors of a hit that is reported or mentioned, between marks only, and in direct address.
+QUOTED, MARKED, ADDRESSED = 0.4, 0.7, 1.25
+#: Code points of a quotation; marks farther apart belong to different ones.
+QUOTATION = 400
 MEMO = 300_000
 
 _WORD = re.compile(r"\w+")
-#: Words of reported speech and of direct address, fixed values.
+#: Words of reported speech, of what follows them without marks, of mention and of direct address, fixed values.
 REPORTS = frozenset("said says say called calls wrote writes quote quoted term word dijo dice llamó escribió palabra dit écrit appelé mot sagte sagt schrieb nannte wort".split())
-ADDRESS = frozenset("you your youre yourself u tú tu usted vosotros vous toi ton du dich dir dein ihr euch sie".split())
-_QUOTES = "\"'“”„«»‚‘’‹›"
+THAT = frozenset("that que dass daß".split())
+MENTIONS = frozenset("word term slur insult palabra término insulto mot terme insulte wort begriff schimpfwort".split())
+ADDRESS = frozenset("you your youre yourself u tú tu usted vosotros vous toi du dich dir dein ihr euch sie".split())
+#: Opening marks with what closes them; a straight one opens where no word ends.
+_PAIRS = ('"', '"'), ("“", "”"), ("„", "“”"), ("«", "»"), ("»", "«"), ("‹", "›"), ("›", "‹"), ("‘", "’"), ("‚", "‘’"), ("'", "'")
+_QUOTATION = re.compile("|".join(rf"(?<!\w){o}(?=\S)[^{c}\n]{{1,{QUOTATION}}}[{c}](?!\w)" for o, c in _PAIRS))
+_STOP = re.compile(r"[.!?\n]")
 
 
 class Trie:
@@ -151,15 +161,43 @@ class Lexicon:
         return best, weight, bool(best)
 
 
-def context(text: str, start: int, end: int, words: list[str], k: int) -> float:
-    """Factor of a hit at words[k], which is text[start:end]."""
-    around = words[max(0, k - WINDOW) : k + WINDOW + 1]
-    quoted = text[max(0, start - 1) : start] in _QUOTES and start > 0 and text[end : end + 1] in _QUOTES and end < len(text)
-    if quoted and any(w in REPORTS for w in around):
-        return QUOTED
-    if any(w in ADDRESS for w in around):
-        return ADDRESSED
-    return 1.0
+class Contexts:
+    """Where the words of a text stand: its quotations and sentences."""
+
+    def __init__(self, text: str, found: list[re.Match[str]]):
+        self.words, self.starts = [m.group() for m in found], [m.start() for m in found]
+        self.quotations = [m.span() for m in _QUOTATION.finditer(text)]
+        self.opens = [a for a, _ in self.quotations]
+        self.stops = [m.start() for m in _STOP.finditer(text)]
+
+    def _first(self, at: int) -> int:
+        """Number of words that begin before ``at``."""
+        return bisect_left(self.starts, at)
+
+    def factor(self, k: int) -> float:
+        """Factor of a hit at the k-th word.
+
+        Between marks: QUOTED if a word of reported speech stands in the window
+        before or after the marks, else MARKED.  Without marks, in the hit's
+        sentence: QUOTED after "said .. that" (a window's words may stand between
+        them and the hit) or right after a word that announces a mention."""
+        at, words = self.starts[k], self.words
+        q = bisect_right(self.opens, at) - 1
+        if q >= 0 and at < self.quotations[q][1]:
+            a, b = (self._first(x) for x in self.quotations[q])
+            outside = words[max(0, a - WINDOW) : a] + words[b : b + WINDOW]
+            return QUOTED if any(w in REPORTS for w in outside) else MARKED
+        s = bisect_left(self.stops, at)
+        first = self._first(self.stops[s - 1]) if s else 0
+        last = self._first(self.stops[s]) if s < len(self.stops) else len(words)
+        before = words[max(first, k - 2 * WINDOW) : k]
+        if before and before[-1] in MENTIONS:
+            return QUOTED
+        for j, w in enumerate(before):
+            if w in REPORTS and any(x in THAT for x in before[j + 1 : j + 4]):
+                return QUOTED
+        around = words[max(first, k - WINDOW) : min(last, k + WINDOW + 1)]
+        return ADDRESSED if any(w in ADDRESS for w in around) else 1.0
 
 
 def evidence(text: str, lexicon: Lexicon) -> tuple[float, float, float]:
@@ -170,11 +208,11 @@ def evidence(text: str, lexicon: Lexicon) -> tuple[float, float, float]:
     hits = {w for w in set(words) if lexicon.match(w)[1]}
     total, terms = 0.0, set()
     if hits:
-        found = list(_WORD.finditer(low))
+        contexts = Contexts(low, list(_WORD.finditer(low)))
         for k, w in enumerate(words):
             if w in hits:
                 term, weight, _ = lexicon.match(w)
-                total += weight * context(low, found[k].start(), found[k].end(), words, k)
+                total += weight * contexts.factor(k)
                 terms.add(lexicon.stem_of.get(term, term))
     return math.log1p(total), math.log(0.005 + total / max(10, len(words))), float(min(5, len(terms)))
 

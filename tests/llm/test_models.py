@@ -179,6 +179,49 @@ def test_terms_words_stems_and_context():
     assert tox.score_text("you moron", lex) > tox.score_text(plain, lex) > tox.score_text(quoted, lex) > tox.score_text("", lex)
 
 
+def factors(text, hit):
+    low = text.lower()
+    c = tox.Contexts(low, list(tox._WORD.finditer(low)))
+    return [c.factor(k) for k, w in enumerate(c.words) if w == hit]
+
+
+def test_quotation_and_abuse_are_told_apart():
+    quoted = [
+        ('he said "what an idiot that man is"', "idiot"), ("the word idiot was written on the wall", "idiot"),
+        ("she said that he is an idiot", "idiot"), ("'idiot' was the quote", "idiot"),
+        ("“Idiot” he called", "idiot"), ("er sagte, dass der Mann ein Idiot sei", "idiot"), ("er schrieb: „so ein Idiot“", "idiot"),
+        ("»Idiot«, sagte er", "idiot"), ("«quel idiot» dit-il", "idiot"), ("il dit souvent que cet idiot ment", "idiot"),
+        ("dijo ayer que es un idiota", "idiota"), ("«idiota» escribió", "idiota"), ("la palabra idiota", "idiota"),
+    ]
+    for text, hit in quoted:
+        assert factors(text, hit) == [tox.QUOTED], text
+    abuse = [("you idiot", "idiot"), ("eres tú un idiota", "idiota"), ("du Idiot", "idiot"), ("vous idiot", "idiot")]
+    for text, hit in abuse:
+        assert factors(text, hit) == [tox.ADDRESSED], text
+    plain = ["ton idiot", "it's an idiot and that's all", '"a" idiot "b"', "she said nothing. That idiot", 'the idiot "x', "An idiot. You went",
+             'a "b\nc idiot d" e', '"' + "x " * 400 + 'idiot"', "l'idiot d'hier"]
+    for text in plain:
+        assert factors(text, "idiot") == [1.0], text
+    assert factors('a plain "idiot" here, far from all that speaks', "idiot") == [tox.MARKED]
+    assert factors('you are "an idiot" and "an idiot" he said, idiot', "idiot") == [tox.QUOTED, tox.QUOTED, 1.0]
+
+
+def test_scores_equal_a_plain_recomputation():
+    rng = random.Random(8)
+    terms = ["blunder", "grimace", "wretched", "toad"]
+    weights = dict(zip(terms, (3.0, 4.0, 2.5, 5.0), strict=True))
+    lex = tox.Lexicon(weights, {}, {t: w / 2 for t, w in weights.items()}, (-3.0, 1.5, 0.25, 0.5))
+    for n in [0, 1, 5, 40, 400]:
+        words = [rng.choice([*terms, "bluner", "grimacee", "wetched", "toat", "quiet", "meadow", "river", "stone"]) for _ in range(n)]
+        total, seen = 0.0, set()
+        for w in words:
+            found = [(weights[t], t) for t in terms if w == t] or [(weights[t] / 2, t) for t in terms if len(t) >= tox.FUZZY and distance(w, t) == 1]
+            if found:
+                total, seen = total + max(found)[0], seen | {max(found)[1]}
+        odds = -3.0 + 1.5 * np.log1p(total) + 0.25 * np.log(0.005 + total / max(10, n)) + 0.5 * min(5, len(seen))
+        assert abs(tox.score_text(" ".join(words), lex) - 1 / (1 + np.exp(-odds))) < 1e-12
+
+
 def test_edits_at_the_head_of_a_stem():
     lex = tox.Lexicon({}, {"idiot": 4.0, "schurk": 4.0}, {"idiot": 2.0, "schurk": 2.0})
     for word in ("xdiot", "diot", "diots", "ixiotic", "iidiot", "xidiots", "idixt", "idiqotic", "idio"):
