@@ -27,6 +27,9 @@ FIT_RECORDS, BUCKETS = 8_000, 1 << 15
 #: Texts that a declared language has in the sample in any case, if there are as many.
 SHARE = 50
 LEAST_RECORDS = 3  # of a declared language in the table, or it has no model
+#: Languages that have a model, those with most records.  Records that declare
+#: another one keep it where the models do not know their text.
+MODELS = 64
 SMOOTH = 0.5
 #: Trigrams of running text depend on each other: of n, so many count.
 EFFECTIVE, CEILING = 0.2, 200.0
@@ -86,15 +89,16 @@ def share(sizes: list[int], most: int) -> int:
     return max(SHARE, *sizes, 0)
 
 
-def fit_models(records: DataFrame, scratch: Scratch, fit_records: int = FIT_RECORDS) -> tuple[list[str], np.ndarray]:
+def fit_models(records: DataFrame, scratch: Scratch, fit_records: int = FIT_RECORDS, models: int = MODELS) -> tuple[list[str], np.ndarray]:
     """Languages and log-probabilities of trigrams by language, from a sample
     of records that declare one (columns text, declared).  Copies count once
     in it, and each language that LEAST_RECORDS records of the table declare
-    has its share: its least texts by hash.  A few numbers for each declared
-    value come to the driver."""
+    has its share: its least texts by hash.  ``models`` languages at most, those
+    with most records (ties by name), so what comes to the driver, the sample
+    and what goes to the tasks are bounded however many values are declared."""
     usable = records.filter(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text", F.xxhash64("text", "declared").alias("digest"))
     texts = scratch.store(usable.groupBy("declared", "digest").agg(F.count(F.lit(1)).alias("n")), "texts")
-    sizes = {r["declared"]: r["texts"] for r in texts.groupBy("declared").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).filter(F.col("n") >= LEAST_RECORDS).collect()}
+    sizes = {r["declared"]: r["texts"] for r in texts.groupBy("declared").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).filter(F.col("n") >= LEAST_RECORDS).orderBy(F.desc("n"), "declared").limit(models).collect()}
     langs, most = sorted(sizes), share(list(sizes.values()), fit_records)
     # Texts far beyond a language's share are left out by how many it has, so few more are ranked.
     near = 2 * most + 64
@@ -136,13 +140,24 @@ def _likelihoods(models: np.ndarray, column: int):
     return score
 
 
+#: Second labels under which a country's names are registered, fixed values.
+REGISTRIES = ("ac", "co", "com", "edu", "gob", "gouv", "gov", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc", "sch")
+
+
 def address(url: Column) -> tuple[Column, Column, Column]:
-    """Host, registered domain (last two labels) and suffix (last label) of an address."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    """Host, registered domain and suffix (last label) of an address.  The
+    domain is the last two labels, or three where the second stands for a
+    country's registry (``co.uk``); a numeric host is its own domain and has
+    no suffix."""
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)", 1))
+    host = F.regexp_replace(host, r"\.$", "")
     host = F.when(F.length(host) > 0, host)
     labels = F.split(host, r"\.", -1)
-    domain = F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(host)
-    return host, domain, F.when(F.size(labels) > 1, F.element_at(labels, -1))
+    named = (F.size(labels) > 1) & ~host.rlike(r"^\[|^[0-9.]+$")
+    country = (F.length(F.element_at(labels, -1)) == 2) & F.get(labels, F.size(labels) - 2).isin(*REGISTRIES)
+    size = F.when(country & (F.size(labels) > 2), 3).otherwise(2)
+    domain = F.when(named, F.array_join(F.slice(labels, -size, size), ".")).otherwise(host)
+    return host, domain, F.when(named, F.element_at(labels, -1))
 
 
 def markup_language(html: Column) -> Column:
@@ -167,14 +182,17 @@ def _smoothed(counts: DataFrame, by: str, above: DataFrame | None, on: str | Non
     return rows.select(by, F.array(*[(F.col(f"_{k}") + strength * F.get(prior, F.lit(k))) / (F.col("_all") + strength) for k in range(len(langs))]).alias("p"))
 
 
-def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
+def identify(records: DataFrame, fit_records: int = FIT_RECORDS, most_models: int = MODELS) -> DataFrame:
     """``records`` (text, declared, host, domain, suffix and any others) with
     language, probability, n_trigrams and kept in place of the text.
 
     Missing evidence (null) counts for nothing.  A text without letters is
-    judged by the rest, and kept only if some evidence is declared.  Values
-    that appear in the records only are all that is learned from; without any
-    declared language there is no model, and nothing is kept."""
+    judged by the rest, and kept only if some evidence is declared.  A record
+    whose declared language has no model, as it is rare or beyond the
+    ``most_models`` most frequent, keeps that language with the probability
+    ACCEPT where the models do not know its text.  Values that appear in the
+    records only are all that is learned from; without any declared language
+    nothing is kept."""
     scratch = Scratch(records.sparkSession, "langid")
     told = ["declared", "host", "domain", "suffix"]
     added = ["language", "probability", "n_trigrams", "kept"]
@@ -182,10 +200,11 @@ def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
     # Columns that take no part travel as one, so their names clash with none made here.
     row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("row")
     records = records.select(row, *told, F.coalesce("text", F.lit("")).alias("text"))
-    langs, models = fit_models(records, scratch, fit_records)
+    langs, models = fit_models(records, scratch, fit_records, most_models)
     shown = [*[F.col("row").getField(c).alias(c) for c in rest], *told]
     if not langs:
-        return records.select(*shown, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("probability"), F.lit(0).cast("long").alias("n_trigrams"), F.lit(False).alias("kept"))
+        told = F.col("declared").isNotNull()
+        return records.select(*shown, F.col("declared").alias("language"), F.when(told, ACCEPT).otherwise(0.0).alias("probability"), F.lit(0).cast("long").alias("n_trigrams"), told.alias("kept"))
     names = ["row", *told]
     fields = [T.StructField(f"c{k}", records.schema[c].dataType) for k, c in enumerate(names)]
     fields += [T.StructField("n", T.LongType()), T.StructField("mean", T.ArrayType(T.DoubleType()))]
@@ -231,14 +250,16 @@ def identify(records: DataFrame, fit_records: int = FIT_RECORDS) -> DataFrame:
     names_of = F.array(*[F.lit(x) for x in langs])
     # What the models make of known text, the mean of the records' best means.
     usual = scored.filter("n > 0").agg(F.avg(F.array_max("mean"))).first()[0] or 0.0
-    strange = (F.col("n") > 0) & (F.array_max("mean") < F.lit(usual - STRANGE) - STRANGE_SHORT / F.sqrt("n"))
+    strange = (F.col("n") > 0) & (F.array_max("mean") < F.lit(usual - STRANGE) - STRANGE_SHORT / F.sqrt(F.greatest("n", F.lit(1))))
     evident = (F.col("n") > 0) | F.col("declared").isNotNull()
+    known = evident & ~strange & (probability >= ACCEPT)
+    alone = ~known & F.col("declared").isNotNull() & ~F.col("declared").isin(*langs)
     return out.select(
         *shown,
-        F.get(names_of, (F.array_position("total", best) - 1).cast("int")).alias("language"),
-        probability.alias("probability"),
+        F.when(alone, F.col("declared")).otherwise(F.get(names_of, (F.array_position("total", best) - 1).cast("int"))).alias("language"),
+        F.when(alone, ACCEPT).otherwise(probability).alias("probability"),
         F.col("n").alias("n_trigrams"),
-        (evident & ~strange & (probability >= ACCEPT)).alias("kept"),
+        (known | alone).alias("kept"),
     )
 
 

@@ -366,3 +366,24 @@ def test_corpus_and_filter(spark, documents, edge, no_docs):
     assert kept.columns == edge.columns and kept.count() <= len(EDGE)
     assert {r["doc_id"] for r in kept.collect()} >= {1, 2}
     assert lang.keep_identified(no_docs).count() == 0
+
+
+def test_rare_languages_keep_what_they_declare(spark):
+    rows = [(1000 + i, prose(i, 60), "xx", None, None, None, None, None) for i in range(600)]
+    rows += [(100, "щука жаба вълна ръка " * 20, "bg", None, None, None, None, None), (101, "щука жаба вълна ръка " * 20, None, None, None, None, None, None)]
+    rows += [(200 + k, "ψάρι κύμα χέρι βουνό " * 20, "el", None, None, None, None, None) for k in range(5)]
+    out = {r["key"]: r for r in lang.identify(records(spark, rows), most_models=1).collect()}
+    assert [out[k]["kept"] for k in (1000, 100, 101, 200)] == [True, True, False, True]
+    assert [out[k]["language"] for k in (1000, 100, 200)] == ["xx", "bg", "el"] and out[100]["probability"] == lang.ACCEPT
+    few = lang.identify(records(spark, rows[600:602])).collect()  # no value is declared often enough for a model
+    assert sorted((r["key"], r["language"], r["kept"]) for r in few) == [(100, "bg", True), (101, None, False)]
+
+
+def test_hosts_of_registries_and_numbers(spark):
+    urls = ["http://www.bbc.co.uk/x", "https://co.uk", "http://10.1.2.3/a", "http://[2001:db8::1]:80/", "http://a.b.example.com.", "http://x.gov.au:8080/?q=a.b", "http://host", "ftp://u@a.co.example/"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = [tuple(r) for r in df.select(*lang.address(F.col("u"))).collect()]
+    assert got == [
+        ("www.bbc.co.uk", "bbc.co.uk", "uk"), ("co.uk", "co.uk", "uk"), ("10.1.2.3", "10.1.2.3", None), ("[2001:db8::1]", "[2001:db8::1]", None),
+        ("a.b.example.com", "example.com", "com"), ("x.gov.au", "x.gov.au", "au"), ("host", "host", None), ("a.co.example", "co.example", "example"),
+    ]
