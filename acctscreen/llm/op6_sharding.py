@@ -92,17 +92,33 @@ def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int
     return size, n
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+def next_map(spark: SparkSession, size: list[int], shards: int, maps: str) -> SlotMap:
+    """The last map stored at ``maps``, edited for the slots' new sizes, or the
+    first one; stored there as a version of its own."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(maps)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        slot_map = rebalance(SlotMap.read(spark, maps), size, shards)
+    else:
+        slot_map = first_map(size, shards)
+    slot_map.write(spark, maps)
+    return slot_map
+
+
+def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row.
 
+    ``maps`` is the folder of the corpus's slot maps: a run over new documents
+    or another number of shards edits the last one and moves few slots (the
+    number of slots stays).  Without it the run begins with a map of its own.
+
     The law is ``bytes``: shards differ by less than the largest slot.  A row
     has a ``slot`` in its shard, from 0 without gaps: virtual slots of a shard
     follow each other by number, rows in them by doc_id (null first)."""
     scratch = Scratch(docs.sparkSession, "shard")
     rows = scratch.store(measured(docs, slots), "rows")
     size, n = slot_sizes(rows, slots)
-    slot_map = first_map(size, shards)
-    slot_map.write(docs.sparkSession, f"{scratch.root}/map")
+    slot_map = next_map(docs.sparkSession, size, shards, maps or f"{scratch.root}/map")
     start, filled = [], [0] * shards
     for k, s in enumerate(slot_map.shard_of):
         start.append(filled[s])

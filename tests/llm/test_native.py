@@ -200,3 +200,19 @@ def test_slot_map_versions_move_little(spark, tmp_path):
     assert sharding.SlotMap.read(spark, str(tmp_path)).version == 3
     assert sharding.SlotMap.read(spark, str(tmp_path), 2) == grown
     assert set(sharding.SlotMap.read(spark, str(tmp_path)).shard_of) == set(range(10))
+
+
+def test_a_later_run_edits_the_stored_map(spark, documents, tmp_path):
+    maps = str(tmp_path / "maps")
+    first = sharding.shard_rows(documents, maps=maps).collect()
+    one = sharding.SlotMap.read(spark, maps)
+    more = documents.limit(20).withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    second = sharding.shard_rows(documents.unionByName(more), maps=maps).collect()
+    two = sharding.SlotMap.read(spark, maps)
+    assert (one.version, two.version) == (1, 2) and len(second) == len(first) + 20
+    place = {r["v_slot"]: r["shard"] for r in second}
+    assert all(place[k] == two.shard_of[k] for k in place)
+    moved = sum(r["size"] for r in first if place[r["v_slot"]] != r["shard"])
+    assert moved <= 0.3 * sum(r["size"] for r in first)
+    grown = sharding.shard_rows(documents, shards=25, maps=maps).collect()
+    assert sharding.SlotMap.read(spark, maps).version == 3 and {r["shard"] for r in grown} <= set(range(25))
