@@ -47,12 +47,13 @@ CLASSES = (
 )
 
 #: Candidates that are no secrets: examples, placeholders, one character or one
-#: alphabet repeated, identifiers in the form of a UUID, and paths with a suffix.
+#: alphabet repeated, identifiers in the form of a UUID, and paths, every part of
+#: which is shorter than a window (a part as long as a window is looked at).
 ALLOW = (
     r"EXAMPLE|[Ee]xample|PLACEHOLDER|[Pp]laceholder|CHANGEME|changeme",
     r"[Xx]{6}|0123456789|[Aa][Bb][Cc][Dd][Ee][Ff][Gg][Hh]",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[A-Za-z0-9_-]*/[a-z/_-]*/[A-Za-z0-9/_-]*$",
+    r"^(?!.*[A-Za-z0-9_-]{20})[A-Za-z0-9_-]*/[a-z/_-]*/[A-Za-z0-9/_-]*$",
 )
 
 SPAN = "array<struct<start:int,end:int,order:int,kind:string>>"

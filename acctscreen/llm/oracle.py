@@ -30,7 +30,7 @@ def _entropy(name: str, alphabet: str, window: int, bits: float, needs: tuple[st
     and not regexp_matches(s, 'EXAMPLE|[Ee]xample|PLACEHOLDER|[Pp]laceholder|CHANGEME|changeme')
     and not regexp_matches(s, '[Xx]{{6}}|0123456789|[Aa][Bb][Cc][Dd][Ee][Ff][Gg][Hh]')
     and not regexp_matches(s, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
-    and not regexp_matches(s, '^[A-Za-z0-9_-]*/[a-z/_-]*/[A-Za-z0-9/_-]*$')),
+    and not (regexp_matches(s, '^[A-Za-z0-9_-]*/[a-z/_-]*/[A-Za-z0-9/_-]*$') and not regexp_matches(s, '[A-Za-z0-9_-]{{20}}'))),
 {name}_h as (select doc_id, a, i from {name}_w where list_aggregate(regexp_extract_all(substring(s, i + 1, {window}), '.'), 'entropy') >= {bits}),
 {name}_g as (select *, sum(new) over (partition by doc_id, a order by i) as g from (
     select *, case when i - lag(i) over (partition by doc_id, a order by i) <= {window} then 0 else 1 end as new from {name}_h)),

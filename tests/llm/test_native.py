@@ -86,6 +86,17 @@ def test_entropy_is_a_sliding_window_with_an_allow_list(spark):
     assert rows[3][0]["start"] <= len(low) and rows[3][0]["end"] < rows[3][1]["start"]
 
 
+def test_a_path_is_no_secret_but_a_key_behind_one_is(spark):
+    rng, letters = random.Random(8), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = "aB3xQ9zLmN0pRsT7uVwXyK2j"
+    keys = ["".join(rng.choice(letters + "/") for _ in range(16)) + "/" + "".join(rng.choice(letters) for _ in range(24)) for _ in range(300)]
+    texts = ["src/main/Az9/components/Bq7Zx", f"app/config/{key}", f"{key}/app/config/v2", "a1B/" * 30_000, *keys]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: len(r["entropy_spans"]) for r in secrets.find_secrets(df).collect()}
+    assert not found[0] and found[1] and found[2]
+    assert sum(found[i] > 0 for i in range(4, len(texts))) >= 290
+
+
 def test_secrets_of_edge_rows(edge, no_docs):
     assert secrets.secret_digest(edge).count() == len(EDGE)
     assert {"row", "_k", "key", "base_spans"} <= set(secrets.find_secrets(edge).columns)
