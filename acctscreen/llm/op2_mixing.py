@@ -3,7 +3,8 @@
 Words are added up per source, targets follow from the sources' weights,
 and a document of a source with repetition rate r is emitted floor(r) times
 plus once more with probability r - floor(r).  That draw compares a number
-that a hash of (seed, doc_id) gives with the fraction, so reruns agree.
+that a hash of (seed, doc_id, text) gives with the fraction, so reruns agree
+and rows without an id of their own are drawn one by one.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) that depends on seed and doc_id alone (null id: as '')."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def draw(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) that depends on seed, doc_id and text alone (null: as '')."""
+    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -56,23 +57,24 @@ def source_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, w
     return scratch.store(per.select("source", "source_size", target.cast("double").alias("target")), "targets")
 
 
-def copies(target: Column, source_size: Column, doc_id: Column, seed: str) -> Column:
+def copies(target: Column, source_size: Column, drawn: Column) -> Column:
     rate = F.when(source_size > 0, target / source_size).otherwise(F.lit(0.0))
-    return (F.floor(rate) + (draw(doc_id, seed) < rate - F.floor(rate)).cast("long")).cast("long")
+    return (F.floor(rate) + (drawn < rate - F.floor(rate)).cast("long")).cast("long")
 
 
 def mix_plan(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of ``docs``.
-    A null text has size 0; rows of equal doc_id draw the same number."""
+    A null text has size 0; rows equal in doc_id and text draw the same number."""
     scratch = Scratch(docs.sparkSession, "mix")
-    sizes = scratch.store(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
-    return _planned(sizes, source_targets(sizes), seed).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    drawn = draw(F.col("doc_id"), F.col("text"), seed).alias("drawn")
+    sizes = scratch.store(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), drawn), "sizes")
+    return _planned(sizes, source_targets(sizes)).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def _planned(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
+def _planned(rows: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.withColumnRenamed("source", "_source")
     out = rows.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return out.withColumn("copies", copies(F.col("target"), F.col("source_size"), F.col("doc_id"), seed))
+    return out.withColumn("copies", copies(F.col("target"), F.col("source_size"), F.col("drawn")))
 
 
 def mix(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
@@ -81,7 +83,8 @@ def mix(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     columns = docs.columns
     kept = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
     sizes = docs.select("source", n_words(F.col("text")).alias("size"))
-    rows = docs.select(kept).select("row", F.col("row.source").alias("source"), F.col("row.doc_id").alias("doc_id"))
-    planned = _planned(rows, source_targets(sizes), seed).filter("copies > 0")
+    drawn = draw(F.col("row.doc_id"), F.col("row.text"), seed).alias("drawn")
+    rows = docs.select(kept).select("row", F.col("row.source").alias("source"), drawn)
+    planned = _planned(rows, source_targets(sizes)).filter("copies > 0")
     many = planned.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return many.select(*[F.col("row").getField(c).alias(c) for c in columns])

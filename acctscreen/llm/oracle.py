@@ -59,7 +59,7 @@ from d left join per using (doc_id)
 """
 
 _MIX = r"""
-with recursive d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents),
+with recursive d as (select doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents),
 s as (select source, sum(size)::bigint as source_size, [3, 1, 2][(row_number() over (order by source collate "C" nulls last) - 1) % 3 + 1] as w from d group by source),
 r(round, full_n, rate) as (
     select 0, -1, 0::double
@@ -71,7 +71,7 @@ r(round, full_n, rate) as (
     where x.rate is not null and x.n > r.full_n),
 t as (select source, source_size, least(source_size * 2.0::double, w * (select arg_max(rate, round) from r)) as target from s),
 e as (select doc_id, size, source_size, target, case when source_size > 0 then target / source_size else 0 end as rate,
-    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496::double as u
+    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')), 1, 13))::bigint / 4503599627370496::double as u
     from d join t on d.source is not distinct from t.source)
 select doc_id, size::bigint as size, source_size, target::double as target, ((floor(rate) + (u < rate - floor(rate))::int) * size)::bigint as taken from e
 """

@@ -146,10 +146,19 @@ def test_targets_and_taken_words(spark, documents):
 
 
 def test_draws_are_even(spark):
-    u = sorted(r[0] for r in spark.range(4000).select(mixing.draw(F.col("id"), "mix-1")).collect())
+    u = sorted(r[0] for r in spark.range(4000).select(mixing.draw(F.col("id"), F.lit(None).cast("string"), "mix-1")).collect())
     assert max(abs(x - (i + 0.5) / 4000) for i, x in enumerate(u)) < 0.03
 
 
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"w{i} " * (1 + i % 7), "nameless") for i in range(3000)] + [(i, f"v{i} " * (1 + i % 7), "named") for i in range(3000)]
+    plan = mixing.mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for named in (False, True):
+        part = [r for r in plan if (r["doc_id"] is not None) is named]
+        assert 0.95 < sum(r["taken"] for r in part) / part[0]["target"] < 1.05
+        assert len({r["taken"] / r["size"] for r in part}) == (2 if part[0]["target"] % part[0]["source_size"] else 1)
+
+
 def test_mixing_edge_rows(spark, edge, no_docs):
     plan = mixing.mix_plan(edge).collect()
     size = defaultdict(int)
