@@ -117,17 +117,52 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps:
     follow each other by number, rows in them by doc_id (null first)."""
     scratch = Scratch(docs.sparkSession, "shard")
     rows = scratch.store(measured(docs, slots), "rows")
-    size, n = slot_sizes(rows, slots)
-    slot_map = next_map(docs.sparkSession, size, shards, maps or f"{scratch.root}/map")
+    return _placed(rows, rows, ["doc_id", "text_crc32", "size", "copy"], shards, slots, maps or f"{scratch.root}/map").select("doc_id", *PLACE)
+
+
+#: What sharding adds to a row.
+PLACE = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "v_slot"]
+
+
+def _placed(rows: DataFrame, sizes: DataFrame, order: list[str], shards: int, slots: int, maps: str) -> DataFrame:
+    """``rows`` with shard and slot; ``sizes`` has size and v_slot of the same rows."""
+    spark = rows.sparkSession
+    size, n = slot_sizes(sizes, slots)
+    slot_map = next_map(spark, size, shards, maps)
     start, filled = [], [0] * shards
     for k, s in enumerate(slot_map.shard_of):
         start.append(filled[s])
         filled[s] += n[k]
     # One row for each virtual slot: its size is set by ``slots``, not by the data.
-    placed = docs.sparkSession.createDataFrame([(k, s, start[k]) for k, s in enumerate(slot_map.shard_of)], "v_slot int, shard int, start long")
-    within = F.row_number().over(Window.partitionBy("v_slot").orderBy("doc_id", "text_crc32", "size", "copy")) - 1
-    return (
-        rows.withColumn("within", within)
-        .join(F.broadcast(placed), "v_slot")
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("start") + F.col("within")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "v_slot")
+    placed = spark.createDataFrame([(k, s, start[k]) for k, s in enumerate(slot_map.shard_of)], "v_slot int, shard int, start long")
+    within = F.row_number().over(Window.partitionBy("v_slot").orderBy(*order)) - 1
+    return rows.withColumn("within", within).join(F.broadcast(placed), "v_slot").withColumns(
+        {"law": F.lit("bytes"), "slot": F.col("start") + F.col("within"), "grown_shard": F.lit(None).cast("int")}
     )
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
+    """The rows of ``docs`` themselves, with the columns of ``shard_rows``: what
+    a writer of shards needs, rows of a virtual slot beside each other.
+
+    Columns of ``docs`` named like one of PLACE give way to it.  Equal rows meet
+    once in a shuffle, so copies cost a number there and not a text each, and
+    are told apart by a running number.  Slots' sizes are counted before
+    without the texts, which stand there by their length and two hashes."""
+    scratch = Scratch(docs.sparkSession, "shard")
+    col = lambda c: F.col(f"`{c}`")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    mark = F.xxhash64(*[col(c) for c in docs.columns]).alias("mark")
+    facts = [(F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), mark]
+
+    def numbered_copies(alike: DataFrame, doc_id: str) -> DataFrame:
+        each = alike.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).drop("n")
+        return each.withColumn("v_slot", F.pmod(F.xxhash64(doc_id, "text_crc32", "mark", "copy"), F.lit(slots)).cast("int"))
+
+    rest = F.struct(*[col(c) for c in docs.columns if c != "text"]).alias("rest")
+    few = docs.select(rest, *facts).groupBy("rest", "size", "text_crc32", "mark").agg(F.count(F.lit(1)).alias("n"))
+    sizes = scratch.store(numbered_copies(few, "rest.doc_id").select("size", "v_slot"), "sizes")
+    row = F.struct(*[col(c) for c in docs.columns]).alias("row")
+    whole = docs.select(row, *facts).groupBy("row", "size", "text_crc32", "mark").agg(F.count(F.lit(1)).alias("n"))
+    out = _placed(numbered_copies(whole, "row.doc_id"), sizes, ["row.doc_id", "text_crc32", "size", "mark", "row", "copy"], shards, slots, maps or f"{scratch.root}/map")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in PLACE], *PLACE)

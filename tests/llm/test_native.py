@@ -204,6 +204,23 @@ def test_equal_rows_spread_over_shards(spark, edge, no_docs):
     assert max(load.values()) - min(load.values()) <= 11 * 8
 
 
+def test_sharded_documents_keep_their_columns(spark, edge, no_docs, documents):
+    rows = documents.unionByName(documents.limit(30)).unionByName(documents.limit(10).withColumn("lang", F.lit("zz")))
+    out = sharding.shard_documents(rows).collect()
+    assert Counter(tuple(r[c] for c in rows.columns) for r in out) == Counter(tuple(r) for r in rows.collect())
+    load = check_shards(out, [(r["doc_id"], r["text"]) for r in rows.collect()])
+    assert len(load) == 24 and max(load.values()) - min(load.values()) <= max(r["size"] for r in out)
+    again = sharding.shard_documents(rows.repartition(7)).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(map(tuple, again), key=repr)
+    odd = sharding.shard_documents(edge.withColumns({"slot": F.lit("mine"), "size": F.lit(-1)}))
+    assert odd.columns == [*edge.columns, *sharding.PLACE]
+    check_shards(odd.collect(), [r[:2] for r in EDGE])
+    assert sharding.shard_documents(no_docs).count() == 0
+    same = spark.createDataFrame([(1, "abc")] * 2400, "doc_id long, text string")
+    load = check_shards(sharding.shard_documents(same).collect(), [(1, "abc")] * 2400)
+    assert max(load.values()) - min(load.values()) <= 11 * 8
+
+
 def test_slot_map_versions_move_little(spark, tmp_path):
     rng = random.Random(3)
     size = [rng.randint(1, 100) for _ in range(4096)]
