@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -229,6 +230,52 @@ def test_randomised_svd_finds_the_space(spark):
     assert np.linalg.norm(a @ space) ** 2 >= 0.97 * (s[:8] ** 2).sum()
 
 
+def test_a_text_that_keeps_enough_of_an_item_keeps_two_rare_words():
+    for n in range(2, 200):
+        kept = math.ceil(clean.LCS * n)
+        assert clean.rarer(n) - (n - kept) >= min(2, kept) and clean.rarer(n) <= n
+
+
+def every_window(items, texts):
+    """(text, item) of all leaks: each item against every window of each text."""
+    out = set()
+    words = [w.view(np.int64) for w in clean.hash_words(texts, clean.PUNCTUATION, latin=True)]
+    for d, h in enumerate(words):
+        for k, w in enumerate(items.words):
+            width = clean.PASSAGE + 2 * len(w)
+            known = np.isin(h, w)
+            if known.sum() < clean.LCS * len(w):
+                continue
+            for a in range(0, max(1, len(h) - width + len(w)), max(1, len(w) // 2)):
+                if clean.is_leak(w, items.answer[k], h[a : a + width])[0]:
+                    out.add((d, k))
+                    break
+    return out
+
+
+@pytest.mark.parametrize("share", [1.0, 0.8, 0.6])
+def test_recall_against_every_window(spark, share):
+    """Items of 5 to 60 words, kept to a share and put into other text: of what
+    a search over all windows finds, candidates must hold nine tenths."""
+    r = random.Random(int(share * 10))
+    bench = [(k, prose(2000 + k, 5 + k, 3000)) for k in range(56)]
+    items = clean._items(bench)
+    texts = []
+    for _, t in bench:
+        w = t.split()
+        keep = sorted(r.sample(range(len(w)), math.ceil(share * len(w))))
+        said = [w[i] for i in keep]
+        for _ in range(len(w) - len(keep)):
+            said.insert(r.randrange(len(said) + 1), r.choice(["also", "then", "some"]))
+        texts.append(f"{prose(r.randrange(10**6), r.randrange(20, 60), 3000)} {' '.join(said)} {prose(r.randrange(10**6), 50, 3000)}")
+    docs = spark.createDataFrame([(d, t) for d, t in enumerate(texts + [prose(5000 + i, 100, 3000) for i in range(40)])], "doc_id long, text string")
+    want = every_window(items, texts)
+    got = {(x["doc_id"], x["item_id"]) for x in clean.find_leaks(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    print(f"share {share}: {len(got & want)} of {len(want)}; short items {len([1 for d, k in want - got if k < 27])} missed")
+    assert len(want) >= (40 if share > 0.6 else 20)
+    assert len(got & want) >= 0.9 * len(want)
+
+
 def test_passages_of_a_column_are_the_same_words():
     texts = ["Éa, b_c D9! e", "", None, "x" * 5]
     got = [[h[at[i] : at[i + 1]].tolist() for i in range(len(at) - 1)] for _, h, at in clean.word_hashes(pa.array(texts))]
@@ -247,7 +294,7 @@ def test_stages_and_run(spark, documents):
         out = stage(spark, docs, SF).collect()
         sizes.append(len(out))
         if name == "sharding":
-            assert Counter(r["doc_id"] for r in out) == Counter(r["doc_id"] for r in before)
+            assert Counter((r["doc_id"], r["text"], r["source"]) for r in out) == Counter((r["doc_id"], r["text"], r["source"]) for r in before)
             break
         assert out[0].__fields__ == documents.columns
         ids = Counter(r["doc_id"] for r in out)
