@@ -34,8 +34,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and the place in it of every row."""
-    return op6_sharding.shard_rows(docs)
+    """Every row, text and all, with its shard and its place there."""
+    return op6_sharding.shard_documents(docs)
 
 
 STAGES = [
