@@ -24,8 +24,9 @@ WORDS = 5
 SIMILARITY = 0.8
 TREES, DEPTH, LEAST_DEPTH = 24, 7, 4
 RECALL = 0.9995
-#: Texts that one task holds on either side of an exact check.
-BLOCK = 256
+#: Texts, and shingles of them, that a block of an exact check holds on average
+#: at most (a text is never cut); a task holds two blocks.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 _SEED = np.random.default_rng(20240131)
 _A = _SEED.integers(1, 1 << 63, TREES * DEPTH, np.uint64) | np.uint64(1)
 _B = _SEED.integers(0, 1 << 63, TREES * DEPTH, np.uint64)
@@ -76,7 +77,7 @@ def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out.T
 
 
-_SIGNED = "key long, doc_id long, text_hash long, set_a long, set_b long, signature binary"
+_SIGNED = "key long, doc_id long, text_hash long, set_a long, set_b long, shingles long, signature binary"
 
 
 def _signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +99,8 @@ def _signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ident = [np.add.reduceat(mix(hs[new] ^ np.uint64(s)), first).view(np.int64) for s in (1, 2)]
             take, sig = pa.array(a + rows), np.ascontiguousarray(sig)
             yield pa.RecordBatch.from_arrays(
-                [key.take(take).cast(pa.int64()), doc_id.take(take).cast(pa.int64()), text_hash.take(take).cast(pa.int64()), *map(pa.array, ident), pa.array([x.tobytes() for x in sig], pa.binary())],
-                names=["key", "doc_id", "text_hash", "set_a", "set_b", "signature"],
+                [key.take(take).cast(pa.int64()), doc_id.take(take).cast(pa.int64()), text_hash.take(take).cast(pa.int64()), *map(pa.array, ident), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary())],
+                names=["key", "doc_id", "text_hash", "set_a", "set_b", "shingles", "signature"],
             )
 
 
@@ -273,7 +274,7 @@ def grouped(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     by_set = signed.groupBy("set_a", "set_b").agg(F.min("key").alias("doc"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("set_id"))
     sets = scratch.store(by_set, "sets")
     reps = signed.withColumnRenamed("key", "doc").join(sets.select("doc", "copies"), "doc")
-    reps = scratch.store(reps.select("doc", "doc_id", "text_hash", "copies", "signature"), "reps")
+    reps = scratch.store(reps.select("doc", "doc_id", "text_hash", "copies", "shingles", "signature"), "reps")
     depth = depth_for(threshold)
 
     # Texts that share a prefix hang on the least of them: one edge a text and tree.
@@ -282,9 +283,10 @@ def grouped(docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     edges = leaves.join(star, "p").filter("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b"))
     groups = components(edges, scratch, "candidates")
     members = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "doc")
-    sizes = members.groupBy(_by("root")).agg(F.count(F.lit(1)).alias("n")).select("_by.root", "n")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    placed = members.join(sizes, "root").join(reps.drop("signature"), "doc")
+    members = scratch.store(members.join(reps.drop("signature"), "doc"), "members")
+    sizes = members.groupBy(_by("root")).agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("all")).select("_by.root", "n", "all")
+    blocks = F.least("n", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)))
+    placed = members.join(sizes, "root")
     placed = placed.select("doc", "root", "copies", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).alias("block"), F.xxhash64("doc_id", "text_hash").alias("_k"))
     placed = scratch.store(placed, "placed")
 

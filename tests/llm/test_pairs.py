@@ -61,10 +61,12 @@ def near_rows():
     return rows
 
 
-def test_join_equals_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "block_shingles"), [(8, 1 << 20), (256, 900), (256, 1)])
+def test_join_equals_brute_force(spark, monkeypatch, block, block_shingles):
     rows = near_rows()
     want = brute([r[:2] for r in rows])
-    monkeypatch.setattr(forest, "BLOCK", 8)
+    monkeypatch.setattr(forest, "BLOCK", block)
+    monkeypatch.setattr(forest, "BLOCK_SHINGLES", block_shingles)
     got = forest.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
     assert sorted((tuple(r) for r in got), key=repr) == want
 
