@@ -2,9 +2,10 @@
 
 Benchmark items and documents are cut into passages of words, weighted by
 TF-IDF over the benchmark's terms (frequencies are those of all passages of
-the corpus).  A randomised SVD, whose products run as Spark jobs over the
-passages, gives a latent space; document passages whose cosine with an
-item's passage reaches a limit are candidates.  A candidate is a leak if the
+the corpus).  Products of the weights of two terms are summed over all
+passages; a randomised SVD, whose products run as Spark jobs over these sums,
+gives a latent space.  Document passages whose cosine with an item's passage
+reaches a limit are candidates.  A candidate is a leak if the
 longest common subsequence of the item and the text around the passage
 covers most of the item, and, unless it covers nearly all, if the item's
 answer is there too.
@@ -24,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctscreen.llm.common import PUNCTUATION, Scratch, chunks, fold_case, hash_spans, hash_words, least_by_hash, text_bytes, word_bounds
+from acctscreen.llm.common import PUNCTUATION, Scratch, chunks, fold_case, hash_spans, hash_words, text_bytes, word_bounds
 
 #: Words of a passage; the next one begins half a passage later.
 PASSAGE = 32
 ITEMS, RANK, OVERSAMPLING, ROUNDS = 1024, 256, 16, 2
-#: Documents whose passages, besides the benchmark's, the latent space is fitted to.
-FIT_DOCS = 64
+#: Sums of term pairs that a task holds at once (more are counted in as many
+#: passes over the documents), and that a row of the stored sums holds.
+HELD, STORED = 1 << 24, 1 << 15
+#: A product of 1 in these sums: whole numbers add up alike in any order.
+UNIT = 1 << 24
 COSINE = 0.45
 LCS, NEARLY_ALL, ANSWER = 0.6, 0.8, 0.5
 _HALF = PASSAGE // 2
@@ -125,19 +129,110 @@ def _vector(terms: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return t, n * idf[t]
 
 
-def _gram(q: np.ndarray, idf: np.ndarray, vocabulary: Vocabulary):
-    """Sum over passages a of a (a q), with a of unit length; rows go out in blocks of terms."""
+def _weights(h: np.ndarray, at: np.ndarray, vocabulary: Vocabulary, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Passage, term and weight of the TF-IDF matrix of a few texts, by passage
+    and term, and each passage's text; the passages have unit length."""
+    half, row, _ = _blocks(h, at)
+    if not len(row):
+        return *(np.zeros(0, np.int64),) * 2, np.zeros(0), row
+    pos, term = vocabulary.find(h)
+    block = half[pos]
+    same = np.append(row[1:] == row[:-1], False)  # the next half is of the same text
+    first = np.append(True, ~same[:-1])
+    # The last half of a text begins no passage, unless it is the only one.
+    begins, ends = (same | first)[block], ~first[block]
+    key, n = np.unique(np.append(block[begins] * len(idf) + term[begins], (block[ends] - 1) * len(idf) + term[ends]), return_counts=True)
+    passage, term = np.divmod(key, len(idf))
+    w = n * idf[term]
+    return passage, term, w / np.sqrt(np.maximum(np.bincount(passage, w * w, len(row)), 1e-24))[passage], row
+
+
+def _row_starts(terms: int) -> np.ndarray:
+    """Places at which the rows of an upper triangle begin, and its size."""
+    return np.append(0, np.cumsum(np.arange(terms, 0, -1)))
+
+
+def _row_ranges(start: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of rows of up to ``most`` entries together (a longer row alone)."""
+    out, a = [], 0
+    while a < len(start) - 1:
+        b = max(a + 1, int(np.searchsorted(start, start[a] + most, "right")) - 1)
+        out.append((a, b))
+        a = b
+    return out
+
+
+def _pairs(vocabulary: Vocabulary, idf: np.ndarray, rows: tuple[int, int]):
+    """Sums over passages of the products of two terms' weights, for first
+    terms of ``rows``: the upper triangle, its diagonal halved."""
+    start = _row_starts(len(idf))
+    lo, hi = rows
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(start[hi] - start[lo], np.int64)
+        for batch in batches:
+            factor = batch.column(1).to_numpy() * UNIT
+            for a, h, at in word_hashes(batch.column(0)):
+                passage, term, w, row = _weights(h, at, vocabulary, idf)
+                place = start[term] - start[lo] - term
+                left = np.flatnonzero((term >= lo) & (term < hi))
+                w_left = w * factor[a + row[passage]]
+                np.add.at(total, place[left] + term[left], np.rint(w_left[left] * w[left] / 2).astype(np.int64))
+                for k in range(1, PASSAGE):
+                    left = left[: np.searchsorted(left, len(term) - k)]
+                    left = left[passage[left] == passage[left + k]]
+                    if not len(left):
+                        break
+                    np.add.at(total, place[left] + term[left + k], np.rint(w_left[left] * w[left + k]).astype(np.int64))
+        for a, b in _row_ranges(start, STORED):
+            a, b = max(a, lo), min(b, hi)
+            part = total[start[a] - start[lo] : start[b] - start[lo]] if a < b else total[:0]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([a]), pa.array([b]), pa.array([part.tobytes()], pa.binary())], names=["first", "last", "part"])
+
+    return add
+
+
+_SUMS = "first long, last long, part binary"
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = 0
+    for part in table.column("part"):
+        total = total + np.frombuffer(part.as_buffer(), np.int64)
+    return pa.table({"first": table.column("first").slice(0, 1), "last": table.column("last").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+
+
+def term_products(passages: DataFrame, vocabulary: Vocabulary, idf: np.ndarray) -> DataFrame:
+    """The TF-IDF matrix's products of two columns over the passages of all
+    rows (text, weight): first and last term of a range of rows, and their
+    part of the upper triangle, in units of 1/UNIT.
+
+    A task's sums do not grow with its rows, so there is a task for each
+    core rather than for each split."""
+    cores = passages.sparkSession.sparkContext.defaultParallelism
+    start = _row_starts(len(idf))
+    parts = None
+    for rows in _row_ranges(start, HELD):
+        part = passages.coalesce(cores).mapInArrow(_pairs(vocabulary, idf, rows), _SUMS)
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.groupBy("first", "last").applyInArrow(_added, _SUMS)
+
+
+def _product(q: np.ndarray):
+    """Stored sums times q; rows go out in blocks of terms."""
+    start = _row_starts(len(q))
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(q)
         for batch in batches:
-            for _, h, at in word_hashes(batch.column(0)):
-                for r in range(len(at) - 1):
-                    for terms in _passages(h[at[r] : at[r + 1]], vocabulary):
-                        if len(terms):
-                            t, w = _vector(terms, idf)
-                            w = w / max(np.linalg.norm(w), 1e-12)
-                            total[t] += np.outer(w, w @ q[t])
+            for a, b, part in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                flat = np.frombuffer(part, np.int64)
+                upper = np.zeros((b - a, len(q) - a))
+                for r in range(a, b):
+                    upper[r - a, r - a :] = flat[start[r] - start[a] : start[r + 1] - start[a]]
+                total[a:b] += upper @ q[a:] / UNIT
+                total[a:] += upper.T @ q[a:b] / UNIT
         k = [a for a in range(0, len(total), 256) if total[a : a + 256].any()]
         yield pa.RecordBatch.from_arrays([pa.array(np.array(k, np.int64)), pa.array([total[a : a + 256].tobytes() for a in k], pa.binary())], names=["block", "part"])
 
@@ -149,25 +244,29 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block").slice(0, 1), "part": pa.array([np.sum(parts, axis=0).tobytes()], pa.binary())})
 
 
-def latent_space(passages: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
+def latent_space(passages: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, rank: int = RANK, seed: int = 7, scratch: Scratch | None = None) -> np.ndarray:
     """Terms by dimensions: an orthonormal basis of the leading right singular
     vectors of the passages' TF-IDF matrix, by the randomised range finder
-    with ``ROUNDS`` power iterations.  Each product with the matrix is one
-    Spark job over ``passages`` (column text); the basis is as large as the
-    block's vocabulary, whatever the corpus."""
+    with ``ROUNDS`` power iterations.  All rows of ``passages`` (column text,
+    and weight if not 1) are read once for the terms' products, which are
+    stored; each product with them is one Spark job.  They and the basis are
+    as large as the block's vocabulary asks, whatever the corpus."""
     terms = len(vocabulary.hashes)
     k = min(terms, rank + OVERSAMPLING)
     q = np.random.default_rng(seed).standard_normal((terms, k))
+    passages = passages.select("text", F.col("weight") if "weight" in passages.columns else F.lit(1.0).alias("weight"))
+    scratch = scratch or Scratch(passages.sparkSession, "space")
+    sums = scratch.store(term_products(passages, vocabulary, idf), "products")
     for _ in range(ROUNDS):
         q, _ = np.linalg.qr(q)
-        parts = passages.mapInArrow(_gram(q, idf, vocabulary), "block long, part binary").groupBy("block").applyInArrow(_summed, "block long, part binary").collect()
+        parts = sums.mapInArrow(_product(q), "block long, part binary").groupBy("block").applyInArrow(_summed, "block long, part binary").collect()
         z = np.zeros((terms, k))
         for row in parts:
             part = np.frombuffer(row["part"], np.float64).reshape(-1, k)
             z[row["block"] : row["block"] + len(part)] = part
         u, s, _ = np.linalg.svd(z, full_matrices=False)
         q = u
-    return u[:, : min(rank, k)][:, s[: min(rank, k)] > 1e-9]
+    return u[:, : min(rank, k)][:, s[: min(rank, k)] > 1e-6 * s[0]]
 
 
 @dataclass(frozen=True)
@@ -191,8 +290,10 @@ def rarer(n: int) -> int:
     return min(n, max(n // 2, n - math.ceil(LCS * n) + 2))
 
 
-def build_index(items: Items, docs: DataFrame, fit_docs: DataFrame, seed: int = 7) -> Index:
-    spark = docs.sparkSession
+def build_index(items: Items, own: DataFrame, docs: DataFrame, seed: int = 7, scratch: Scratch | None = None) -> Index:
+    """``own`` holds the items' texts.  The latent space is fitted to them and
+    to every document; both weigh the same, so that the benchmark's terms keep
+    their share of it in a corpus of any size."""
     vocabulary = Vocabulary(np.unique(np.concatenate(items.words)))
     counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df, total = np.zeros(len(vocabulary.hashes)), 0
@@ -202,7 +303,9 @@ def build_index(items: Items, docs: DataFrame, fit_docs: DataFrame, seed: int =
         else:
             df[r["term"]] = r["n"]
     idf = np.log((total + 1) / (df + 1)) + 0.01
-    space = latent_space(fit_docs, vocabulary, idf, seed=seed)
+    passages = sum(len(_passages(w, vocabulary)) for w in items.words)
+    both = docs.select("text", F.lit(1.0).alias("weight")).unionByName(own.select("text", F.lit(max(total, 1) / passages).alias("weight")).coalesce(1))
+    space = latent_space(both, vocabulary, idf, seed=seed, scratch=scratch)
     vectors, item_of, rare = [], [], np.zeros(len(idf), np.int64)
     for k, w in enumerate(items.words):
         for terms in _passages(w, vocabulary):
@@ -240,8 +343,9 @@ def is_leak(item: np.ndarray, answer: int, region: np.ndarray) -> tuple[bool, fl
     return share >= LCS and common_subsequence(part, region) >= ANSWER * len(part), share
 
 
-def candidates(index: Index, h: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(row, first word, item) of passages whose cosine with an item's reaches the limit.
+def candidates(index: Index, h: np.ndarray, at: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """(row, first word, item) of passages whose cosine with an item's reaches
+    the limit; ``known`` are the places and terms of the benchmark's words.
 
     A passage with fewer than two rare words of the benchmark is left out
     before: a text that keeps a share of LCS of an item's words keeps two of
@@ -249,7 +353,7 @@ def candidates(index: Index, h: np.ndarray, at: np.ndarray) -> Iterator[tuple[in
     half, row, first = _blocks(h, at)
     if not len(row):
         return
-    pos, term = index.vocabulary.find(h)
+    pos, term = known
     block = half[pos]
     score = np.bincount(block, index.rare[term], len(row))
     follows = np.append(row[1:] == row[:-1], False)
@@ -279,15 +383,24 @@ def candidates(index: Index, h: np.ndarray, at: np.ndarray) -> Iterator[tuple[in
 
 def leaks_of(index: Index, column: pa.Array) -> Iterator[tuple[int, int, float, int]]:
     """(row, item, share, first word of the passage) of each leak in a column of texts."""
+    terms_of: dict[int, np.ndarray] = {}
     for a, h, at in word_hashes(column):
         best: dict[tuple[int, int], tuple[float, int]] = {}
         tried = set()
-        for row, first, item in candidates(index, h, at):
+        pos, term = index.vocabulary.find(h)
+        before = np.searchsorted(pos, np.arange(len(h) + 1))  # known words before each word
+        for row, first, item in candidates(index, h, at, (pos, term)):
             words = index.items.words[item]
             if (row, first, item) in tried or best.get((row, item), (0.0,))[0] == 1.0:
                 continue
             tried.add((row, first, item))
             lo, hi = max(at[row], first - len(words)), min(at[row + 1], first + PASSAGE + len(words))
+            if item not in terms_of:
+                terms_of[item] = np.zeros(len(index.idf), bool)
+                terms_of[item][index.vocabulary.find(words)[1]] = True
+            # No common subsequence is longer than the words there that the item has.
+            if np.count_nonzero(terms_of[item][term[before[lo] : before[hi]]]) / len(words) < LCS:
+                continue
             leak, share = is_leak(words, index.items.answer[item], h[lo:hi])
             if leak and share > best.get((row, item), (0.0,))[0]:
                 best[row, item] = share, first - int(at[row])
@@ -307,16 +420,12 @@ def item_blocks(benchmark: DataFrame, per_block: int = ITEMS) -> Iterator[list[t
             yield rows
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> Iterator[Index]:
-    """An index for each block of items; the fit's sample of documents is the
-    FIT_DOCS least by hash of id and text."""
+def _indexes(docs: DataFrame, benchmark: DataFrame, label: str) -> Iterator[Index]:
+    """An index for each block of items, fitted to all documents."""
     spark = docs.sparkSession
-    sample = None
-    for rows in item_blocks(benchmark):
-        if sample is None:
-            sample = scratch.store(least_by_hash(docs.select("doc_id", "text"), ["doc_id", "text"], FIT_DOCS).select("text"), "sample")
+    for k, rows in enumerate(item_blocks(benchmark)):
         own = spark.createDataFrame(rows, "item_id long, text string").select("text")
-        yield build_index(_items(rows), docs, own.unionByName(sample))
+        yield build_index(_items(rows), own, docs, scratch=Scratch(spark, f"{label}-{k}"))
 
 
 _LEAKS = "doc_id long, item_id long, share double, first_word long"
@@ -343,7 +452,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     out = spark.createDataFrame([], _LEAKS)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    for index in _indexes(docs, benchmark, Scratch(spark, "leaks")):
+    for index in _indexes(docs, benchmark, "leaks"):
         out = out.unionByName(docs.mapInArrow(_finder(index), _LEAKS))
     return out
 
@@ -363,6 +472,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a leak.  All columns stay."""
     names = docs.columns
     out = docs
-    for index in _indexes(docs.select("doc_id", "text"), benchmark, Scratch(docs.sparkSession, "clean")):
+    for index in _indexes(docs.select("doc_id", "text"), benchmark, "clean"):
         out = out.mapInArrow(_cleaner(index, names.index("text")), docs.schema)
     return out

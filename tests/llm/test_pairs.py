@@ -232,6 +232,71 @@ def test_randomised_svd_finds_the_space(spark):
     assert np.linalg.norm(a @ space) ** 2 >= 0.97 * (s[:8] ** 2).sum()
 
 
+def fitted_docs():
+    """Many more documents than a small sample holds, each with its own pair of
+    frequent terms of the benchmark."""
+    bench = [(k, prose(3000 + k, 50, 3000), 1) for k in range(30)]
+    terms = sorted({w for _, t, _ in bench for w in t.split()})
+    r = random.Random(4)
+    docs = []
+    for d in range(400):
+        two = r.sample(terms, 2)
+        docs.append((d, " ".join(two[i % 2] if i % 3 else prose(d * 40 + i, 1) for i in range(48))))
+    return bench, docs + [(None, None), (3, ""), (4, "?!")]
+
+
+def passage_rows(texts, vocabulary, idf):
+    out = []
+    for w in clean.hash_words([t or "" for t in texts], clean.PUNCTUATION, latin=True):
+        for terms in clean._passages(w.view(np.int64), vocabulary):
+            if len(terms):
+                t, x = clean._vector(terms, idf)
+                out.append(np.zeros(len(idf)))
+                out[-1][t] = x / np.linalg.norm(x)
+    return np.array(out)
+
+
+def test_the_latent_space_is_fitted_to_every_document(spark, monkeypatch):
+    """It keeps as much of all documents and the benchmark as an exact SVD of them."""
+    seen = {}
+    inner = clean.latent_space
+
+    def kept(passages, vocabulary, idf, **options):
+        seen.update(texts=Counter(r["text"] for r in passages.collect()), space=inner(passages, vocabulary, idf, **options), vocabulary=vocabulary, idf=idf)
+        return seen["space"]
+
+    monkeypatch.setattr(clean, "latent_space", kept)
+    bench, docs = fitted_docs()
+    clean.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, BENCH)).count()
+    assert seen["texts"] == Counter([t for _, t in docs] + [t for _, t, _ in bench])
+    space, a = seen["space"], passage_rows([t for _, t in docs], seen["vocabulary"], seen["idf"])
+    own = passage_rows([t for _, t, _ in bench], seen["vocabulary"], seen["idf"])
+    both = np.concatenate([a, own * math.sqrt(len(a) / len(own))])
+    assert len(seen["idf"]) > clean.RANK
+    best = (np.linalg.svd(both, compute_uv=False)[: clean.RANK] ** 2).sum()
+    assert np.linalg.norm(both @ space) ** 2 >= 0.97 * best
+
+
+@pytest.mark.parametrize("held, stored, dealt", [(1 << 24, 1 << 15, 1), (20_000, 3_000, 5)])
+def test_products_of_terms_equal_those_of_all_passages(spark, monkeypatch, held, stored, dealt):
+    """In any number of passes and tasks, and for weighted, empty and null rows."""
+    monkeypatch.setattr(clean, "HELD", held)
+    monkeypatch.setattr(clean, "STORED", stored)
+    texts = [None, "", "zzzz", prose(1, 1, 300), prose(2, 16, 300), prose(3, 17, 300), prose(4, 32, 300), prose(5, 33, 300), prose(6, 700, 300), prose(6, 700, 300)]
+    vocabulary = clean.Vocabulary(np.unique(np.concatenate(clean.hash_words([prose(k, 60, 300) for k in range(1, 7)], clean.PUNCTUATION, latin=True)).view(np.int64)))
+    idf = np.random.default_rng(2).uniform(0.5, 5, len(vocabulary.hashes))
+    a = np.concatenate([passage_rows([t], vocabulary, idf).reshape(-1, len(idf)) * math.sqrt(1 + i % 3) for i, t in enumerate(texts)])
+    rows = spark.createDataFrame([(t, 1.0 + i % 3) for i, t in enumerate(texts)], "text string, weight double").repartition(dealt)
+    start, got = clean._row_starts(len(idf)), np.zeros((len(idf),) * 2)
+    for r in clean.term_products(rows, vocabulary, idf).collect():
+        part = np.frombuffer(r["part"], np.int64)
+        for k in range(r["first"], r["last"]):
+            got[k, k:] += part[start[k] - start[r["first"]] : start[k + 1] - start[r["first"]]] / clean.UNIT
+    assert np.allclose(got + got.T, a.T @ a, atol=1e-5)
+    if dealt > 1:
+        assert len(clean._row_ranges(start, held)) > 1
+
+
 def test_a_text_that_keeps_enough_of_an_item_keeps_two_rare_words():
     for n in range(2, 200):
         kept = math.ceil(clean.LCS * n)
