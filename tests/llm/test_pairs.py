@@ -352,6 +352,24 @@ def test_passages_of_a_column_are_the_same_words():
 
 # -- pipeline --------------------------------------------------------------------------
 
+def test_decontamination_is_fitted_to_every_document(spark, monkeypatch, tmp_path):
+    seen = []
+    inner = clean.latent_space
+
+    def kept(passages, *args, **options):
+        seen.append(Counter(r["text"] for r in passages.collect()))
+        return inner(passages, *args, **options)
+
+    monkeypatch.setattr(clean, "latent_space", kept)
+    bench, docs = fitted_docs()
+    held = [(1000 + k, f"{prose(k, 20)} {t} {prose(40 + k, 20)}") for k, t, _ in bench[:5]]
+    spark.createDataFrame(bench, BENCH).write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in docs + held], "doc_id long, text string, lang string, source string, n_chars long")
+    left = dict(corpus_pipeline.STAGES)["decontamination"](spark, rows, str(tmp_path)).collect()
+    assert seen == [Counter([t for _, t in docs + held] + [t for _, t, _ in bench])]
+    assert sorted((r["doc_id"], r["text"]) for r in left if r["doc_id"] is not None) == sorted(x for x in docs if x[0] is not None)
+
+
 def test_stages_and_run(spark, documents):
     """Each stage by brute force on its own input, at the smallest scale."""
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "decontamination", "mixing", "sharding"]
