@@ -16,15 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctscreen.llm.common import Scratch, chunks, fold_case, text_bytes
 
-#: Different texts that the text models are fitted to, and hashed trigrams.
-FIT_RECORDS, BUCKETS = 8_000, 1 << 15
-#: Texts that a declared language has in the sample in any case, if there are as many.
+#: Hashed trigrams.
+BUCKETS = 1 << 15
+#: Texts that a declared language has in a sample (if one is asked for) in any case, if there are as many.
 SHARE = 50
 LEAST_RECORDS = 3  # of a declared language in the table, or it has no model
 #: Languages that have a model, those with most records.  Records that declare
@@ -63,19 +64,22 @@ def trigrams(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield a, code[keep], row[keep]
 
 
-def _trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[str, np.ndarray] = {}
-    for batch in batches:
-        declared = batch.column(0).to_pylist()
-        for a, code, row in trigrams(batch.column(1)):
-            for r in range(a, int(row[-1]) + a + 1 if len(row) else a):
-                part = code[np.searchsorted(row, r - a) : np.searchsorted(row, r - a, "right")]
-                if len(part):
-                    # A record counts as much as its number of letters' root, so a long one does not rule.
-                    total.setdefault(declared[r], np.zeros(BUCKETS))[:] += np.bincount(part, minlength=BUCKETS) / np.sqrt(len(part))
-    for lang, counts in total.items():
-        k = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k.astype(np.int32)), pa.array(counts[k])], names=["lang", "bucket", "n"])
+def _trigram_counts(langs: list[str]):
+    """Weights of each language's trigrams (declared, text): language's place, bucket, sum."""
+    known = pa.array(langs, pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(langs) * BUCKETS)
+        for batch in batches:
+            of = pc.index_in(batch.column(0), value_set=known).to_numpy()
+            for a, code, row in trigrams(batch.column(1)):
+                # A record counts as much as its number of letters' root, so a long one does not rule.
+                np.add.at(total, of[a + row] * BUCKETS + code, 1 / np.sqrt(np.bincount(row)[row]))
+        for k, counts in enumerate(total.reshape(-1, BUCKETS)):
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["lang", "bucket", "n"])
+
+    return count
 
 
 def share(sizes: list[int], most: int) -> int:
@@ -89,33 +93,44 @@ def share(sizes: list[int], most: int) -> int:
     return max(SHARE, *sizes, 0)
 
 
-def fit_models(records: DataFrame, scratch: Scratch, fit_records: int = FIT_RECORDS, models: int = MODELS) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities of trigrams by language, from a sample
-    of records that declare one (columns text, declared).  Copies count once
-    in it, and each language that LEAST_RECORDS records of the table declare
-    has its share: its least texts by hash.  ``models`` languages at most, those
-    with most records (ties by name), so what comes to the driver, the sample
-    and what goes to the tasks are bounded however many values are declared."""
-    usable = records.filter(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text", F.xxhash64("text", "declared").alias("digest"))
-    texts = scratch.store(usable.groupBy("declared", "digest").agg(F.count(F.lit(1)).alias("n")), "texts")
-    sizes = {r["declared"]: r["texts"] for r in texts.groupBy("declared").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).filter(F.col("n") >= LEAST_RECORDS).orderBy(F.desc("n"), "declared").limit(models).collect()}
-    langs, most = sorted(sizes), share(list(sizes.values()), fit_records)
+def _sampled(usable: DataFrame, fit_records: int, scratch: Scratch) -> DataFrame:
+    """Each declared language's share of ``fit_records`` different texts: its least ones by hash."""
+    usable = usable.withColumn("digest", F.xxhash64("text", "declared"))
+    texts = scratch.store(usable.select("declared", "digest").distinct(), "texts")
+    sizes = {r["declared"]: r["n"] for r in texts.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = share(list(sizes.values()), fit_records)
     # Texts far beyond a language's share are left out by how many it has, so few more are ranked.
     near = 2 * most + 64
     bounds = [(x, int((near / n - 0.5) * 2**64) if n > 2 * near else 2**63 - 1) for x, n in sizes.items()]
-    bounds = records.sparkSession.createDataFrame(bounds, "declared string, bound long")
+    bounds = usable.sparkSession.createDataFrame(bounds, "declared string, bound long")
     first = texts.join(F.broadcast(bounds), "declared").filter(F.col("digest") <= F.col("bound"))
     rank = F.row_number().over(Window.partitionBy("declared").orderBy("digest"))
     chosen = scratch.store(first.withColumn("rank", rank).filter(F.col("rank") <= most).select("declared", "digest"), "chosen")
     sample = scratch.store(usable.join(F.broadcast(chosen), ["declared", "digest"]).dropDuplicates(["declared", "digest"]).select("declared", "text"), "sample")
+    return sample.repartition(max(1, min(64, fit_records // 500)), F.xxhash64("text"))
+
+
+def fit_models(records: DataFrame, scratch: Scratch, fit_records: int | None = None, models: int = MODELS) -> tuple[list[str], np.ndarray]:
+    """Languages and log-probabilities of trigrams by language, from all texts
+    of the records that declare one (columns text, declared).  Copies count
+    once, and a language needs LEAST_RECORDS records.  ``models`` languages at
+    most, those with most records (ties by name), so what comes to the driver
+    and what goes to the tasks are bounded however many values are declared.
+
+    With ``fit_records`` the models are fitted to about so many texts only,
+    of which each of these languages has its share."""
+    usable = records.filter(F.col("declared").isNotNull() & (F.length("text") > 0)).select("declared", "text")
+    sizes = usable.groupBy("declared").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_RECORDS)
+    langs = sorted(r["declared"] for r in sizes.orderBy(F.desc("n"), "declared").limit(models).collect())
     total = np.zeros((len(langs), BUCKETS))
-    if langs:
-        n = max(1, min(64, fit_records // 500))
-        parts = sample.repartition(n, F.xxhash64("text")).mapInArrow(_trigram_counts, "lang string, bucket int, n double")
-        # A row for each language and bucket, whatever the number of tasks.
-        sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-        np.add.at(total, (sums["lang"].map(langs.index).to_numpy(np.int64), sums["bucket"].to_numpy()), sums["n"].to_numpy())
-    return langs, np.log((total + SMOOTH) / (total + SMOOTH).sum(1, keepdims=True)) if langs else total
+    if not langs:
+        return langs, total
+    usable = usable.filter(F.col("declared").isin(langs))
+    texts = usable.distinct() if fit_records is None else _sampled(usable, fit_records, scratch)
+    # A row for each language and bucket, whatever the number of tasks.
+    sums = texts.mapInArrow(_trigram_counts(langs), "lang int, bucket int, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    total[sums["lang"].to_numpy(np.int64), sums["bucket"].to_numpy(np.int64)] = sums["n"].to_numpy()
+    return langs, np.log((total + SMOOTH) / (total + SMOOTH).sum(1, keepdims=True))
 
 
 def _likelihoods(models: np.ndarray, column: int):
@@ -182,7 +197,7 @@ def _smoothed(counts: DataFrame, by: str, above: DataFrame | None, on: str | Non
     return rows.select(by, F.array(*[(F.col(f"_{k}") + strength * F.get(prior, F.lit(k))) / (F.col("_all") + strength) for k in range(len(langs))]).alias("p"))
 
 
-def identify(records: DataFrame, fit_records: int = FIT_RECORDS, most_models: int = MODELS) -> DataFrame:
+def identify(records: DataFrame, fit_records: int | None = None, most_models: int = MODELS) -> DataFrame:
     """``records`` (text, declared, host, domain, suffix and any others) with
     language, probability, n_trigrams and kept in place of the text.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from acctscreen.llm import op5_lshforest as forest
 from acctscreen.llm import op8_decontaminate as clean
+from acctscreen.llm import op9_langid as langid
 from tests.llm.conftest import DOCS, EDGE, SF, prose
 
 
@@ -352,6 +353,27 @@ def test_passages_of_a_column_are_the_same_words():
 
 # -- pipeline --------------------------------------------------------------------------
 
+def test_language_models_are_fitted_to_every_document(spark, monkeypatch):
+    """To all texts, copies once, however many there are."""
+    seen = []
+    inner = langid.fit_models
+    monkeypatch.setattr(langid, "fit_models", lambda *args, **options: seen.append(inner(*args, **options)) or seen[-1])
+    words = prose(3, 9000, 3000).split()
+    docs = [(f"{w} {words[k - 1]} {k}", "EN" if k % 9 else "de") for k, w in enumerate(words)]
+    docs += docs[:500] + [("", "en"), (None, "de"), ("12 34", "fr"), ("12 34", "fr"), ("5", "fr"), (words[0], None), ("zzz", "xx")]
+    rows = spark.createDataFrame([(k, t, x, "a", 1) for k, (t, x) in enumerate(docs)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert dict(corpus_pipeline.STAGES)["language"](spark, rows, "").count() <= len(docs)
+    total = {k: np.zeros(langid.BUCKETS) for k in ("de", "en", "fr")}
+    for t, x in {(t, x.lower()) for t, x in docs if t and x and x != "xx"}:
+        code = np.concatenate([c for _, c, _ in langid.trigrams(pa.array([t]))])
+        if len(code):
+            total[x] += np.bincount(code, minlength=langid.BUCKETS) / np.sqrt(len(code))
+    [(langs, models)] = seen
+    assert langs == sorted(total)
+    for k, x in enumerate(langs):
+        assert models[k] == pytest.approx(np.log((total[x] + langid.SMOOTH) / (total[x] + langid.SMOOTH).sum()), abs=1e-9)
+
+
 def test_decontamination_is_fitted_to_every_document(spark, monkeypatch, tmp_path):
     seen = []
     inner = clean.latent_space
